@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.functions.timefn import ISO_MICROS, NTZ
 from millrace.operators.clean import clean_full
-from millrace.session import adopt
+from millrace.session import adopt, spread
 from millrace.specs import API_A, API_B, RAW_SCHEMA
 
 AS_OF = "2024-01-31 04:00:00"
@@ -64,7 +64,7 @@ def raw_a(spark: SparkSession, sf_dir: str, with_nulls: bool = False, **more: Co
     """Events as RAW rows of source A; text is parsed so that the payload is a real VARIANT."""
     batch = F.date_format("ts", "yyyyMMdd")
     minutes = (F.col("event_id") % 97).cast("int")
-    rows = table(spark, sf_dir, "events").select(
+    rows = spread(table(spark, sf_dir, "events")).select(
         F.parse_json(json_a(with_nulls, **more)).alias("payload"),
         F.lit("api_a").alias("source"),
         (F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(0), minutes)).alias("ingested_at"),
@@ -76,7 +76,7 @@ def raw_a(spark: SparkSession, sf_dir: str, with_nulls: bool = False, **more: Co
 
 
 def orders_b(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").join(
+    return spread(table(spark, sf_dir, "orders")).join(
         table(spark, sf_dir, "customer").select("c_custkey", "c_name"), F.col("o_custkey") == F.col("c_custkey")
     )
 
@@ -155,7 +155,7 @@ def messy_a() -> Column:
 
 
 def messy_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select(
+    return spread(table(spark, sf_dir, "events")).select(
         F.col("event_id").alias("ordinal"), F.parse_json(messy_a()).alias("payload")
     )
 
@@ -169,4 +169,4 @@ def messy_b_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         orderState=F.concat(F.lit(" "), F.col("o_orderstatus"), F.lit(" ")),
         amount=F.col("o_orderkey"),
     )
-    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("ordinal"), F.parse_json(text).alias("payload"))
+    return spread(table(spark, sf_dir, "orders")).select(F.col("o_orderkey").alias("ordinal"), F.parse_json(text).alias("payload"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from harness import adapters as D
 from harness.adapters import AS_OF, table
 from millrace.functions import timefn, variants as V
-from millrace.functions.text import snake_key, trim_ws
+from millrace.functions.text import trim_ws
 from millrace.operators import clean, dedupe as dd, flatten, governance, merge, normalize, validate
 from millrace.plans import analytics, metrics, quality, runs, transform
 from millrace.session import workspace
@@ -447,8 +447,8 @@ def normalize_keys(spark, sf_dir):
     rows = _odd_keys(spark, sf_dir)
     return rows.select(
         "event_id",
-        text_of(normalize.normalize_variant(F.col("payload"))).alias("record"),
-        text_of(normalize.normalize_variant(F.col("payload"), split_acronyms=True)).alias("record_split"),
+        text_of(normalize.normalize_variant("payload")).alias("record"),
+        text_of(normalize.normalize_variant("payload", split_acronyms=True)).alias("record_split"),
     )
 
 
@@ -464,7 +464,7 @@ def key_report(spark, sf_dir):
 @query
 def trim_strings(spark, sf_dir):
     """Whole documents, padded with several kinds of blank."""
-    padded = F.concat(F.lit("  \t"), F.col("text"), F.lit("　\r\n "))
+    padded = F.concat(F.lit(" \u00a0\t"), F.col("text"), F.lit("\u3000\r\n "))
     done = trim_ws(padded)
     return table(spark, sf_dir, "documents").select("doc_id", F.md5(done).alias("digest"), F.length(done).cast("bigint").alias("n_chars"))
 
@@ -491,14 +491,14 @@ def _spellings():
 
 @query
 def normalize_ts(spark, sf_dir):
-    rows = table(spark, sf_dir, "events").select("event_id", "ts", _spellings().alias("text"))
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
     epoch = F.when(F.col("event_id") % 2 == 0, F.floor(micros / 1000)).otherwise(F.floor(micros / 1000000))
+    rows = table(spark, sf_dir, "events").select("event_id", _spellings().alias("text"), epoch.alias("epoch"))
     return rows.select(
         "event_id",
-        timefn.normalize_ts(F.col("text")).alias("normal"),
-        timefn.normalize_ts(F.col("text"), to_utc=True).alias("normal_utc"),
-        timefn.normalize_ts(epoch, "bigint").alias("from_epoch"),
+        timefn.normalize_ts("text").alias("normal"),
+        timefn.normalize_ts("text", to_utc=True).alias("normal_utc"),
+        timefn.normalize_ts("epoch", "bigint").alias("from_epoch"),
     )
 
 
@@ -506,7 +506,7 @@ def normalize_ts(spark, sf_dir):
 def normalize_records(spark, sf_dir):
     """Nested and listed objects; the timestamp field is met at any depth."""
     rows = D.messy_records(spark, sf_dir)
-    done = normalize.normalize_variant(F.col("payload"), ["created_at", "updated_at"])
+    done = normalize.normalize_variant("payload", ["created_at", "updated_at"])
     return rows.select("ordinal", text_of(done).alias("record"))
 
 
@@ -770,8 +770,7 @@ def step_log_rollup(spark, sf_dir):
         F.when(kind == "error", F.concat(F.lit("failure "), n.cast("string"))).alias("error"), D.stamp("ts").alias("timestamp"),
     ))
     lines = table(spark, sf_dir, "events").select(F.when(n % 40 == 0, F.lit("plain text")).otherwise(record).alias("value"))
-    rolled = metrics.step_log_rollup(metrics.parse_step_logs(lines))
-    return rolled.withColumn("total_duration_ms", F.round("total_duration_ms", 2))
+    return metrics.step_log_rollup(metrics.parse_step_logs(lines))
 
 
 def _source_results(spark, sf_dir) -> DataFrame:

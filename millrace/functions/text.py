@@ -6,6 +6,8 @@ import re
 
 from pyspark.sql import Column, functions as F
 
+from millrace.functions.sqltext import literal
+
 # The characters that count as whitespace at the ends of a text
 # (tab to carriage return, the four separators, space, next line, and the Unicode spaces).
 WHITESPACE = (
@@ -25,10 +27,17 @@ KEY_RULES = (
 )
 ACRONYM_RULE = (r"([A-Z]+)([A-Z][a-z])", r"$1_$2")
 
+# Keys that the clean-up would leave as they are.
+SNAKE_FORM = r"^[a-z0-9]+(?:_[a-z0-9]+)*$"
+
 # Address masking.
 MASK_PATTERN, MASK_TEXT = r".+@", "***@"
 
 
+def trim_sql(x: str) -> str:
+    return f"btrim({x}, {literal(WHITESPACE)})"
+
+
 def trim_ws(c: Column) -> Column:
     """Strip whitespace, Unicode spaces included, from both ends."""
     return F.btrim(c, F.lit(WHITESPACE))
@@ -43,14 +52,22 @@ def _rules(split_acronyms: bool):
     return (*head, ACRONYM_RULE, camel) if split_acronyms else (*head, camel)
 
 
-def snake_key(c: Column, split_acronyms: bool = False) -> Column:
-    """Key text to snake_case: ``userName`` gives ``user_name``.
+def snake_sql(x: str, split_acronyms: bool = False) -> str:
+    """`snake_key` as SQL text over the SQL text of a key."""
+    done = x
+    for pattern, replacement in _rules(split_acronyms):
+        done = f"regexp_replace({done}, {literal(pattern)}, {literal(replacement)})"
+    done = f"btrim(regexp_replace(lower({done}), '_+', '_'), '_')"
+    # Most keys are in order already, and one match is cheaper than all the replacements.
+    return f"IF({x} RLIKE {literal(SNAKE_FORM)}, {x}, {done})"
+
+
+def snake_key(column: str, split_acronyms: bool = False) -> Column:
+    """A column of key texts in snake_case: ``userName`` gives ``user_name``.
 
     ``someAPIKey`` gives ``some_apikey``, or ``some_api_key`` with ``split_acronyms``.
     """
-    for pattern, replacement in _rules(split_acronyms):
-        c = F.regexp_replace(c, pattern, replacement)
-    return F.btrim(F.regexp_replace(F.lower(c), "_+", "_"), F.lit("_"))
+    return F.expr(snake_sql(column, split_acronyms))
 
 
 def snake_name(name: str, split_acronyms: bool = False) -> str:

@@ -9,6 +9,8 @@ import datetime as dt
 
 from pyspark.sql import Column, functions as F
 
+from millrace.functions import variants as V
+from millrace.functions.sqltext import let, literal
 from millrace.functions.text import WS_CLASS
 
 NTZ = "timestamp_ntz"
@@ -76,68 +78,77 @@ def boundary_diff(unit: str, start: Column, end: Column) -> Column:
     return {"DAY": days, "HOUR": hours, "MINUTE": minutes}[unit.upper()]
 
 
-def ts_from_text(c: Column, to_utc: bool = False) -> Column:
-    """Parse the accepted spellings; NULL where none fits.
+def ts_from_text(x: str, to_utc: bool = False) -> str:
+    """SQL text that parses the accepted spellings of a text; NULL where none fits.
 
     An offset is dropped and the wall clock kept, unless ``to_utc`` asks for conversion.
     """
-    parsed = F.coalesce(
-        *(F.when(c.rlike(p), F.regexp_replace(c, p, form).try_cast(NTZ)) for p, form in TEXT_FORMS)
-    )
+    tries = [
+        f"IF({x} RLIKE {literal(p)}, TRY_CAST(regexp_replace({x}, {literal(p)}, {literal(form)}) AS TIMESTAMP_NTZ), NULL)"
+        for p, form in TEXT_FORMS
+    ]
+    parsed = f"coalesce({', '.join(tries)})"
     if not to_utc:
         return parsed
-    digits = F.regexp_replace(F.regexp_extract(c, ISO_FORM, 4), "[+:-]", "")
-
-    def part(at: int) -> Column:
-        return F.coalesce(F.substring(digits, at, 2).try_cast("int"), F.lit(0))
-
-    seconds = part(1) * 3600 + part(3) * 60 + part(5)
-    sign = F.when(F.regexp_extract(c, ISO_FORM, 4).startswith("-"), -1).otherwise(1)
-    return parsed - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), sign * seconds)
+    offset = f"regexp_extract({x}, {literal(ISO_FORM)}, 4)"
+    hours, minutes, seconds = (
+        f"coalesce(TRY_CAST(substring(regexp_replace({offset}, '[+:-]', ''), {at}, 2) AS INT), 0)" for at in (1, 3, 5)
+    )
+    sign = f"IF({offset} LIKE '-%', -1, 1)"
+    return f"{parsed} - make_dt_interval(0, 0, 0, {sign} * ({hours} * 3600 + {minutes} * 60 + {seconds}))"
 
 
-def ts_from_epoch(c: Column) -> Column:
-    """Epoch seconds, or milliseconds above the threshold; NULL outside years 1 to 9999."""
-    number = c.cast("double")
-    seconds = F.when(number > MILLIS_ABOVE, number / 1000).otherwise(number)
-    whole = F.floor(seconds)
-    micros = whole.cast("bigint") * 1000000 + F.rint((seconds - whole) * 1e6).cast("bigint")
-    in_range = (seconds >= EPOCH_MIN) & (seconds < EPOCH_END)
-    return F.when(in_range, F.timestamp_micros(micros)).cast(NTZ)
+def ts_from_epoch(x: str) -> str:
+    """SQL text for an epoch in seconds, or milliseconds above the threshold; NULL outside years 1 to 9999."""
+    seconds = f"IF(CAST({x} AS DOUBLE) > {MILLIS_ABOVE}D, CAST({x} AS DOUBLE) / 1000, CAST({x} AS DOUBLE))"
+    micros = "CAST(floor(s) AS BIGINT) * 1000000 + CAST(rint((s - floor(s)) * 1e6) AS BIGINT)"
+    in_range = f"s >= {EPOCH_MIN}D AND s < {EPOCH_END}D"
+    return let("s", seconds, f"CAST(IF({in_range}, timestamp_micros({micros}), NULL) AS TIMESTAMP_NTZ)")
 
 
 def format_ts(ts: Column, pattern: str = ISO_MICROS) -> Column:
     return F.date_format(ts, pattern)
 
 
-def normalize_ts(c: Column, dtype: str = "string", pattern: str = ISO_MICROS, to_utc: bool = False) -> Column:
-    """One normal text for a typed timestamp column.
+def normalize_ts_sql(x: str, dtype: str = "string", pattern: str = ISO_MICROS, to_utc: bool = False) -> str:
+    """`normalize_ts` as SQL text over the SQL text of a value."""
+    if dtype == "string":
+        parsed = ts_from_text(x, to_utc)
+    elif dtype in ("timestamp", NTZ, "date"):
+        parsed = f"CAST({x} AS TIMESTAMP_NTZ)"
+    elif dtype in ("tinyint", "smallint", "int", "bigint", "float", "double") or dtype.startswith("decimal"):
+        parsed = ts_from_epoch(x)
+    else:
+        return "CAST(NULL AS STRING)"
+    return f"date_format({parsed}, {literal(pattern)})"
+
+
+def normalize_ts(x: str, dtype: str = "string", pattern: str = ISO_MICROS, to_utc: bool = False) -> Column:
+    """One normal text for a typed timestamp column, named or given as SQL text.
 
-    ``dtype`` is the Spark type name of ``c``; booleans and nested values give NULL.
+    ``dtype`` is its Spark type name; booleans and nested values give NULL.
     """
-    if dtype == "string":
-        return format_ts(ts_from_text(c, to_utc), pattern)
-    if dtype in ("timestamp", NTZ, "date"):
-        return format_ts(c.cast(NTZ), pattern)
-    if dtype in ("tinyint", "smallint", "int", "bigint", "float", "double") or dtype.startswith("decimal"):
-        return format_ts(ts_from_epoch(c), pattern)
-    return F.lit(None).cast("string")
-
-
-def normalize_ts_variant(v: Column, kind: Column, pattern: str = ISO_MICROS, to_utc: bool = False) -> Column:
-    """`normalize_ts` for a VARIANT value whose kind (`variants.kind`) is at hand."""
-    text = F.try_variant_get(v, "$", "string")
-    number = F.try_variant_get(v, "$", "double")
-    return F.when(kind == "STRING", format_ts(ts_from_text(text, to_utc), pattern)).when(
-        kind == "NUMBER", format_ts(ts_from_epoch(number), pattern)
-    ).when(kind == "TIMESTAMP", format_ts(F.try_variant_get(v, "$", NTZ), pattern))
-
-
-def ts_error(v: Column, kind: Column) -> Column:
-    """Why a present value has no normal form: NULL when it has one."""
-    bad = kind.isin("STRING", "NUMBER") & normalize_ts_variant(v, kind).isNull()
-    return (
-        F.when(bad & (kind == "STRING"), F.lit("unknown timestamp spelling"))
-        .when(bad, F.lit("epoch out of range"))
-        .when(kind.isin("OBJECT", "ARRAY", "BOOLEAN"), F.lit("not a timestamp"))
+    return F.expr(normalize_ts_sql(x, dtype, pattern, to_utc))
+
+
+def normalize_ts_variant(v: str, kind: str, pattern: str = ISO_MICROS, to_utc: bool = False) -> str:
+    """`normalize_ts` for the SQL texts of a VARIANT value and of its type (`variants.type_name`)."""
+    text = let("t", f"try_variant_get({v}, '$', 'string')", ts_from_text("t", to_utc))
+    number = ts_from_epoch(f"try_variant_get({v}, '$', 'double')")
+    stamp = f"try_variant_get({v}, '$', '{NTZ}')"
+    parsed = (
+        f"CASE WHEN {V.is_text(kind)} THEN {text} WHEN {V.is_number(kind)} THEN {number}"
+        f" WHEN {kind} LIKE 'TIMESTAMP%' OR {kind} = 'DATE' THEN {stamp} END"
+    )
+    return f"date_format({parsed}, {literal(pattern)})"
+
+
+def ts_error(v: str) -> Column:
+    """Why a present VARIANT value has no normal form; NULL when it has one, or is null itself."""
+    lost = f"{normalize_ts_variant(v, 'k')} IS NULL"
+    reason = (
+        f"CASE WHEN {V.is_text('k')} AND {lost} THEN 'unknown timestamp spelling'"
+        f" WHEN {V.is_number('k')} AND {lost} THEN 'epoch out of range'"
+        f" WHEN {V.is_object('k')} OR {V.is_array('k')} OR k = 'BOOLEAN' THEN 'not a timestamp' END"
     )
+    return F.expr(let("k", f"schema_of_variant({v})", reason))

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-ENTRIES = "map<string,variant>"
+ENTRIES, ITEMS = "map<string,variant>", "array<variant>"
 
 
 def path(*keys: str) -> str:
@@ -22,18 +22,34 @@ def field(v: Column, keys: str | tuple[str, ...], dtype: str = "variant", on_err
     return get(v, path(*keys), dtype)
 
 
-def kind(v: Column) -> Column:
-    """STRING, NUMBER, BOOLEAN, OBJECT, ARRAY, TIMESTAMP, VOID or OTHER."""
-    name = F.schema_of_variant(v)
-    return (
-        F.when(name == "STRING", F.lit("STRING"))
-        .when(name.startswith("OBJECT"), F.lit("OBJECT"))
-        .when(name.startswith("ARRAY"), F.lit("ARRAY"))
-        .when(name.isin("BIGINT", "DOUBLE", "FLOAT") | name.startswith("DECIMAL"), F.lit("NUMBER"))
-        .when(name.isin("BOOLEAN", "VOID"), name)
-        .when(name.startswith("TIMESTAMP") | (name == "DATE"), F.lit("TIMESTAMP"))
-        .otherwise(F.lit("OTHER"))
-    )
+def is_text(kind: str) -> str:
+    """SQL text testing the SQL text of a ``schema_of_variant`` result, as do the next three.
+
+    ``schema_of_variant`` walks the value, so work it out once per value.
+    """
+    return f"({kind} = 'STRING')"
+
+
+def is_number(kind: str) -> str:
+    return f"({kind} IN ('BIGINT', 'DOUBLE', 'FLOAT') OR {kind} LIKE 'DECIMAL%')"
+
+
+def is_object(kind: str) -> str:
+    return f"({kind} LIKE 'OBJECT%')"
+
+
+def is_array(kind: str) -> str:
+    return f"({kind} LIKE 'ARRAY%')"
+
+
+def entries_sql(v: str) -> str:
+    """`entries` over SQL text."""
+    return f"map_entries(try_variant_get({v}, '$', '{ENTRIES}'))"
+
+
+def items_sql(v: str) -> str:
+    """`items` over SQL text."""
+    return f"try_variant_get({v}, '$', '{ITEMS}')"
 
 
 def entries(v: Column) -> Column:
@@ -43,17 +59,7 @@ def entries(v: Column) -> Column:
 
 def items(v: Column) -> Column:
     """Elements of an array; NULL for anything else."""
-    return F.try_variant_get(v, "$", "array<variant>")
-
-
-def to_object(pairs: Column) -> Column:
-    """An object from (key, value) pairs; the last of equal keys wins."""
-    return F.to_variant_object(F.map_from_entries(pairs))
-
-
-def let(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` worked out once, for nested expressions that need it twice."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+    return F.try_variant_get(v, "$", ITEMS)
 
 
 def is_missing(v: Column, key: str) -> Column:

@@ -5,24 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from millrace.functions import variants as V
+from millrace.functions.sqltext import let, literal, name
+from millrace.operators.once import computed_once
 
 
-def flatten_variant(v: Column, sep: str = "_", max_depth: int = 10) -> Column:
-    """Flat object of a nested one, for payloads whose keys are not known.
+def flatten_variant(column: str, sep: str = "_", max_depth: int = 10) -> Column:
+    """Flat objects of the nested ones in a VARIANT column whose keys are not known.
 
     Lists stay whole, empty objects vanish, objects below ``max_depth`` levels stay objects. When two
     paths give one name the last in key order wins.
     """
 
-    def level(value: Column, prefix: Column, depth: int) -> Column:
-        def pair(e: Column) -> Column:
-            name = F.when(prefix == "", e.key).otherwise(F.concat(prefix, F.lit(sep), e.key))
-            leaf = F.array(F.struct(name.alias("key"), e.value.alias("value")))
-            return F.coalesce(level(e.value, name, depth - 1), leaf) if depth else leaf
+    def level(value: str, prefix: str | None, depth: int) -> str:
+        e, n = f"e{depth}", f"n{depth}"
+        joined = f"IF({prefix} = '', {e}.key, concat({prefix}, {literal(sep)}, {e}.key))" if prefix else f"{e}.key"
+        leaf = f"array(struct({n} AS key, {e}.value AS value))"
+        # The inner list is NULL for all but objects.
+        pairs = f"coalesce({level(f'{e}.value', n, depth - 1)}, {leaf})" if depth else leaf
+        return f"flatten(transform({V.entries_sql(value)}, {e} -> {let(n, joined, pairs)}))"
 
-        return F.flatten(F.transform(V.entries(value), pair))
-
-    return V.to_object(level(v, F.lit(""), max_depth))
+    return F.expr(f"to_variant_object(map_from_entries({level(name(column), None, max_depth)}))")
 
 
 def flatten_struct(df: DataFrame, sep: str = "_", max_depth: int = 10) -> DataFrame:
@@ -34,17 +36,17 @@ def flatten_struct(df: DataFrame, sep: str = "_", max_depth: int = 10) -> DataFr
 
     def walk(schema: T.StructType, parent: Column | None, prefix: str, depth: int) -> None:
         for f in schema.fields:
-            name = f"{prefix}{sep}{f.name}" if prefix else f.name
+            path = f"{prefix}{sep}{f.name}" if prefix else f.name
             c = parent.getField(f.name) if parent is not None else F.col(f"`{f.name}`")
             if isinstance(f.dataType, T.StructType) and depth > 0:
-                walk(f.dataType, c, name, depth - 1)
+                walk(f.dataType, c, path, depth - 1)
             else:
-                flat.pop(name, None)
-                flat[name] = c
+                flat.pop(path, None)
+                flat[path] = c
 
     # The top level does not count as a descent.
     walk(df.schema, None, "", max_depth)
-    return df.select([c.alias(name) for name, c in flat.items()])
+    return df.select([c.alias(path) for path, c in flat.items()])
 
 
 def struct_type_of(df: DataFrame, column: str) -> str:
@@ -72,5 +74,5 @@ def flatten_records(df: DataFrame, column: str = "payload", sep: str = "_", max_
     v = F.col(column)
     bad = v.isNotNull() & V.entries(v).isNull()
     message = F.concat(F.lit("record is not an object: "), F.to_json(v))
-    flat = flatten_variant(v, sep, max_depth)
-    return df.withColumn(column, F.when(bad, F.raise_error(message).cast("variant")).otherwise(flat))
+    flat = flatten_variant(column, sep, max_depth)
+    return computed_once(df, column, F.when(bad, F.raise_error(message).cast("variant")).otherwise(flat))

@@ -2,66 +2,65 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from millrace.functions import timefn, variants as V
-from millrace.functions.text import snake_key, snake_name, trim_ws
+from millrace.functions.sqltext import any_of, let, literal, name
+from millrace.functions.text import snake_key, snake_name, snake_sql, trim_sql
 
 TOO_DEEP = "payload is nested deeper than max_depth; raise max_depth"
 
 
 def normalize_variant(
-    v: Column,
+    column: str,
     timestamps: Sequence[str] = (),
     normalize_keys: bool = True,
     split_acronyms: bool = False,
     to_utc: bool = False,
     max_depth: int = 8,
 ) -> Column:
-    """Normalise an object whose keys are not known.
+    """Normalise the objects of a VARIANT column whose keys are not known.
 
     Objects in objects and in lists are followed; texts directly inside a list are left alone. A
     payload deeper than ``max_depth`` raises rather than passing half done. A key left empty by the
     clean-up is dropped, and of colliding keys the last in key order wins.
     """
 
-    def renamed(key: Column) -> Column:
-        return snake_key(key, split_acronyms) if normalize_keys else key
-
-    def container(value: Column, depth: int) -> Column:
+    def container(value: str, depth: int) -> str:
         """``value`` is an object or a list; list elements carry a NULL key."""
-        listed = F.transform(V.items(value), lambda x: F.struct(F.lit(None).cast("string").alias("key"), x.alias("value")))
-        children = F.transform(
-            F.coalesce(V.entries(value), listed),
-            lambda e: F.struct(
-                e.key.alias("key"), renamed(e.key).alias("name"), e.value.alias("value"), V.kind(e.value).alias("kind")
-            ),
+        c, p = f"c{depth}", f"p{depth}"
+        renamed = snake_sql("e.key", split_acronyms) if normalize_keys else "e.key"
+        listed = f"transform({V.items_sql(value)}, x -> struct(CAST(NULL AS STRING) AS key, x AS value))"
+        children = (
+            f"transform(coalesce({V.entries_sql(value)}, {listed}), e -> struct("
+            f"e.key AS key, {renamed} AS name, e.value AS value, schema_of_variant(e.value) AS kind))"
         )
+        deeper = container(f"{c}.value", depth - 1) if depth > 1 else f"CAST(raise_error({literal(TOO_DEEP)}) AS VARIANT)"
+        stamp = ""
+        if timestamps:
+            stamped = timefn.normalize_ts_variant(f"{c}.value", f"{c}.kind", to_utc=to_utc)
+            is_stamp = f"{any_of(f'{c}.key', timestamps)} OR {any_of(f'{c}.name', timestamps)}"
+            stamp = f"WHEN {is_stamp} THEN CAST({stamped} AS VARIANT)"
+        text = trim_sql(f"try_variant_get({c}.value, '$', 'string')")
+        named = f"{c}.key IS NOT NULL"
+        done = (
+            f"CASE {stamp} WHEN {named} AND {V.is_text(f'{c}.kind')} THEN CAST({text} AS VARIANT)"
+            f" WHEN {V.is_object(f'{c}.kind')} OR ({named} AND {V.is_array(f'{c}.kind')}) THEN {deeper}"
+            f" ELSE {c}.value END"
+        )
+        finished = f"transform({children}, {c} -> struct({c}.name AS key, {done} AS value))"
+        # An empty list has no element to tell it from an object by.
+        is_list = f"get({p}, 0).key IS NULL AND {V.items_sql(value)} IS NOT NULL"
+        as_list = f"to_variant_object(transform({p}, x -> x.value))"
+        as_object = f"to_variant_object(map_from_entries(filter({p}, x -> x.key != '')))"
+        return let(p, finished, f"IF({is_list}, {as_list}, {as_object})")
 
-        def done(e: Column) -> Column:
-            named = e.key.isNotNull()
-            stamp = named & (e.key.isin(*timestamps) | e["name"].isin(*timestamps)) if timestamps else F.lit(False)
-            follow = (e.kind == "OBJECT") | (named & (e.kind == "ARRAY"))
-            deeper = container(e.value, depth - 1) if depth > 1 else F.raise_error(F.lit(TOO_DEEP)).cast("variant")
-            return (
-                F.when(stamp, timefn.normalize_ts_variant(e.value, e.kind, to_utc=to_utc).cast("variant"))
-                .when(named & (e.kind == "STRING"), trim_ws(F.try_variant_get(e.value, "$", "string")).cast("variant"))
-                .when(follow, deeper)
-                .otherwise(e.value)
-            )
-
-        finished = F.transform(children, lambda e: F.struct(e["name"].alias("key"), done(e).alias("value")))
-
-        def rebuilt(pairs: Column) -> Column:
-            as_list = F.to_variant_object(F.transform(pairs, lambda p: p.value))
-            as_object = V.to_object(F.filter(pairs, lambda p: p.key != ""))
-            return F.when(V.items(value).isNotNull(), as_list).otherwise(as_object)
-
-        return V.let(finished, rebuilt)
-
-    return F.when(V.entries(v).isNotNull(), container(v, max_depth))
+    source = name(column)
+    is_object = V.is_object(f"schema_of_variant({source})")
+    return F.expr(f"IF({is_object}, {container(source, max_depth)}, NULL)")
 
 
 def key_report(df: DataFrame, column: str = "payload", split_acronyms: bool = False) -> DataFrame:
@@ -72,7 +71,7 @@ def key_report(df: DataFrame, column: str = "payload", split_acronyms: bool = Fa
     keys = df.select(F.explode(F.map_keys(F.try_variant_get(F.col(column), "$", V.ENTRIES))).alias("raw_key"))
     per_key = keys.groupBy("raw_key").agg(F.count(F.lit(1)).alias("occurrences"))
     grouped = (
-        per_key.withColumn("name", snake_key(F.col("raw_key"), split_acronyms))
+        per_key.withColumn("name", snake_key("raw_key", split_acronyms))
         .groupBy("name")
         .agg(
             F.count(F.lit(1)).alias("spellings"),
@@ -93,29 +92,33 @@ def normalize_struct(
 ) -> DataFrame:
     """Normalise typed, possibly nested columns: a projection worked out from the schema."""
 
-    def rename(name: str) -> str:
-        return snake_name(name, split_acronyms) if normalize_keys else name
+    fresh = itertools.count()
+
+    def rename(field: str) -> str:
+        return snake_name(field, split_acronyms) if normalize_keys else field
 
-    def value(c: Column, dtype: T.DataType, name: str) -> Column:
-        if name in timestamps or rename(name) in timestamps:
-            return timefn.normalize_ts(c, dtype.simpleString(), to_utc=to_utc)
+    def value(x: str, dtype: T.DataType, field: str) -> str:
+        if field in timestamps or rename(field) in timestamps:
+            return timefn.normalize_ts_sql(x, dtype.simpleString(), to_utc=to_utc)
         if isinstance(dtype, T.StringType):
-            return trim_ws(c)
+            return trim_sql(x)
         if isinstance(dtype, T.StructType):
-            return F.when(c.isNotNull(), F.struct(*columns(dtype, c)))
+            return f"IF({x} IS NOT NULL, struct({', '.join(columns(dtype, x))}), NULL)"
         if isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, T.StructType):
-            return F.transform(c, lambda x: F.when(x.isNotNull(), F.struct(*columns(dtype.elementType, x))))
-        return c
+            # Inner lists see this variable too, so each level has its own.
+            var = f"x{next(fresh)}"
+            return f"transform({x}, {var} -> {value(var, dtype.elementType, '')})"
+        return x
 
-    def columns(schema: T.StructType, parent: Column | None) -> list[Column]:
-        out: dict[str, Column] = {}
+    def columns(schema: T.StructType, parent: str | None) -> list[str]:
+        out: dict[str, str] = {}
         for f in schema.fields:
-            name = rename(f.name)
-            if not name:
+            new = rename(f.name)
+            if not new:
                 continue
-            c = parent.getField(f.name) if parent is not None else F.col(f"`{f.name}`")
-            out.pop(name, None)
-            out[name] = value(c, f.dataType, f.name).alias(name)
+            x = name(f.name) if parent is None else f"{parent}.{name(f.name)}"
+            out.pop(new, None)
+            out[new] = f"{value(x, f.dataType, f.name)} AS {name(new)}"
         return list(out.values())
 
-    return df.select(columns(df.schema, None))
+    return df.selectExpr(*columns(df.schema, None))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 STEP_LOG_SCHEMA = (
     "source string, batch_id string, step string, row_count bigint, s3_path string, request_duration_ms double, "
@@ -10,15 +10,25 @@ STEP_LOG_SCHEMA = (
 )
 
 
+def _exact(duration: Column) -> Column:
+    """Durations add up exactly as decimals, in whatever order the tasks finish."""
+    return duration.cast("decimal(18,6)")
+
+
+def _two_digits(c: Column) -> Column:
+    return F.coalesce(F.round(c, 2).cast("double"), F.lit(0.0))
+
+
 def request_metrics(requests: DataFrame) -> DataFrame:
     """Requests, failures, retries and durations per source and batch."""
+    duration = _exact(F.col("duration_ms"))
     return requests.groupBy("source", "batch_id").agg(
         F.count(F.lit(1)).alias("total_requests"),
         F.count_if("success").alias("successful_requests"),
         F.count_if(~F.col("success")).alias("failed_requests"),
         F.coalesce(F.sum("retry_count"), F.lit(0)).alias("total_retries"),
-        F.round(F.coalesce(F.sum("duration_ms"), F.lit(0.0)), 2).alias("total_duration_ms"),
-        F.round(F.coalesce(F.avg("duration_ms"), F.lit(0.0)), 2).alias("avg_duration_ms"),
+        _two_digits(F.sum(duration)).alias("total_duration_ms"),
+        _two_digits(F.avg(duration)).alias("avg_duration_ms"),
     )
 
 
@@ -38,13 +48,13 @@ def step_log_rollup(logs: DataFrame) -> DataFrame:
     A step that ever logged an error is an error, else a success when it finished, else started.
     """
     failed, succeeded = F.col("status") == "error", F.col("status") == "success"
-    duration = F.coalesce("request_duration_ms", "duration_ms")
+    duration = _exact(F.coalesce("request_duration_ms", "duration_ms"))
     rolled = logs.groupBy("source", "batch_id", "step").agg(
         F.count(F.lit(1)).alias("log_lines"),
         F.count_if(failed).alias("errors"),
         F.count_if(succeeded).alias("successes"),
         F.max("row_count").alias("row_count"),
-        F.sum(duration).alias("total_duration_ms"),
+        _two_digits(F.sum(duration)).alias("total_duration_ms"),
         F.max("retry_count").alias("retry_count"),
         F.max(F.when(failed, F.struct("timestamp", "error"))).getField("error").alias("last_error"),
     )

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from millrace.functions import variants as V
 from millrace.operators.dedupe import dedupe
 from millrace.operators.flatten import flatten_records
+from millrace.operators.once import computed_once
 from millrace.operators.normalize import normalize_variant
 from millrace.operators.validate import split_valid
 from millrace.specs import API_A, API_B, SourceSpec
@@ -36,8 +37,8 @@ PRESETS = {s.name: spec_for(s) for s in (API_A, API_B)}
 def normalized(df: DataFrame, spec: TransformSpec, payload: str = "payload") -> DataFrame:
     if spec.flatten:
         df = flatten_records(df, payload)
-    done = normalize_variant(F.col(payload), spec.timestamps, spec.normalize_keys, spec.split_acronyms)
-    return df.withColumn(payload, done)
+    done = normalize_variant(payload, spec.timestamps, spec.normalize_keys, spec.split_acronyms)
+    return computed_once(df, payload, done)
 
 
 def dedupe_payload(

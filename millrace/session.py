@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that decide results. All can be set on a running session.
 RESULT_CONF = {
@@ -52,6 +52,15 @@ def adopt(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a small input out over all cores before costly per-row work.
+
+    An input with at least as many splits as cores, as any large one has, is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def workspace(spark: SparkSession, purpose: str) -> str:
     """A new folder for intermediate tables, under the shared ``spark.checkpoint.dir``.
 
