@@ -12,7 +12,7 @@ from millrace.functions import timefn, variants as V
 from millrace.functions.text import trim_ws
 from millrace.operators import clean, dedupe as dd, flatten, governance, merge, normalize, validate
 from millrace.plans import analytics, metrics, quality, runs, transform
-from millrace.session import workspace
+from millrace.session import spread, workspace
 from millrace.sinks import stage as stage_sink, tables
 from millrace.sources import extract, jsonl, pages, stage as stage_source
 from millrace.specs import API_A, API_B, LINEAGE
@@ -68,7 +68,7 @@ def read_jsonl(spark, sf_dir):
 
 def _stage_events(spark, sf_dir, part=None) -> str:
     """All events staged as JSON lines, one batch per day."""
-    events = table(spark, sf_dir, "events")
+    events = spread(table(spark, sf_dir, "events"))
     rows = events.select(
         F.parse_json(D.json_a()).alias("payload"),
         F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day"),
@@ -353,7 +353,7 @@ def merge_b(spark, sf_dir):
 @query
 def merge_a_measured(spark, sf_dir):
     """The same upsert through the job that writes the slice, measures it and picks the join."""
-    return plain(tables.merge_slice(*_old_and_new(spark, sf_dir, API_A), API_A))
+    return plain(tables.merge_slice(*_old_and_new(spark, sf_dir, API_A), API_A, workspace(spark, "slice")))
 
 
 @query
@@ -404,7 +404,7 @@ def _nested(spark, sf_dir) -> DataFrame:
     location = F.struct(kind.alias("city"), F.concat(F.lit("c"), (n % 7).cast("string")).alias("country"))
     person = F.struct(F.col("user_id").cast("string").alias("name"), F.struct((n % 90).alias("age"), location.alias("location")).alias("profile"))
     items = F.array(F.struct(F.lit("A1").alias("sku"), (n % 5).alias("qty")))
-    return table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), person.alias("user"), items.alias("items"))
+    return spread(table(spark, sf_dir, "events")).select(F.col("event_id").alias("id"), person.alias("user"), items.alias("items"))
 
 
 def _nested_payload(spark, sf_dir) -> DataFrame:
@@ -439,7 +439,7 @@ def _odd_keys(spark, sf_dir) -> DataFrame:
         F.lit('{"userId": '), F.col("user_id").cast("string"), F.lit(', "event-type": "'), F.col("event_type"),
         F.lit('", "Total  Amount@": '), F.col("event_id").cast("string"), F.lit(', "someAPIKey": "x", "__hidden__": null}'),
     )
-    return table(spark, sf_dir, "events").select("event_id", F.parse_json(text).alias("payload"))
+    return spread(table(spark, sf_dir, "events")).select("event_id", F.parse_json(text).alias("payload"))
 
 
 @query
@@ -486,14 +486,17 @@ def _spellings():
         F.date_format(ts, "dd.MM.yyyy HH:mm"),
         F.lit("not a timestamp"),
     ]
-    return F.element_at(F.array(*spelled), (n + 1).cast("int"))
+    out = F.when(n == 0, spelled[0])
+    for i, text in enumerate(spelled[1:], 1):
+        out = out.when(n == i, text)
+    return out
 
 
 @query
 def normalize_ts(spark, sf_dir):
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
     epoch = F.when(F.col("event_id") % 2 == 0, F.floor(micros / 1000)).otherwise(F.floor(micros / 1000000))
-    rows = table(spark, sf_dir, "events").select("event_id", _spellings().alias("text"), epoch.alias("epoch"))
+    rows = spread(table(spark, sf_dir, "events")).select("event_id", _spellings().alias("text"), epoch.alias("epoch"))
     return rows.select(
         "event_id",
         timefn.normalize_ts("text").alias("normal"),
@@ -514,7 +517,7 @@ def normalize_records(spark, sf_dir):
 def normalize_typed(spark, sf_dir):
     """The same on typed columns, as a projection."""
     inner = F.struct(F.concat(F.lit(" "), F.col("event_type")).alias("Type-Name"), F.col("ts").alias("updatedAt"))
-    rows = table(spark, sf_dir, "events").select(F.col("event_id").alias("eventId"), F.array(inner).alias("subRecords"), _spellings().alias("createdAt"))
+    rows = spread(table(spark, sf_dir, "events")).select(F.col("event_id").alias("eventId"), F.array(inner).alias("subRecords"), _spellings().alias("createdAt"))
     done = normalize.normalize_struct(rows, ["created_at", "updated_at"])
     one = F.element_at("sub_records", 1)
     return done.select("event_id", "created_at", one["type_name"].alias("type_name"), one["updated_at"].alias("updated_at"))

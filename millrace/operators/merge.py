@@ -13,22 +13,20 @@ def _newer(s: Column, t: Column, version: str) -> Column:
     return s[version] > t[version]
 
 
-def _spread(df: DataFrame, key: str, spread_by: str) -> Column:
+def _spread(df: DataFrame, key: str) -> Column:
     """0 for real keys; for NULL keys, which match nothing, a bucket made from the row's content."""
-    return F.when(F.col(key).isNull(), F.pmod(F.xxhash64(spread_by), F.lit(NULL_SPREAD))).otherwise(F.lit(0))
+    return F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*df.columns), F.lit(NULL_SPREAD))).otherwise(F.lit(0))
 
 
-def merge_newer(
-    target: DataFrame, source: DataFrame, key: str, version: str, spread_by: str = "ingested_at"
-) -> DataFrame:
+def merge_newer(target: DataFrame, source: DataFrame, key: str, version: str) -> DataFrame:
     """The target after the upsert, for a source of any size; one shuffle of both sides on the key.
 
     The source holds at most one row per key. A NULL key matches nothing, so a source row with a NULL
     key is always added.
     """
     columns = target.columns
-    t = target.select(F.col(key).alias("__k"), _spread(target, key, spread_by).alias("__b"), F.struct(*columns).alias("t"))
-    s = source.select(F.col(key).alias("__k"), _spread(source, key, spread_by).alias("__b"), F.struct(*columns).alias("s"))
+    t = target.select(F.col(key).alias("__k"), _spread(target, key).alias("__b"), F.struct(*columns).alias("t"))
+    s = source.select(F.col(key).alias("__k"), _spread(source, key).alias("__b"), F.struct(*columns).alias("s"))
     both = t.join(s, ["__k", "__b"], "full_outer")
     t, s = F.col("t"), F.col("s")
     merged = F.when(t.isNull() | _newer(s, t, version), s).otherwise(t)

@@ -24,6 +24,11 @@ def _files(spark: SparkSession, path: str):
     return hadoop_path, hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    folder, fs = _files(spark, path)
+    fs.delete(folder, True)
+
+
 def versions(spark: SparkSession, path: str) -> list[int]:
     """Finished versions, oldest first."""
     folder, fs = _files(spark, path)
@@ -51,8 +56,7 @@ def replace_table(df: DataFrame, path: str, version: int | None = None, keep: in
     number = (done[-1] + 1 if done else 0) if version is None else version
     df.write.mode("overwrite").parquet(f"{path}/version={number}")
     for old in [v for v in done if v != number][: max(len(done) + 1 - keep, 0)]:
-        folder, fs = _files(spark, f"{path}/version={old}")
-        fs.delete(folder, True)
+        drop_folder(spark, f"{path}/version={old}")
     return number
 
 
@@ -66,20 +70,29 @@ def is_small(spark: SparkSession, path: str) -> bool:
     return size <= BROADCAST_FILE_BYTES and spark.read.parquet(path).count() <= BROADCAST_ROWS
 
 
-def merge_slice(target: DataFrame, slice_df: DataFrame, spec: SourceSpec) -> DataFrame:
+def merge_slice(target: DataFrame, slice_df: DataFrame, spec: SourceSpec, work: str) -> DataFrame:
     """Upsert a slice into a table, by broadcast when the slice is measured small, else by shuffle.
 
-    The slice is written to the work folder first: it is read up to three times, and its size is
-    known only then.
+    The slice is first written to the ``work`` folder: it is read up to three times, and its size is known
+    only then. The result reads it from there.
     """
     spark = target.sparkSession
-    path = workspace(spark, f"slice-{spec.name}")
-    slice_df.write.parquet(path)
-    ready = spark.read.schema(spec.clean_schema).parquet(path)
-    merge = merge_newer_small if is_small(spark, path) else merge_newer
+    slice_df.write.mode("overwrite").parquet(work)
+    ready = spark.read.schema(spec.clean_schema).parquet(work)
+    merge = merge_newer_small if is_small(spark, work) else merge_newer
     return merge(target, ready, spec.key, spec.version)
 
 
+def replace_by_upsert(target: DataFrame, slice_df: DataFrame, path: str, spec: SourceSpec, version: int | None = None) -> int:
+    """Write the upserted table as its next (or the given) version."""
+    spark = target.sparkSession
+    work = workspace(spark, f"slice-{spec.name}")
+    try:
+        return replace_table(merge_slice(target, slice_df, spec, work), path, version)
+    finally:
+        drop_folder(spark, work)
+
+
 def rebuild(raw: DataFrame, path: str, spec: SourceSpec, as_of=None, tie_break=(), on_error: str = "fail") -> int:
     """Replace the clean table by a full rebuild from RAW."""
     return replace_table(clean_full(raw, spec, as_of, on_error, tie_break), path)
@@ -89,4 +102,4 @@ def upsert(raw: DataFrame, path: str, spec: SourceSpec, as_of=None, tie_break=()
     """Bring the clean table up to date with the RAW rows since its last load."""
     target = read_table(raw.sparkSession, path, spec.clean_schema)
     new = incremental_slice(raw, target, spec, as_of, on_error, tie_break)
-    return replace_table(merge_slice(target, new, spec), path)
+    return replace_by_upsert(target, new, path, spec)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.operators.clean import clean_full
-from millrace.sinks.tables import merge_slice, read_version, replace_table, versions
+from millrace.sinks.tables import read_version, replace_by_upsert, versions
 from millrace.specs import RAW_SCHEMA, SourceSpec
 
 
@@ -42,7 +42,7 @@ def stream_upsert(
         if done and batch_id not in done:
             raise RuntimeError(f"version {batch_id} of {clean_path} is missing; was its checkpoint replaced?")
         new = clean_full(batch, spec, as_of, on_error, tie_break)
-        replace_table(merge_slice(target, new, spec), clean_path, version=batch_id + 1)
+        replace_by_upsert(target, new, clean_path, spec, version=batch_id + 1)
 
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return rows.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(**trigger).start()
