@@ -142,9 +142,10 @@ def load_history(spark, sf_dir):
     history = jsonl.load_history(jsonl.text_lines(spark, _order_lines(spark, sf_dir)))
     per_batch = history.groupBy(jsonl.batch_of(F.col("file_name")).alias("batch_id")).agg(
         F.sum("row_parsed").alias("row_parsed"), F.sum("row_count").alias("row_count"), F.sum("error_count").alias("error_count"),
-        F.max("first_error_message").alias("first_error_message"),
     )
-    return per_batch.withColumn("status", jsonl.load_state(F.col("row_count"), F.col("error_count")))
+    state = jsonl.load_state(F.col("row_count"), F.col("error_count"))
+    message = F.when(F.col("error_count") > 0, F.lit(jsonl.BAD_JSON))
+    return per_batch.withColumns({"status": state, "first_error_message": message})
 
 
 @query
@@ -678,10 +679,9 @@ def schema_drift(spark, sf_dir):
 
 @query
 def masked_view(spark, sf_dir):
-    people = table(spark, sf_dir, "customer").select("c_custkey", F.concat("c_name", F.lit("@example.com")).alias("email"))
-    seen = governance.masked(people, ["email"], "ANALYST_ROLE")
-    other = governance.masked(people, ["email"], "TRANSFORMER_ROLE").withColumnRenamed("email", "full_email")
-    return seen.join(other, "c_custkey")
+    address = F.concat("c_name", F.lit("@example.com"))
+    people = table(spark, sf_dir, "customer").select("c_custkey", address.alias("email"), address.alias("full_email"))
+    return governance.masked(governance.masked(people, ["email"], "ANALYST_ROLE"), ["full_email"], "TRANSFORMER_ROLE")
 
 
 @query

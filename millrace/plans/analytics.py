@@ -94,31 +94,37 @@ def data_freshness(a: DataFrame, b: DataFrame, as_of=None) -> DataFrame:
 def ingestion_history(a: DataFrame, b: DataFrame, ids_unique: bool = False) -> DataFrame:
     """Per batch: first and last ingestion, rows, ids, and the first of its file names.
 
-    Rows are first combined per batch and file (and id, when ids must be counted distinct): a minimum
-    over texts would otherwise sort every row. The second step sees one row per file or id.
+    A minimum over texts makes Spark sort its input, so it is taken over the few distinct files of a
+    batch and never over the rows. When ids are unique the files carry all other facts too; otherwise
+    these come from a hash aggregate of their own.
     """
 
-    def per_source(df: DataFrame, _spec: SourceSpec) -> DataFrame:
-        facts = [
+    def facts(ids: Column) -> list[Column]:
+        return [
             F.min("ingested_at").alias("batch_start"),
             F.max("ingested_at").alias("batch_end"),
             F.count(F.lit(1)).alias("record_count"),
+            ids.alias("unique_ids"),
         ]
-        rollup = [
+
+    def by_file(df: DataFrame, _spec: SourceSpec) -> DataFrame:
+        return df.groupBy("batch_id", "file_name").agg(*facts(F.count("id"))).groupBy("batch_id").agg(
             F.min("batch_start").alias("batch_start"),
             F.max("batch_end").alias("batch_end"),
             F.sum("record_count").alias("record_count"),
-        ]
-        if ids_unique:
-            files = df.groupBy("batch_id", "file_name").agg(*facts, F.count("id").alias("ids"))
-            ids = F.sum("ids")
-        else:
-            files = df.groupBy("batch_id", "file_name", "id").agg(*facts)
-            ids = F.count_distinct("id")
-        return files.groupBy("batch_id").agg(*rollup, ids.alias("unique_ids"), F.min("file_name").alias("file_name"))
+            F.sum("unique_ids").alias("unique_ids"),
+            F.min("file_name").alias("file_name"),
+        )
+
+    def by_row(df: DataFrame, _spec: SourceSpec) -> DataFrame:
+        files = df.select("batch_id", "file_name").distinct().groupBy(F.col("batch_id").alias("file_batch"))
+        named = files.agg(F.min("file_name").alias("file_name"))
+        batches = df.groupBy("batch_id").agg(*facts(F.count_distinct("id")))
+        return batches.join(named, F.col("batch_id").eqNullSafe(F.col("file_batch"))).drop("file_batch")
 
     columns = ["source", "batch_id", "batch_start", "batch_end", "record_count", "unique_ids", "file_name"]
-    return _tagged(a, b, per_source).select(*columns).orderBy(F.desc_nulls_first("batch_start"), "source", "batch_id")
+    rows = _tagged(a, b, by_file if ids_unique else by_row).select(*columns)
+    return rows.orderBy(F.desc_nulls_first("batch_start"), "source", "batch_id")
 
 
 def top_categories(a: DataFrame, ids_unique: bool = False) -> DataFrame:

@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from millrace.plans import analytics, quality
 from millrace.plans.metrics import run_metrics, run_summary
@@ -62,13 +62,25 @@ def new_run_id() -> str:
     return uuid.uuid4().hex[:12]
 
 
+def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """The rows, and their number once they have been written: no pass of its own."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("n")), seen
+
+
 def ingest_source(records: DataFrame, source: str, layout: Layout, batch_id: str, at=None, ordinal: str = "ordinal") -> dict:
-    """Transform a source's ``(ordinal, payload)`` records, stage the valid and set the others aside."""
-    valid, rejected = transform_source(records, source, ordinal)
+    """Transform a source's ``(ordinal, payload)`` records, stage the valid and set the others aside.
+
+    Both outputs replace those of an earlier attempt at the same batch.
+    """
+    counted, fetched = _counted(records)
+    valid, _ = transform_source(counted, source, ordinal)
     report = stage(valid.select("payload"), layout.staging, source, batch_id, at, payload="payload")
-    rejected = rejected.withColumn("_batch_id", F.lit(batch_id))
-    append_rows(rejected, layout.quarantine(source))
-    return report
+    _, rejected = transform_source(records, source, ordinal)
+    rejected, set_aside = _counted(rejected.withColumn("_batch_id", F.lit(batch_id)))
+    out = rejected.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_batch_id")
+    out.parquet(layout.quarantine(source))
+    return {**report, "records_fetched": fetched.get["n"], "records_rejected": set_aside.get["n"]}
 
 
 def run_ingestion(
@@ -89,10 +101,8 @@ def run_ingestion(
             records = read()
             if since_column:
                 records = changed_since(records, since_column, since)
-            fetched = records.count()
             report = ingest_source(records, source, layout, batch_id, at)
-            quarantined = spark.read.parquet(layout.quarantine(source)).where(F.col("_batch_id") == batch_id).count()
-            outcome = ("success", fetched, report["record_count"], quarantined, None)
+            outcome = ("success", report["records_fetched"], report["record_count"], report["records_rejected"], None)
         except Exception as error:  # noqa: BLE001 - the sources are independent of each other
             outcome = ("error", None, None, None, str(error))
         rows.append((source, batch_id, *outcome, time.monotonic() - begin))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from millrace.functions import variants as V
 from millrace.functions.timefn import ISO_MICROS, as_of_column, format_ts
-from millrace.sources.stage import LAYOUT, list_stage
+from millrace.sources.stage import LAYOUT, list_stage, staging_path
 
 # to_json would drop null fields and cut timestamps to milliseconds.
 JSON_OPTIONS = {
@@ -80,6 +82,9 @@ def stage(
     """
     # The spread of a single batch is the input's own; only mixed batches need gathering.
     mixed = any(isinstance(x, Column) for x in (source, batch_id, at))
+    if not mixed:
+        at = dt.datetime.fromisoformat(str(at)) if at else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    target = root if mixed else staging_path(root, source, at, batch_id=batch_id)
     source, batch_id, when = _as_column(source), _as_column(batch_id), as_of_column(at)
     lines = df.select(
         json_line(df, batch_id, when, source, schema_version, payload).alias("value"),
@@ -91,7 +96,7 @@ def stage(
     lines, seen = _observed(lines)
     out = lines.hint("rebalance", *LAYOUT) if mixed else lines
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*LAYOUT).text(root)
-    return {"path": root, "record_count": seen.get["record_count"], "schema_version": schema_version}
+    return {"path": target, "record_count": seen.get["record_count"], "schema_version": schema_version}
 
 
 def write_jsonl(
