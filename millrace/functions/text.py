@@ -29,6 +29,8 @@ ACRONYM_RULE = (r"([A-Z]+)([A-Z][a-z])", r"$1_$2")
 
 # Keys that the clean-up would leave as they are.
 SNAKE_FORM = r"^[a-z0-9]+(?:_[a-z0-9]+)*$"
+# Keys in which only capitals can need handling.
+PLAIN_FORM = r"^[a-zA-Z0-9]+$"
 
 # Address masking.
 MASK_PATTERN, MASK_TEXT = r".+@", "***@"
@@ -53,13 +55,24 @@ def _rules(split_acronyms: bool):
 
 
 def snake_sql(x: str, split_acronyms: bool = False) -> str:
-    """`snake_key` as SQL text over the SQL text of a key."""
-    done = x
-    for pattern, replacement in _rules(split_acronyms):
-        done = f"regexp_replace({done}, {literal(pattern)}, {literal(replacement)})"
-    done = f"btrim(regexp_replace(lower({done}), '_+', '_'), '_')"
-    # Most keys are in order already, and one match is cheaper than all the replacements.
-    return f"IF({x} RLIKE {literal(SNAKE_FORM)}, {x}, {done})"
+    """`snake_key` as SQL text over the SQL text of a key.
+
+    Matching is much cheaper than replacing, so keys that need no change, or only their capitals
+    handled, skip the replacements that can not apply to them.
+    """
+
+    def replaced(text: str, rules) -> str:
+        for pattern, replacement in rules:
+            text = f"regexp_replace({text}, {literal(pattern)}, {literal(replacement)})"
+        return f"lower({text})"
+
+    rules = _rules(split_acronyms)
+    capitals = replaced(x, rules[2:])
+    full = f"btrim(regexp_replace({replaced(x, rules)}, '_+', '_'), '_')"
+    return (
+        f"CASE WHEN {x} RLIKE {literal(SNAKE_FORM)} THEN {x}"
+        f" WHEN {x} RLIKE {literal(PLAIN_FORM)} THEN {capitals} ELSE {full} END"
+    )
 
 
 def snake_key(column: str, split_acronyms: bool = False) -> Column:
