@@ -314,6 +314,7 @@ ORACLE: dict[str, str] = {
     "daily_summary": with_clean(f"SELECT *, {NOW} AS refreshed_at FROM ({DAILY})"),
     "data_freshness": with_clean(FRESHNESS),
     "ingestion_history": with_clean(HISTORY),
+    "ingestion_history_exact": with_clean(HISTORY.replace("clean_", "raw_"), b=raw_b("o_custkey")),
     "top_categories": with_clean(CATEGORIES),
     "top_k_categories": with_clean(CATEGORIES + " ORDER BY event_count DESC, category LIMIT 10"),
     "status_distribution": with_clean(

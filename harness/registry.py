@@ -609,7 +609,16 @@ def data_freshness(spark, sf_dir):
 
 @query
 def ingestion_history(spark, sf_dir):
-    return analytics.ingestion_history(*_both(spark, sf_dir))
+    """Over clean tables, whose ids are unique."""
+    return analytics.ingestion_history(*_both(spark, sf_dir), ids_unique=True)
+
+
+@query
+def ingestion_history_exact(spark, sf_dir):
+    """Over rows that repeat ids, which are counted distinct."""
+    a = clean.project(D.raw_a(spark, sf_dir), API_A, AS_OF)
+    b = clean.project(D.raw_b(spark, sf_dir, "o_custkey"), API_B, AS_OF)
+    return analytics.ingestion_history(a, b)
 
 
 @query
