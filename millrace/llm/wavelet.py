@@ -13,6 +13,7 @@ each other in text order. A document larger than a shard makes a shard of its ow
 from __future__ import annotations
 
 import functools
+import os
 import struct
 from collections.abc import Iterator
 
@@ -23,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from millrace.llm.chunks import CACHE_BYTES, CACHE_WORDS, slices
 from millrace.llm.ship import shipped
+from millrace.llm.words import bounded
 
 END_ID = 2
 SHARD_TOKENS = 1 << 20
@@ -141,13 +143,35 @@ class WaveletMatrix:
         return now
 
 
+# A control character between pieces that are encoded together, and how many are.
+MARK, TOGETHER = b"\x01", 512
+
+
 @functools.lru_cache(maxsize=2)
 def _library(path: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores are Spark's
     from tokenizers import Tokenizer
 
     return Tokenizer.from_file(path)
 
 
+def _encode_pieces(pieces: list[bytes], path: str) -> Iterator[tuple[bytes, bytes]]:
+    """Pieces with their ids. Many go through the library as one text, parted by a mark with an id of its own."""
+    library = _library(path)
+    mark = library.encode(MARK.decode(), add_special_tokens=False).ids
+    alone = [p for p in pieces if len(mark) > 1 or MARK in p]
+    for p, e in zip(alone, library.encode_batch([p.decode() for p in alone], add_special_tokens=False), strict=True):
+        yield p, np.array(e.ids, "<u4").tobytes()
+    rest = [p for p in pieces if MARK not in p] if len(mark) == 1 else []
+    groups = [rest[i : i + TOGETHER] for i in range(0, len(rest), TOGETHER)]
+    for i in range(0, len(groups), 64):
+        made = library.encode_batch_fast([(b" " + MARK + b" ").join(g).decode() for g in groups[i : i + 64]], add_special_tokens=False)
+        for group, e in zip(groups[i : i + 64], made, strict=True):
+            ids = np.array(e.ids, "<u4")
+            data, cuts = ids.tobytes(), (4 * np.flatnonzero(ids == mark[0])).tolist()
+            yield from ((p, data[a:b]) for p, a, b in zip(group, [0, *(c + 4 for c in cuts)], [*cuts, len(data)], strict=True))
+
+
 _CACHES: dict[str, dict[bytes, bytes]] = {}
 
 
@@ -163,8 +187,7 @@ def library_ids(texts: list[bytes], path: str) -> list[bytes]:
         known.clear()
         new = list(set().union(*split))
     if new:
-        made = _library(path).encode_batch([p.decode() for p in new], add_special_tokens=False)
-        known.update(zip(new, (np.array(e.ids, "<u4").tobytes() for e in made), strict=True))
+        known.update(_encode_pieces(new, path))
     out = [b"".join(map(known.__getitem__, s)) for s in split]
     for piece in new:
         if len(piece) > CACHE_BYTES:
@@ -212,7 +235,7 @@ def read_shards(spark: SparkSession, folder: str) -> DataFrame:
     order = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
     # One small row per shard of a million ids.
     starts = shards.select("part", "seq", "n_tokens").withColumn("first", F.coalesce(F.sum("n_tokens").over(order), F.lit(0)))
-    return shards.join(starts.select("part", "seq", "first"), ["part", "seq"])
+    return shards.join(bounded(starts.select("part", "seq", "first")), ["part", "seq"])
 
 
 def read_documents(shards: DataFrame) -> DataFrame:
