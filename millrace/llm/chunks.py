@@ -4,25 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 # Bytes of text handled at once, so that memory does not follow the size of Spark's batches.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 # Words kept in a worker's cache. A full cache starts anew; results do not depend on it.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 # Longer words are worked out each time.
 CACHE_BYTES = 64
 
 
+def pieces(column: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
+    """First row and texts, as UTF-8, of stretches of about ``SLICE_BYTES``; null is empty."""
+    raw = column.cast(pa.binary())
+    ends = np.cumsum(pc.binary_length(raw).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = done = 0
+    while start < len(raw):
+        stop = max(start + 1, int(np.searchsorted(ends, done + SLICE_BYTES, "right")))
+        yield start, [t or b"" for t in raw.slice(start, stop - start).to_pylist()]
+        start, done = stop, int(ends[stop - 1])
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Batches cut to about ``SLICE_BYTES`` of text, with the texts as UTF-8; null is empty."""
+    """Batches cut like ``pieces``, with their texts."""
     for batch in batches:
-        texts = [t or b"" for t in batch.column(column).cast(pa.binary()).to_pylist()]
-        start = size = 0
-        for i, t in enumerate(texts):
-            if size and size + len(t) > SLICE_BYTES:
-                yield batch.slice(start, i - start), texts[start:i]
-                start, size = i, 0
-            size += len(t)
-        if start < len(texts):
-            yield batch.slice(start), texts[start:]
+        for start, texts in pieces(batch.column(column)):
+            yield batch.slice(start, len(texts)), texts

@@ -18,10 +18,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.llm.chunks import CACHE_BYTES, CACHE_WORDS
+from millrace.llm.chunks import CACHE_BYTES, CACHE_WORDS, pieces
 from millrace.llm.ship import shipped
 
-SLICE_BYTES = 4 << 20
 GRAM = 5
 # (least characters per token, most, most byte tokens per token, least entropy over the most possible)
 DEFAULT_BAND = (1.2, 8.0, 0.25, 0.45)
@@ -137,14 +136,7 @@ def _measured(text: Column, path: str) -> Column:
     @F.arrow_udf(DDL)
     def measure(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in texts:
-            rows = [t or b"" for t in column.cast(pa.binary()).to_pylist()]
-            done, start, size = [], 0, 0
-            for i, t in enumerate([*rows, None]):
-                if t is None or (size and size + len(t) > SLICE_BYTES):
-                    if i > start:
-                        done.append(_measure(rows[start:i], path))
-                    start, size = i, 0
-                size += len(t or b"")
+            done = [_measure(t, path) for _, t in pieces(column)]
             columns = [np.concatenate([d[f.name] for d in done]) if done else np.zeros(0) for f in STRUCT]
             yield pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, STRUCT, strict=True)], fields=list(STRUCT))
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from millrace.llm.chunks import CACHE_BYTES, CACHE_WORDS, slices
+from millrace.llm.chunks import CACHE_BYTES, slices
 from millrace.llm.ship import shipped
 from millrace.llm.words import bounded
 
@@ -143,6 +143,8 @@ class WaveletMatrix:
         return now
 
 
+# Pieces kept in a worker's cache; a full cache starts anew.
+CACHE_PIECES = 400_000
 # A control character between pieces that are encoded together, and how many are.
 MARK, TOGETHER = b"\x01", 512
 
@@ -183,7 +185,7 @@ def library_ids(texts: list[bytes], path: str) -> list[bytes]:
     known = _CACHES.setdefault(path, {})
     split = [t.split() for t in texts]
     new = [p for p in set().union(*split) if p not in known]
-    if new and len(known) + len(new) > CACHE_WORDS:
+    if new and len(known) + len(new) > CACHE_PIECES:
         known.clear()
         new = list(set().union(*split))
     if new:
