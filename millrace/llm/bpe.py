@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import functools
 import heapq
+import itertools
 import json
 import re
 from collections.abc import Iterable, Iterator
@@ -28,7 +29,8 @@ from pyspark.sql import DataFrame, functions as F
 from millrace.llm.chunks import CACHE_BYTES, CACHE_WORDS, slices
 from millrace.llm.ship import shipped
 
-NEVER = np.iinfo(np.int64).max
+NEVER = int(np.iinfo(np.int64).max)
+SHORT = 100  # symbols up to which a list is faster than a queue
 ASCII_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 
 
@@ -82,15 +84,16 @@ class WordBpe:
         self.sound = born < 0
         for z, ok in sorted(zip(made.tolist(), holds.tolist(), strict=True), key=lambda x: born[x[0]]):
             self.sound[z] = ok and self.sound[left[z]] and self.sound[right[z]]
-        # Tokens that encode to themselves, by their string; a word's end is marked by a letter that no byte has.
-        self.tokens: dict[str, int] = {}
+        # Prefixes of tokens that encode to themselves, with the token if one ends there, else -1. A word's end is
+        # marked by a letter that no byte has.
+        self.prefixes: dict[str, int] = {}
         for name, i in self.vocab.items():
             ends = bool(self.suffix) and name.endswith(self.suffix) and len(name) > len(self.suffix)
+            name = name[: -len(self.suffix)] + "\0" if ends else name
             if self.sound[i]:
-                self.tokens[name[: -len(self.suffix)] + "\0" if ends else name] = i
-        self.longest: dict[str, int] = {}
-        for name in self.tokens:
-            self.longest[name[0]] = max(self.longest.get(name[0], 0), len(name))
+                for j in range(1, len(name)):
+                    self.prefixes.setdefault(name[:j], -1)
+                self.prefixes[name] = i
 
     def rank_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Merge ranks of pairs, ``NEVER`` for pairs that do not merge."""
@@ -122,13 +125,17 @@ class WordBpe:
 
     def greedy(self, word: str) -> list[int]:
         """Longest sound tokens from the left; ``word`` is in byte letters and ends in the end mark."""
-        out, i, n, tokens = [], 0, len(word), self.tokens
+        out, i, n, prefixes = [], 0, len(word), self.prefixes.get
         while i < n:
-            j = min(n, i + self.longest[word[i]])
-            while word[i:j] not in tokens or j == n - 1:  # the end mark never stands alone
-                j -= 1
-            out.append(tokens[word[i:j]])
-            i = j
+            best, stop, j = -1, i, i + 1
+            while j <= n and (token := prefixes(word[i:j])) is not None:
+                if token >= 0 and j != n - 1:  # the end mark never stands alone
+                    best, stop = token, j
+                j += 1
+            if best < 0:
+                raise ValueError(f"no token starts {word[i:]!r}")
+            out.append(best)
+            i = stop
         return out
 
     def merge(self, word: str) -> list[int]:
@@ -137,6 +144,25 @@ class WordBpe:
         ids = [self.vocab[c] for c in plain]
         if plain != word:
             ids[-1] = self.vocab[plain[-1] + self.suffix]
+        return self._merge_short(ids) if len(ids) <= SHORT else self._merge_long(ids)
+
+    def _merge_short(self, ids: list[int]) -> list[int]:
+        find, none = self.merges.get, (NEVER, -1)
+        found = [find(p, none) for p in zip(ids, ids[1:])]
+        while found:
+            best = min(found)
+            if best is none:
+                break
+            i = found.index(best)
+            ids[i : i + 2] = [best[1]]
+            del found[i]
+            if i:
+                found[i - 1] = find((ids[i - 1], ids[i]), none)
+            if i < len(found):
+                found[i] = find((ids[i], ids[i + 1]), none)
+        return ids
+
+    def _merge_long(self, ids: list[int]) -> list[int]:
         after, before = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
         queue = [(m[0], i, ids[i], ids[i + 1]) for i in range(len(ids) - 1) if (m := self.merges.get((ids[i], ids[i + 1])))]
         heapq.heapify(queue)
@@ -172,7 +198,8 @@ class WordBpe:
         if piece.isascii():
             text = piece.decode("ascii")
             if not self.special_pattern or not self.special_pattern.search(text):
-                return ["".join(map(self.letters.__getitem__, w.encode())) + "\0" for w in ASCII_WORD.findall(text.lower())] if text.isprintable() else self._split(text)
+                # Printable ASCII bytes stand for themselves.
+                return [w + "\0" for w in ASCII_WORD.findall(text.lower())] if text.isprintable() else self._split(text)
         return self._split(piece.decode("utf-8"))
 
     def _split(self, text: str) -> list[str | int]:
@@ -188,8 +215,9 @@ class WordBpe:
         """Token ids of pieces of text."""
         parts = [self.split(p) for p in pieces]
         words = list({w for p in parts for w in p if isinstance(w, str)})
-        ids = dict(zip(words, self.encode_words(words), strict=True))
-        return [[t for w in p for t in (ids[w] if isinstance(w, str) else (w,))] for p in parts]
+        ids: dict[str | int, list[int]] = dict(zip(words, self.encode_words(words), strict=True))
+        ids.update((i, [i]) for i in self.special.values())
+        return [ids[p[0]] if len(p) == 1 else [t for w in p for t in ids[w]] for p in parts]
 
     def decode(self, ids: Iterable[int]) -> str:
         """The text of ids. Such a vocabulary file names no decoder, so tokens are parted by spaces."""
@@ -213,7 +241,10 @@ def encode_texts(texts: list[bytes], path: str) -> list[bytes]:
         known.clear()
         new = list(set().union(*split))
     if new:
-        known.update(zip(new, (np.array(i, "<u4").tobytes() for i in vocabulary(path).encode_pieces(new)), strict=True))
+        made = vocabulary(path).encode_pieces(new)
+        data = np.fromiter(itertools.chain.from_iterable(made), "<u4").tobytes()
+        ends = list(itertools.accumulate(4 * len(i) for i in made))
+        known.update((p, data[a:b]) for p, a, b in zip(new, [0, *ends], ends))
     out = [b"".join(map(known.__getitem__, s)) for s in split]
     for piece in new:
         if len(piece) > CACHE_BYTES:

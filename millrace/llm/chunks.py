@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 # Bytes of text handled at once, so that memory does not follow the size of Spark's batches.
 SLICE_BYTES = 2 << 20
 # Words kept in a worker's cache. A full cache starts anew; results do not depend on it.
-CACHE_WORDS = 150_000
+CACHE_WORDS = 250_000
 # Longer words are worked out each time.
 CACHE_BYTES = 64
 

@@ -1,4 +1,4 @@
-"""The package on the executors."""
+"""The package on the executors, and the size of the batches it gets there."""
 
 from __future__ import annotations
 
@@ -11,10 +11,16 @@ from pyspark.sql import SparkSession
 import millrace
 
 _SENT: set[str] = set()
+# Rows of a batch between Spark and its Python workers. Texts are long, so batches of Spark's usual 10 000 rows would
+# take memory for nothing.
+BATCH_ROWS = 1000
 
 
 def shipped(spark: SparkSession) -> None:
-    """Send this package to Python workers, unless they find it on the path they inherit."""
+    """Send this package to Python workers, unless they find it on the path they inherit; set smaller batches."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, str(BATCH_ROWS))
     context = spark.sparkContext
     home = os.path.dirname(os.path.dirname(os.path.abspath(millrace.__file__)))
     if context.applicationId in _SENT or home in os.environ.get("PYTHONPATH", "").split(os.pathsep):
