@@ -403,3 +403,7 @@ ORACLE: dict[str, str] = {
 ORACLE["stream_upsert"] = merged(NULLS_A, "updated_at", NOW, NOW).replace(f"created_at < {NOW}", f"created_at < {AT_A}").replace(
     f"created_at >= {NOW}", f"created_at >= {AT_A}"
 )
+
+ORACLE["hourly_rerun"] = f"""WITH a AS ({TRANSFORMED_A}), b AS ({transformed_b('o_orderdate AS version')})
+    SELECT 'api_a' AS part, count(*) AS row_count, count(*) AS ids FROM a UNION ALL SELECT 'api_b', count(*), count(*) FROM b
+    UNION ALL VALUES ('checks r1', 8, 8), ('checks r2', 8, 8), ('metrics r1', 1, 1), ('metrics r2', 1, 1)"""

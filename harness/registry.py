@@ -15,7 +15,7 @@ from millrace.plans import analytics, metrics, quality, runs, transform
 from millrace.session import spread, workspace
 from millrace.sinks import stage as stage_sink, tables
 from millrace.sources import extract, jsonl, pages, stage as stage_source
-from millrace.specs import API_A, API_B, LINEAGE
+from millrace.specs import API_A, API_B, LINEAGE, SOURCES
 from millrace.streaming import landing, upsert as upsert_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -815,3 +815,25 @@ def hourly_run(spark, sf_dir):
     outcome = runs.run_ingestion(spark, inputs, layout, batch_id="run1", at=AS_OF)
     runs.run_hourly(spark, layout, outcome, "run1", AS_OF)
     return runs.dashboard(spark, layout, AS_OF)
+
+
+@query
+def hourly_rerun(spark, sf_dir):
+    """Two batches under one time, the second run twice: every id once, checks and metrics once per batch."""
+    layout = runs.Layout(workspace(spark, "installation"))
+    for batch, part in (("r1", 0), ("r2", 1), ("r2", 1)):
+        inputs = {
+            "api_a": lambda part=part: D.messy_records(spark, sf_dir).where(F.col("ordinal") % 2 == part),
+            "api_b": lambda part=part: D.messy_b_records(spark, sf_dir).where(F.col("ordinal") % 2 == part),
+        }
+        outcome = runs.run_ingestion(spark, inputs, layout, batch_id=batch, at=AS_OF)
+        runs.run_hourly(spark, layout, outcome, batch, AS_OF)
+    counts = []
+    for source, spec in SOURCES.items():
+        t = tables.read_table(spark, layout.clean(source), spec.clean_schema)
+        counts.append(t.agg(F.lit(source).alias("part"), F.count(F.lit(1)).alias("row_count"), F.count_distinct(spec.key).alias("ids")))
+    for name, path in (("checks", layout.checks), ("metrics", layout.metrics)):
+        rows = spark.read.parquet(path).groupBy("batch_id")
+        counts.append(rows.agg(F.count(F.lit(1)).alias("row_count")).select(F.concat(F.lit(f"{name} "), F.col("batch_id")).alias("part"), "row_count", "row_count"))
+    out = counts[0].union(counts[1]).union(counts[2]).union(counts[3])
+    return out.toDF("part", "row_count", "ids")

@@ -28,9 +28,9 @@ KEY_RULES = (
 ACRONYM_RULE = (r"([A-Z]+)([A-Z][a-z])", r"$1_$2")
 
 # Keys that the clean-up would leave as they are.
-SNAKE_FORM = r"^[a-z0-9]+(?:_[a-z0-9]+)*$"
+SNAKE_FORM = r"^[a-z0-9]+(?:_[a-z0-9]+)*\z"
 # Keys in which only capitals can need handling.
-PLAIN_FORM = r"^[a-zA-Z0-9]+$"
+PLAIN_FORM = r"^[a-zA-Z0-9]+\z"
 
 # Address masking.
 MASK_PATTERN, MASK_TEXT = r".+@", "***@"

@@ -40,10 +40,10 @@ _GAP = f"[{WS_CLASS}]+"
 
 ISO_FORM = (
     rf"^({_Y}-{_M}-){_DAY_BLANK}({_D})"
-    rf"(?:[Tt]({_CLOCK}{_FRACTION})(?:[Zz]|({_OFFSET}))|{_GAP}({_CLOCK}{_FRACTION}))?$"
+    rf"(?:[Tt]({_CLOCK}{_FRACTION})(?:[Zz]|({_OFFSET}))|{_GAP}({_CLOCK}{_FRACTION}))?\z"
 )
-DAY_FIRST_FORM = rf"^{_DAY_BLANK}({_D})/({_M})/({_Y}){_GAP}({_CLOCK})$"
-MONTH_FIRST_FORM = rf"^({_M})/{_DAY_BLANK}({_D})/({_Y}){_GAP}({_CLOCK})$"
+DAY_FIRST_FORM = rf"^{_DAY_BLANK}({_D})/({_M})/({_Y}){_GAP}({_CLOCK})\z"
+MONTH_FIRST_FORM = rf"^({_M})/{_DAY_BLANK}({_D})/({_Y}){_GAP}({_CLOCK})\z"
 
 # (pattern, rearrangement into a text that casts to a timestamp), tried in this order, so a date
 # such as 05/01/2024 is the fifth of January.

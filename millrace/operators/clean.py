@@ -15,6 +15,9 @@ CAST_ERRORS = "_cast_errors"
 
 # Fixed value: where an incremental run starts when the clean table is empty.
 BEGINNING = "1900-01-01"
+# RAW rows have no ordinal, so versions that tie are told apart by their file and content.
+CONTENT = "_content"
+STABLE_ORDER = ("file_name", CONTENT)
 
 
 def project(raw: DataFrame, spec: SourceSpec, as_of=None, on_error: str = "fail", extra: Sequence[str] = ()) -> DataFrame:
@@ -49,6 +52,8 @@ def clean_full(
     raw: DataFrame, spec: SourceSpec, as_of=None, on_error: str = "fail", tie_break: Sequence[str] = ()
 ) -> DataFrame:
     """The clean table, rebuilt from all of RAW."""
+    if CONTENT in tie_break and CONTENT not in raw.columns:
+        raw = raw.withColumn(CONTENT, F.xxhash64(F.to_json("payload")))
     typed = project(raw, spec, as_of, on_error, [t for t in tie_break if t in raw.columns and t not in LINEAGE])
     return latest_per_key(typed, spec.key, spec.version, tie_break).select(*spec.clean_columns)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from millrace.functions import variants as V
@@ -49,6 +51,11 @@ def flatten_struct(df: DataFrame, sep: str = "_", max_depth: int = 10) -> DataFr
     return df.select([c.alias(path) for path, c in flat.items()])
 
 
+# Type names of a schema text; quoted field names are matched whole and plain ones are followed by a colon.
+TYPE_WORD = re.compile(r"`(?:[^`]|``)*`|\bOBJECT(?=<)|\bVOID\b(?!\s*:)")
+TYPE_NAMES = {"OBJECT": "STRUCT", "VOID": "VARIANT"}
+
+
 def struct_type_of(df: DataFrame, column: str) -> str:
     """The struct type that covers every payload of a VARIANT column, found in one aggregation pass.
 
@@ -56,7 +63,7 @@ def struct_type_of(df: DataFrame, column: str) -> str:
     mixed types stays VARIANT.
     """
     text = df.agg(F.schema_of_variant_agg(column).alias("s")).first()["s"]
-    return text.replace("OBJECT<", "STRUCT<").replace("VOID", "VARIANT") if text else "STRUCT<>"
+    return TYPE_WORD.sub(lambda m: TYPE_NAMES.get(m[0], m[0]), text) if text else "STRUCT<>"
 
 
 def type_payload(df: DataFrame, column: str, struct_ddl: str | None = None) -> DataFrame:

@@ -63,6 +63,22 @@ def normalize_variant(
     return F.expr(f"IF({is_object}, {container(source, max_depth)}, NULL)")
 
 
+def variant_depth(df: DataFrame, column: str) -> int:
+    """Levels of objects and lists in the deepest payload of a VARIANT column."""
+    bare = F.regexp_replace(F.to_json(column), r'"(?:[^"\\]++|\\.)*+"', "")
+    brackets = F.split(F.translate(F.regexp_replace(bare, r"[^\[\]{}]", ""), "[]{}", "<><>"), "")
+    level = F.aggregate(
+        brackets,
+        F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")),
+        lambda a, b: F.struct(
+            (a["now"] + F.when(b == "<", 1).when(b == ">", -1).otherwise(0)).alias("now"),
+            F.greatest(a["most"], a["now"] + F.when(b == "<", 1).otherwise(0)).alias("most"),
+        ),
+        lambda a: a["most"],
+    )
+    return df.agg(F.max(level).alias("most")).first()["most"] or 0
+
+
 def key_report(df: DataFrame, column: str = "payload", split_acronyms: bool = False) -> DataFrame:
     """Top-level keys that collide or vanish under `snake_key`.
 

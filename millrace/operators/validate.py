@@ -17,6 +17,9 @@ NULL = "Null value for required field: "
 EMPTY = "Empty value for required field: "
 
 
+NOT_OBJECT = "Record is not an object"
+
+
 class ValidationError(Exception):
     def __init__(self, errors: list[str]):
         self.errors = errors
@@ -48,6 +51,9 @@ def with_validation_errors(df: DataFrame, required: Sequence[str], payload: str
     otherwise they are columns, missing when there is no such column.
     """
     errors = [_payload_error(F.col(payload), f) if payload else _column_error(df, f) for f in required]
+    if payload:
+        other = F.try_variant_get(F.col(payload), "$", V.ENTRIES).isNull()
+        errors = [F.when(other, F.lit(NOT_OBJECT)), *(F.when(~other, e) for e in errors)]
     listed = F.array_compact(F.array(*errors)) if errors else F.array().cast("array<string>")
     return df.withColumn(ERRORS, listed)
 

@@ -161,6 +161,10 @@ def critical_failures(results: DataFrame) -> DataFrame:
     return results.where(F.col("check_name").isin(*CRITICAL_CHECKS) & (F.col("passed") == F.lit(False)))
 
 
+# Messages quoted by the gate.
+QUOTED = 100
+
+
 class QualityGateError(Exception):
     """A critical check failed."""
 
@@ -168,8 +172,11 @@ class QualityGateError(Exception):
 def gate(results: DataFrame) -> None:
     """Raise when a critical check of these results failed; others only show in the reports.
 
-    Reads at most 100 messages: enough to say what is wrong, however many tables were checked.
+    The message gives their exact number and quotes up to ``QUOTED`` of them; all are in the check results.
     """
-    bad = critical_failures(results).select("error_message").orderBy("error_message").limit(100).collect()
-    if bad:
-        raise QualityGateError(f"Critical DQ check failures: {[r.error_message for r in bad]}")
+    bad = critical_failures(results)
+    n = bad.count()
+    if n:
+        said = [r.error_message for r in bad.select("error_message").orderBy("error_message").limit(QUOTED).collect()]
+        more = f" and {n - len(said)} more in the check results" if n > len(said) else ""
+        raise QualityGateError(f"{n} critical checks failed: {said}{more}")

@@ -10,14 +10,16 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from millrace.operators.clean import STABLE_ORDER
 from millrace.plans import analytics, quality
 from millrace.plans.metrics import run_metrics, run_summary
 from millrace.plans.transform import transform_source
 from millrace.sinks.stage import stage
-from millrace.sinks.tables import append_rows, read_table, replace_table, upsert
+from millrace.sinks.tables import read_table, replace_batches, replace_table
 from millrace.sources.extract import changed_since
 from millrace.specs import SOURCES
-from millrace.streaming.landing import land, read_raw
+from millrace.streaming.landing import land
+from millrace.streaming.upsert import stream_upsert
 
 RESULT_SCHEMA = (
     "source string, batch_id string, status string, records_fetched bigint, records_staged bigint, "
@@ -45,6 +47,10 @@ class Layout:
     def summary(self) -> str:
         return f"{self.root}/analytics/anl_daily_summary"
 
+    @property
+    def metrics(self) -> str:
+        return f"{self.root}/analytics/run_metrics"
+
     def raw(self, source: str) -> str:
         return f"{self.root}/raw/{source}"
 
@@ -57,6 +63,9 @@ class Layout:
     def checkpoint(self, source: str) -> str:
         return f"{self.root}/checkpoints/land_{source}"
 
+    def clean_checkpoint(self, source: str) -> str:
+        return f"{self.root}/checkpoints/clean_{source}"
+
 
 def new_run_id() -> str:
     return uuid.uuid4().hex[:12]
@@ -110,26 +119,29 @@ def run_ingestion(
 
 
 def run_hourly(
-    spark: SparkSession, layout: Layout, ingested: DataFrame, batch_id: str, as_of=None, tie_break=(), enforce: bool = True
+    spark: SparkSession, layout: Layout, ingested: DataFrame, batch_id: str, as_of=None, tie_break=STABLE_ORDER, enforce: bool = True
 ) -> DataFrame:
     """Land, clean, refresh the summary, check, gate; returns the run's metrics.
 
-    Landing waits for its query, so the clean step sees all that was staged. The metrics are written
-    before the gate may raise.
+    Landing waits for its query, so the clean step sees all that was staged. Which RAW rows are new is
+    the checkpoint's knowledge and not the clock's, so a run that is repeated, under the same time or
+    another, loses no row and counts none twice; its checks and metrics replace those of the first
+    attempt. The metrics are written before the gate may raise.
     """
     clean = {}
     for source, spec in SOURCES.items():
         query = land(spark, layout.staging, source, layout.raw(source), layout.checkpoint(source), as_of)
         query.awaitTermination()
-        upsert(read_raw(spark, layout.raw(source)), layout.clean(source), spec, as_of, tie_break)
+        merge = stream_upsert(spark, layout.raw(source), layout.clean(source), layout.clean_checkpoint(source), spec, as_of, tie_break)
+        merge.awaitTermination()
         clean[spec] = read_table(spark, layout.clean(source), spec.clean_schema)
     a, b = (clean[spec] for spec in SOURCES.values())
     # The upsert leaves each non-NULL id once, so ids need no distinct count.
     replace_table(analytics.daily_summary(a, b, as_of, ids_unique=True), layout.summary)
-    append_rows(quality.check_tables(clean, as_of, batch_id), layout.checks)
+    replace_batches(quality.check_tables(clean, as_of, batch_id), layout.checks)
     results = spark.read.parquet(layout.checks).where(F.col("batch_id") == batch_id)
     metrics = run_metrics(run_summary(ingested), results)
-    append_rows(metrics, f"{layout.root}/analytics/run_metrics")
+    replace_batches(metrics, layout.metrics)
     if enforce:
         quality.gate(results)
     return metrics

@@ -11,7 +11,7 @@ from millrace.functions import variants as V
 from millrace.operators.dedupe import dedupe
 from millrace.operators.flatten import flatten_records
 from millrace.operators.once import computed_once
-from millrace.operators.normalize import normalize_variant
+from millrace.operators.normalize import normalize_variant, variant_depth
 from millrace.operators.validate import split_valid
 from millrace.specs import API_A, API_B, SourceSpec
 
@@ -25,6 +25,9 @@ class TransformSpec:
     flatten: bool = False
     normalize_keys: bool = True
     split_acronyms: bool = False
+    # None: as deep as the records are, found in one pass over them.
+    max_depth: int | None = None
+    flatten_depth: int = 10
 
 
 def spec_for(source: SourceSpec) -> TransformSpec:
@@ -35,10 +38,12 @@ PRESETS = {s.name: spec_for(s) for s in (API_A, API_B)}
 
 
 def normalized(df: DataFrame, spec: TransformSpec, payload: str = "payload") -> DataFrame:
+    """Records with normalised payloads; one that is not an object stays as it is, for validation to reject."""
+    depth = spec.max_depth or max(1, variant_depth(df, payload))
     if spec.flatten:
-        df = flatten_records(df, payload)
-    done = normalize_variant(payload, spec.timestamps, spec.normalize_keys, spec.split_acronyms)
-    return computed_once(df, payload, done)
+        df = flatten_records(df, payload, max_depth=spec.flatten_depth)
+    done = normalize_variant(payload, spec.timestamps, spec.normalize_keys, spec.split_acronyms, max_depth=depth)
+    return computed_once(df, payload, F.coalesce(done, F.col(payload)))
 
 
 def dedupe_payload(
@@ -49,7 +54,13 @@ def dedupe_payload(
     names = {f"__key{i}": V.field(v, k) for i, k in enumerate(keys)}
     keyed = df.withColumns({n: F.when(~F.is_variant_null(k), F.to_json(k)) for n, k in names.items()})
     if sort:
-        keyed = keyed.withColumn("__sort", V.field(v, sort, "string", "null"))
+        # Numbers compare as numbers and come before texts.
+        keyed = keyed.withColumn("__value", V.field(v, sort))
+        is_number = F.expr(V.is_number("schema_of_variant(__value)"))
+        exact, large = (F.when(is_number, F.try_variant_get("__value", "$", t)) for t in ("decimal(38,9)", "double"))
+        text = F.try_variant_get("__value", "$", "string")
+        order = F.struct(large.isNull().alias("is_text"), large.alias("large"), exact.alias("exact"), F.when(large.isNull(), text).alias("text"))
+        keyed = keyed.withColumn("__sort", F.when(text.isNotNull(), order)).drop("__value")
     one = dedupe(keyed, list(names), "__sort" if sort else None, keep, tie_break=[ordinal])
     return one.drop(*names, "__sort")
 

@@ -17,6 +17,8 @@ RESULT_CONF = {
     "spark.sql.variant.allowDuplicateKeys": "true",
     # Keys that collide after renaming keep the last value.
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+    # Deeply nested payloads give deeply nested expressions, which take a few rounds a level to resolve.
+    "spark.sql.analyzer.maxIterations": "2000",
 }
 
 # Settings that decide speed. AQE coalesces small shuffle partitions, splits skewed ones and

@@ -64,6 +64,12 @@ def append_rows(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def replace_batches(df: DataFrame, path: str) -> None:
+    """Write rows by ``batch_id``, in place of those an earlier attempt at the same batch has written."""
+    out = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
+    out.parquet(path)
+
+
 def is_small(spark: SparkSession, path: str) -> bool:
     """Whether a written table is safe to broadcast, from Parquet footers and the file listing."""
     size = list_stage(spark, path).agg(F.sum("size")).first()[0] or 0
