@@ -52,10 +52,10 @@ def chains(conversations: DataFrame) -> DataFrame:
     return rows.select("tree", "node", F.when(F.col("node") > 0, F.col("node") - 1).alias("parent"), F.lit(0.0).alias("score"), "role", "text")
 
 
-def _self_join(left: DataFrame, right: DataFrame, at: str) -> DataFrame:
-    """``left`` with the columns of the message that its column ``at`` names, if there is one."""
+def _self_join(left: DataFrame, right: DataFrame, at: str, how: str = "left") -> DataFrame:
+    """``left`` with the columns of the message that its column ``at`` names."""
     right = right.select(*(F.col(c).alias(f"r_{c}") for c in right.columns))
-    return left.join(right, left["tree"].eqNullSafe(right["r_tree"]) & (left[at] == right["r_node"]), "left")
+    return left.join(right, left["tree"].eqNullSafe(right["r_tree"]) & (left[at] == right["r_node"]), how)
 
 
 def _jumps(messages: DataFrame) -> list[DataFrame]:
@@ -68,8 +68,10 @@ def _jumps(messages: DataFrame) -> list[DataFrame]:
     step = stored(step.select("tree", "node", F.col("r_node").alias("up"), F.col("score").alias("sum")), "replies")
     tables, n = [step], messages.count()
     while step.where("up is not null").limit(1).count() and 2 ** (len(tables) - 1) <= n:
-        far = _self_join(step, step, "up")
-        step = stored(far.select("tree", "node", F.col("r_up").alias("up"), (F.col("sum") + F.coalesce("r_sum", F.lit(0.0))).alias("sum")), "replies")
+        # Messages that have reached their root are done; only the others go on.
+        far = _self_join(step.where("up is not null"), step, "up", "inner")
+        far = far.select("tree", "node", F.col("r_up").alias("up"), (F.col("sum") + F.col("r_sum")).alias("sum"))
+        step = stored(step.where("up is null").unionByName(far), "replies")
         tables.append(step)
     return tables
 
@@ -91,7 +93,7 @@ def best_paths(messages: DataFrame, branches: int | None = 1) -> DataFrame:
     ranked = stored(ranked if branches is None else ranked.where(F.col("branch") <= branches), "branches")
     paths = ranked.select("tree", F.col("node").alias("leaf"), "branch", F.lit(0).cast("bigint").alias("depth"), "node")
     for n, table in enumerate(tables):
-        far = _self_join(paths, table.select("tree", "node", "up"), "node").where("r_up is not null")
+        far = _self_join(paths, table.select("tree", "node", "up").where("up is not null"), "node", "inner")
         far = far.select("tree", "leaf", "branch", (F.col("depth") + 2**n).alias("depth"), F.col("r_up").alias("node"))
         paths = stored(paths.unionByName(far), "paths")
     return paths

@@ -15,9 +15,9 @@ win AS (
   SELECT DISTINCT item_id, len(w[i:i + 12]) AS n, array_to_string(w[i:i + 12], ' ') AS x
   FROM (SELECT item_id, w, unnest(range(1, greatest(2, len(w) - 11))) AS i FROM bw WHERE len(w) > 0)
 ),
-at AS (SELECT doc_id, text, n, i, array_to_string(w[i:i + n - 1], ' ') AS x
+spot AS (SELECT doc_id, text, n, i, array_to_string(w[i:i + n - 1], ' ') AS x
        FROM (SELECT doc_id, text, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM dw, (SELECT DISTINCT n FROM win))),
-met AS (SELECT at.doc_id, at.text, win.item_id, at.n, at.i FROM at JOIN win USING (n, x)),
+met AS (SELECT spot.doc_id, spot.text, win.item_id, spot.n, spot.i FROM spot JOIN win USING (n, x)),
 hit AS (SELECT doc_id, text, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, text, unnest(range(i, i + n)) AS p FROM met) GROUP BY ALL),
 items AS (SELECT doc_id, text, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
           FROM (SELECT DISTINCT doc_id, text, item_id FROM met) GROUP BY ALL)
@@ -32,7 +32,7 @@ LEFT JOIN items ON dw.doc_id IS NOT DISTINCT FROM items.doc_id AND dw.text IS NO
 ORACLE["op3_line_repeats"] = r"""
 WITH l AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 u AS (
-  SELECT doc_id, lines[i] AS line, CAST(i - 1 + coalesce(list_sum(list_transform(lines[1:i - 1], x -> length(x))), 0) AS bigint) AS start
+  SELECT doc_id, lines[i] AS line, CAST(i - 1 + coalesce(list_sum(list_transform(lines[1:i - 1], lambda x: length(x))), 0) AS bigint) AS start
   FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM l)
 ),
 n AS (SELECT doc_id, start, start + length(line) AS stop, regexp_replace(trim(lower(line)), '\s+', ' ', 'g') AS x FROM u),
