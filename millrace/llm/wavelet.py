@@ -13,7 +13,9 @@ each other in text order. A document larger than a shard makes a shard of its ow
 from __future__ import annotations
 
 import functools
+import json
 import os
+import re
 import struct
 from collections.abc import Iterator
 
@@ -143,35 +145,74 @@ class WaveletMatrix:
         return now
 
 
-# Pieces kept in a worker's cache; a full cache starts anew.
-CACHE_PIECES = 400_000
+# Pieces and words kept in a worker's cache; a full cache starts anew.
+CACHE_PIECES = 600_000
 # A control character between pieces that are encoded together, and how many are.
 MARK, TOGETHER = b"\x01", 512
+# Fixed value: how the vocabulary file parts lower-cased text into words. ASCII text can be parted likewise beforehand.
+WORD_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+ASCII_WORD = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+
+
+class _Library:
+    """A tokenizers file; ``ends`` tells ids that end a word, None where words cannot be told from their ids."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores are Spark's
+        from tokenizers import Tokenizer
+
+        self.library = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        special = b"|".join(re.escape(t["content"].encode()) for t in spec["added_tokens"])
+        # Whether a piece is printable ASCII without special tokens.
+        self.plain = re.compile((b"(?!.*(?:" + special + b"))" if special else b"") + rb"[!-~]+").fullmatch
+        self.mark = self.library.encode(MARK.decode(), add_special_tokens=False).ids
+        suffix = spec["model"].get("end_of_word_suffix")
+        self.ends = None
+        if suffix and WORD_RULE in json.dumps(spec["pre_tokenizer"]).replace("\\\\", "\\") and {"type": "Lowercase"} in (spec["normalizer"] or {}).get("normalizers", []):
+            names = self.library.get_vocab(with_added_tokens=True)
+            self.ends = np.zeros(max(names.values()) + 1, bool)
+            self.ends[[i for name, i in names.items() if name.endswith(suffix)]] = True
+
+    def _together(self, pieces: list[bytes], between: bytes) -> Iterator[tuple[list[bytes], np.ndarray]]:
+        """Groups of pieces with the ids of each group, encoded as one text."""
+        groups = [pieces[i : i + TOGETHER] for i in range(0, len(pieces), TOGETHER)]
+        for i in range(0, len(groups), 64):
+            made = self.library.encode_batch_fast([between.join(g).decode() for g in groups[i : i + 64]], add_special_tokens=False)
+            yield from ((g, np.array(e.ids, "<u4")) for g, e in zip(groups[i : i + 64], made, strict=True))
+
+    def pieces(self, pieces: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """Pieces with their ids. Many go through the library as one text, parted by a mark with an id of its own."""
+        alone = [p for p in pieces if len(self.mark) > 1 or MARK in p]
+        for p, e in zip(alone, self.library.encode_batch([p.decode() for p in alone], add_special_tokens=False), strict=True):
+            yield p, np.array(e.ids, "<u4").tobytes()
+        rest = [p for p in pieces if MARK not in p] if len(self.mark) == 1 else []
+        for group, ids in self._together(rest, b" " + MARK + b" "):
+            data, cuts = ids.tobytes(), (4 * np.flatnonzero(ids == self.mark[0])).tolist()
+            yield from ((p, data[a:b]) for p, a, b in zip(group, [0, *(c + 4 for c in cuts)], [*cuts, len(data)], strict=True))
+
+    def words(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """Words of plain pieces with their ids; the last id of each word ends it, so no mark is needed."""
+        for group, ids in self._together(words, b" "):
+            data, stops = ids.tobytes(), (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
+            if len(stops) == len(group):
+                yield from ((w, data[a:b]) for w, a, b in zip(group, [0, *stops], stops))
+            else:
+                yield from self.pieces(group)
+
+    def encode(self, pieces: list[bytes], known: dict[bytes, bytes]) -> None:
+        """Put the ids of pieces into ``known``, with those of the words that plain ones consist of."""
+        plain = [p for p in pieces if self.plain(p)] if self.ends is not None else []
+        parted = [ASCII_WORD.findall(p.lower()) for p in plain]
+        known.update(self.words([w for w in set().union(*parted) if w not in known]))
+        known.update((p, b"".join(map(known.__getitem__, ws))) for p, ws in zip(plain, parted, strict=True))
+        known.update(self.pieces([p for p in pieces if p not in known]))
 
 
 @functools.lru_cache(maxsize=2)
-def _library(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores are Spark's
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path)
-
-
-def _encode_pieces(pieces: list[bytes], path: str) -> Iterator[tuple[bytes, bytes]]:
-    """Pieces with their ids. Many go through the library as one text, parted by a mark with an id of its own."""
-    library = _library(path)
-    mark = library.encode(MARK.decode(), add_special_tokens=False).ids
-    alone = [p for p in pieces if len(mark) > 1 or MARK in p]
-    for p, e in zip(alone, library.encode_batch([p.decode() for p in alone], add_special_tokens=False), strict=True):
-        yield p, np.array(e.ids, "<u4").tobytes()
-    rest = [p for p in pieces if MARK not in p] if len(mark) == 1 else []
-    groups = [rest[i : i + TOGETHER] for i in range(0, len(rest), TOGETHER)]
-    for i in range(0, len(groups), 64):
-        made = library.encode_batch_fast([(b" " + MARK + b" ").join(g).decode() for g in groups[i : i + 64]], add_special_tokens=False)
-        for group, e in zip(groups[i : i + 64], made, strict=True):
-            ids = np.array(e.ids, "<u4")
-            data, cuts = ids.tobytes(), (4 * np.flatnonzero(ids == mark[0])).tolist()
-            yield from ((p, data[a:b]) for p, a, b in zip(group, [0, *(c + 4 for c in cuts)], [*cuts, len(data)], strict=True))
+def _library(path: str) -> _Library:
+    return _Library(path)
 
 
 _CACHES: dict[str, dict[bytes, bytes]] = {}
@@ -189,10 +230,10 @@ def library_ids(texts: list[bytes], path: str) -> list[bytes]:
         known.clear()
         new = list(set().union(*split))
     if new:
-        known.update(_encode_pieces(new, path))
+        _library(path).encode(new, known)
     out = [b"".join(map(known.__getitem__, s)) for s in split]
-    for piece in new:
-        if len(piece) > CACHE_BYTES:
+    if max(map(len, new), default=0) > CACHE_BYTES:
+        for piece in [p for p in known if len(p) > CACHE_BYTES]:
             del known[piece]
     return out
 
