@@ -387,7 +387,7 @@ ORACLE: dict[str, str] = {
         coalesce(failed, 0) AS failed FROM ({RUNS}) r LEFT JOIN (SELECT {DAY}, count(*) AS total_checks,
         count(CASE WHEN event_id % 5 <> 0 AND event_type <> 'error' THEN 1 END) AS passed,
         count(CASE WHEN event_id % 5 <> 0 AND event_type = 'error' THEN 1 END) AS failed
-        FROM events WHERE day(ts) <= 20 GROUP BY 1) c USING (batch_id)""",
+        FROM events GROUP BY 1) c USING (batch_id)""",
     "hourly_run": f"""WITH a AS (SELECT CAST(strptime(updated_at, {ISO}) AS TIMESTAMP) AS version,
             CAST(strptime(created_at, {ISO}) AS TIMESTAMP) AS created FROM ({TRANSFORMED_A})),
         b AS ({transformed_b('o_orderdate AS version, o_orderdate AS created')}),

@@ -26,7 +26,7 @@ def retained(df: DataFrame, layer: str, as_of=None, column: str = "ingested_at",
 
 
 def expired_days(staged: DataFrame, as_of=None, days: int | None = None) -> DataFrame:
-    """``dt`` partitions of the staging area that are past retention."""
+    """``dt`` partitions of the staging area that are past retention; ``staged`` is best ``staged_days``."""
     keep = RETENTION_DAYS["staging"] if days is None else days
     limit = F.date_format(minus(as_of_column(as_of), days=keep), "yyyy-MM-dd")
     return staged.where(F.col("dt") < limit).select("source", "dt").distinct()

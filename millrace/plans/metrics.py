@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 STEP_LOG_SCHEMA = (
     "source string, batch_id string, step string, row_count bigint, s3_path string, request_duration_ms double, "
@@ -45,7 +45,8 @@ def parse_step_logs(lines: DataFrame, value: str = "value") -> DataFrame:
 def step_log_rollup(logs: DataFrame) -> DataFrame:
     """Per source, batch and step: outcome, rows, duration, retries and the newest error.
 
-    A step that ever logged an error is an error, else a success when it finished, else started.
+    A step that ever logged an error is an error, else a success when it finished, else started. Texts are
+    compared among the error rows only, as a maximum over texts would make Spark sort every log row.
     """
     failed, succeeded = F.col("status") == "error", F.col("status") == "success"
     duration = _exact(F.coalesce("request_duration_ms", "duration_ms"))
@@ -56,8 +57,15 @@ def step_log_rollup(logs: DataFrame) -> DataFrame:
         F.max("row_count").alias("row_count"),
         _two_digits(F.sum(duration)).alias("total_duration_ms"),
         F.max("retry_count").alias("retry_count"),
-        F.max(F.when(failed, F.struct("timestamp", "error"))).getField("error").alias("last_error"),
     )
+    keys = ("source", "batch_id", "step")
+    order = Window.partitionBy(*keys).orderBy(F.desc_nulls_last("timestamp"), F.desc_nulls_last("error"))
+    newest = logs.where(failed).withColumn("nth", F.row_number().over(order)).where("nth = 1")
+    newest = newest.select(*(F.col(k).alias(f"e_{k}") for k in keys), F.col("error").alias("last_error"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"e_{k}"))
+    rolled = rolled.join(newest, same, "left").drop(*(f"e_{k}" for k in keys))
     status = F.when(F.col("errors") > 0, "error").when(F.col("successes") > 0, "success").otherwise("started")
     return rolled.withColumn("status", status)
 

@@ -38,6 +38,13 @@ def read_staged(spark: SparkSession, root: str, source: str | None = None, dt_fr
     return lines.select(F.parse_json("value").alias("payload"), *LAYOUT)
 
 
+def staged_days(spark: SparkSession, root: str) -> DataFrame:
+    """``source`` and ``dt`` of every staged file, from the file listing; no line is read."""
+    name = F.col("file_name")
+    part = lambda key: F.regexp_extract(name, rf"(?:^|/){key}=([^/]*)/", 1).alias(key)
+    return list_stage(spark, root).select(part("source"), part("dt"))
+
+
 def list_stage(spark: SparkSession, path: str) -> DataFrame:
     """Files below a path with size and time, from the file listing alone."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)

@@ -89,6 +89,16 @@ def test_small_merge_does_not_shuffle_the_target(stored):
     assert "FullOuter" in plan_of(merge_newer(a, a, "id", "updated_at"))
 
 
+def test_step_logs_are_counted_by_hash(spark):
+    plan = plan_of(QUERIES["step_log_rollup"](spark, SMALL))
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
+def test_expired_days_come_from_the_listing(spark):
+    plan = plan_of(QUERIES["expired_days"](spark, SMALL))
+    assert "FileScan text" not in plan and "FileScan binaryFile" in plan
+
+
 def test_text_minimum_never_sorts_rows(stored):
     _, a, b = stored
     plan = plan_of(analytics.ingestion_history(a, b))
