@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -155,32 +156,22 @@ ASCII_WORD = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 
 
 class _Library:
-    """A tokenizers file; ``ends`` tells ids that end a word, None where words cannot be told from their ids."""
+    """A tokenizers file; ``worded`` tells whether plain text can be parted into words before the library sees it."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores are Spark's
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        self.model = self.library.model
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         special = b"|".join(re.escape(t["content"].encode()) for t in spec["added_tokens"])
         # Whether a piece is printable ASCII without special tokens.
         self.plain = re.compile((b"(?!.*(?:" + special + b"))" if special else b"") + rb"[!-~]+").fullmatch
         self.mark = self.library.encode(MARK.decode(), add_special_tokens=False).ids
-        suffix = spec["model"].get("end_of_word_suffix")
-        self.ends = None
-        if suffix and WORD_RULE in json.dumps(spec["pre_tokenizer"]).replace("\\\\", "\\") and {"type": "Lowercase"} in (spec["normalizer"] or {}).get("normalizers", []):
-            names = self.library.get_vocab(with_added_tokens=True)
-            self.ends = np.zeros(max(names.values()) + 1, bool)
-            self.ends[[i for name, i in names.items() if name.endswith(suffix)]] = True
-
-    def _together(self, pieces: list[bytes], between: bytes) -> Iterator[tuple[list[bytes], np.ndarray]]:
-        """Groups of pieces with the ids of each group, encoded as one text."""
-        groups = [pieces[i : i + TOGETHER] for i in range(0, len(pieces), TOGETHER)]
-        for i in range(0, len(groups), 64):
-            made = self.library.encode_batch_fast([between.join(g).decode() for g in groups[i : i + 64]], add_special_tokens=False)
-            yield from ((g, np.array(e.ids, "<u4")) for g, e in zip(groups[i : i + 64], made, strict=True))
+        rule = WORD_RULE in json.dumps(spec["pre_tokenizer"]).replace("\\\\", "\\")
+        self.worded = rule and {"type": "Lowercase"} in (spec["normalizer"] or {}).get("normalizers", [])
 
     def pieces(self, pieces: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
         """Pieces with their ids. Many go through the library as one text, parted by a mark with an id of its own."""
@@ -188,22 +179,24 @@ class _Library:
         for p, e in zip(alone, self.library.encode_batch([p.decode() for p in alone], add_special_tokens=False), strict=True):
             yield p, np.array(e.ids, "<u4").tobytes()
         rest = [p for p in pieces if MARK not in p] if len(self.mark) == 1 else []
-        for group, ids in self._together(rest, b" " + MARK + b" "):
-            data, cuts = ids.tobytes(), (4 * np.flatnonzero(ids == self.mark[0])).tolist()
-            yield from ((p, data[a:b]) for p, a, b in zip(group, [0, *(c + 4 for c in cuts)], [*cuts, len(data)], strict=True))
+        groups = [rest[i : i + TOGETHER] for i in range(0, len(rest), TOGETHER)]
+        between = b" " + MARK + b" "
+        for i in range(0, len(groups), 64):
+            made = self.library.encode_batch_fast([between.join(g).decode() for g in groups[i : i + 64]], add_special_tokens=False)
+            for group, e in zip(groups[i : i + 64], made, strict=True):
+                ids = np.array(e.ids, "<u4")
+                data, cuts = ids.tobytes(), (4 * np.flatnonzero(ids == self.mark[0])).tolist()
+                yield from ((p, data[a:b]) for p, a, b in zip(group, [0, *(c + 4 for c in cuts)], [*cuts, len(data)], strict=True))
 
     def words(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
-        """Words of plain pieces with their ids; the last id of each word ends it, so no mark is needed."""
-        for group, ids in self._together(words, b" "):
-            data, stops = ids.tobytes(), (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
-            if len(stops) == len(group):
-                yield from ((w, data[a:b]) for w, a, b in zip(group, [0, *stops], stops))
-            else:
-                yield from self.pieces(group)
+        """Lower-cased words of plain pieces with their ids: the model alone, as nothing is left to normalise or part."""
+        for w in words:
+            ids = [t.id for t in self.model.tokenize(w.decode())]
+            yield w, struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, pieces: list[bytes], known: dict[bytes, bytes]) -> None:
         """Put the ids of pieces into ``known``, with those of the words that plain ones consist of."""
-        plain = [p for p in pieces if self.plain(p)] if self.ends is not None else []
+        plain = [p for p in pieces if self.plain(p)] if self.worded else []
         parted = [ASCII_WORD.findall(p.lower()) for p in plain]
         known.update(self.words([w for w in set().union(*parted) if w not in known]))
         known.update((p, b"".join(map(known.__getitem__, ws))) for p, ws in zip(plain, parted, strict=True))
@@ -221,21 +214,32 @@ _CACHES: dict[str, dict[bytes, bytes]] = {}
 def library_ids(texts: list[bytes], path: str) -> list[bytes]:
     """Ids by the tokenizers library as little-endian 32-bit integers.
 
-    The library drops white space before it merges, so texts are parted there and each piece is encoded once.
+    The library drops white space before it merges, so texts are parted there and each distinct piece is encoded once.
     """
     known = _CACHES.setdefault(path, {})
-    split = [t.split() for t in texts]
-    new = [p for p in set().union(*split) if p not in known]
+    split = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).cast(pa.string()))
+    coded = split.flatten().dictionary_encode()
+    distinct = coded.dictionary.cast(pa.binary()).to_pylist()
+    known[b""] = b""  # before leading and after trailing white space
+    new = [p for p in distinct if p not in known]
     if new and len(known) + len(new) > CACHE_PIECES:
         known.clear()
-        new = list(set().union(*split))
+        new = distinct
     if new:
         _library(path).encode(new, known)
-    out = [b"".join(map(known.__getitem__, s)) for s in split]
+    found = list(map(known.__getitem__, distinct))
+    ids = np.frombuffer(b"".join(found), "<u4")
+    lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
+    codes = coded.indices.to_numpy()
+    # Every piece of the texts takes its stretch of ``ids``.
+    n = lengths[codes]
+    stops = np.concatenate((np.zeros(1, np.int64), np.cumsum(n)))
+    places = np.arange(stops[-1]) + np.repeat((np.cumsum(lengths) - lengths)[codes] - stops[:-1], n)
+    data, cuts = ids[places].tobytes(), (4 * stops[split.offsets.to_numpy()]).tolist()
     if max(map(len, new), default=0) > CACHE_BYTES:
         for piece in [p for p in known if len(p) > CACHE_BYTES]:
             del known[piece]
-    return out
+    return [data[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
 def encode_shards(docs: DataFrame, path: str, shard_tokens: int = SHARD_TOKENS, end_id: int = END_ID) -> DataFrame:
