@@ -31,6 +31,7 @@ from millrace.llm.words import bounded
 
 END_ID = 2
 SHARD_TOKENS = 1 << 20
+RANGE_CHARS = 32  # of a text, which part rows of one id among tasks
 BLOCK = 512  # bits between counts of ones
 SCHEMA = "part int, seq int, doc_ids array<bigint>, lengths array<bigint>, n_tokens bigint, planes binary"
 
@@ -269,7 +270,9 @@ def encode_shards(docs: DataFrame, path: str, shard_tokens: int = SHARD_TOKENS,
             yield shard()
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return rows.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text").mapInArrow(run, SCHEMA)
+    # Spark samples the range keys on the driver, so they hold the start of a text only; texts are sorted as a whole.
+    ranges = rows.repartitionByRange("doc_id", F.substring("text", 1, RANGE_CHARS))
+    return ranges.sortWithinPartitions("doc_id", "text").mapInArrow(run, SCHEMA)
 
 
 def write_shards(docs: DataFrame, path: str, folder: str, **options) -> None:
