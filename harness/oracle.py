@@ -244,6 +244,8 @@ ORACLE: dict[str, str] = {
         FROM events WHERE ts + to_minutes(event_id % 97) >= TIMESTAMP '2024-04-20 00:00:00' - INTERVAL 90 DAY""",
     "expired_days": """SELECT DISTINCT 'api_a' AS source, strftime(ts, '%Y-%m-%d') AS dt FROM events
         WHERE CAST(ts AS DATE) < DATE '2024-02-14' - 30""",
+    "purge_expired": """SELECT 'api_a' AS source, strftime(ts, '%Y-%m-%d') AS dt, count(*) AS line_count FROM events
+        WHERE CAST(ts AS DATE) >= DATE '2024-02-14' - 30 GROUP BY ALL""",
     "variant_extract_events": f"""SELECT event_id, CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS INTEGER) AS k,
         CAST(NULL AS INTEGER) AS type_as_number, {CATEGORY} AS category,
         CAST(CAST(value AS DECIMAL(38,0)) AS DOUBLE) AS value FROM events""",

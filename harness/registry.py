@@ -267,6 +267,16 @@ def expired_days(spark, sf_dir):
     return governance.expired_days(stage_source.staged_days(spark, _stage_events(spark, sf_dir)), "2024-02-14 00:00:00")
 
 
+@query
+def purge_expired(spark, sf_dir):
+    """What is left of the staging area once its expired days are dropped; a second call finds none."""
+    root = _stage_events(spark, sf_dir)
+    for _ in range(2):
+        tables.purge_expired(spark, root, "2024-02-14 00:00:00")
+    left = stage_source.staged_lines(spark, root)
+    return left.groupBy("source", "dt").agg(F.count(F.lit(1)).alias("line_count"))
+
+
 # Clean
 
 

@@ -9,9 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.operators.clean import clean_full, incremental_slice
+from millrace.operators.governance import expired_days
 from millrace.operators.merge import merge_newer, merge_newer_small
 from millrace.session import workspace
-from millrace.sources.stage import list_stage
+from millrace.sources.stage import list_stage, staged_days
 from millrace.specs import SourceSpec
 
 # A slice is broadcast only below both limits; beyond them the merge shuffles.
@@ -29,6 +30,17 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     fs.delete(folder, True)
 
 
+def purge_expired(spark: SparkSession, stage_root: str, as_of=None, days: int | None = None) -> int:
+    """Drop the day folders of a staging area that are past retention; gives their number.
+
+    The driver gets one name per source and expired day. A call that was cut short is made good by the next.
+    """
+    gone = expired_days(staged_days(spark, stage_root), as_of, days).collect()
+    for day in gone:
+        drop_folder(spark, f"{stage_root.rstrip('/')}/source={day['source']}/dt={day['dt']}")
+    return len(gone)
+
+
 def versions(spark: SparkSession, path: str) -> list[int]:
     """Finished versions, oldest first."""
     folder, fs = _files(spark, path)

@@ -39,10 +39,11 @@ def read_staged(spark: SparkSession, root: str, source: str | None = None, dt_fr
 
 
 def staged_days(spark: SparkSession, root: str) -> DataFrame:
-    """``source`` and ``dt`` of every staged file, from the file listing; no line is read."""
+    """``source`` and ``dt`` of every file in a day folder, from the file listing; no line is read."""
     name = F.col("file_name")
-    part = lambda key: F.regexp_extract(name, rf"(?:^|/){key}=([^/]*)/", 1).alias(key)
-    return list_stage(spark, root).select(part("source"), part("dt"))
+    part = lambda key, form: F.regexp_extract(name, rf"(?:^|/){key}=({form})/", 1).alias(key)
+    days = list_stage(spark, root).select(part("source", "[^/]+"), part("dt", r"\d{4}-\d{2}-\d{2}"))
+    return days.where("source <> '' and dt <> ''")
 
 
 def list_stage(spark: SparkSession, path: str) -> DataFrame:

@@ -252,3 +252,13 @@ def test_a_whole_run(spark, payloads, tmp_path):
     assert "no route" in outcome.where("source = 'api_b'").first().error
     rows = list(itertools.chain(spark.read.parquet(layout.quarantine("api_a")).collect()))
     assert {r._validation_errors[0] for r in rows} == {"Missing required field: id"}
+
+
+def test_purge_drops_expired_day_folders_only(spark, tmp_path):
+    for folder in ("source=a/dt=2024-01-01", "source=a/dt=2024-03-01", "source=b/dt=2024-01-31", "source=b/dt=0", "other"):
+        (tmp_path / folder / "hour=01").mkdir(parents=True)
+        (tmp_path / folder / "hour=01" / "x.json").write_text("{}\n")
+    assert tables.purge_expired(spark, str(tmp_path), "2024-03-02 00:00:00") == 2
+    left = sorted(str(p.relative_to(tmp_path).parent.parent) for p in tmp_path.rglob("x.json"))
+    assert left == ["other", "source=a/dt=2024-03-01", "source=b/dt=0"]
+    assert tables.purge_expired(spark, str(tmp_path), "2024-03-02 00:00:00") == 0
