@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
 from millrace.functions.text import is_blank
 from millrace.functions.timefn import as_of_column
 from millrace.sources.jsonl import BAD_JSON, batch_of, staged_name
 from millrace.specs import RAW_SCHEMA
 
+INGEST_DAY = "ingest_day"  # folder of RAW
+
 
 def raw_rows(lines: DataFrame, source: str, as_of=None, legacy_batch_id: bool = False, on_error: str = "continue") -> DataFrame:
     """RAW rows of text lines that carry ``file_path``."""
@@ -51,8 +54,8 @@ def land(
 
     By default it runs once over all that is new (in steps of ``max_files``); with ``every`` it keeps
     running at that interval. Each micro-batch owns a ``load_id`` folder and overwrites it when
-    replayed, which together with the checkpoint makes the load exactly-once. Lines that are no JSON
-    go to ``<raw_path>_rejected``, or fail the load with ``on_error="fail"``.
+    replayed, which together with the checkpoint makes the load exactly-once. Its rows lie in folders by
+    ingest day, so that ``read_raw`` opens no older days than it needs. Lines that are no JSON go to ``<raw_path>_rejected``, or fail the load with ``on_error="fail"``.
     """
     reader = spark.readStream.format("text").option("recursiveFileLookup", "true")
     if max_files:
@@ -62,7 +65,8 @@ def land(
     )
 
     def load(batch: DataFrame, load_id: int) -> None:
-        raw_rows(batch, source, as_of, legacy_batch_id, on_error).write.mode("overwrite").parquet(f"{raw_path}/load_id={load_id}")
+        rows = raw_rows(batch, source, as_of, legacy_batch_id, on_error).withColumn(INGEST_DAY, F.to_date("ingested_at"))
+        rows.write.mode("overwrite").partitionBy(INGEST_DAY).parquet(f"{raw_path}/load_id={load_id}")
         if on_error != "fail":
             rejected_rows(batch, source, as_of).write.mode("overwrite").parquet(f"{raw_path}_rejected/load_id={load_id}")
 
@@ -70,6 +74,9 @@ def land(
     return lines.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
-def read_raw(spark: SparkSession, raw_path: str) -> DataFrame:
-    """The RAW table without its load folders."""
-    return spark.read.schema(RAW_SCHEMA).parquet(raw_path).select(*RAW_SCHEMA.fieldNames())
+def read_raw(spark: SparkSession, raw_path: str, since=None) -> DataFrame:
+    """The RAW table without its load folders; with ``since`` the rows ingested at or after it, older days unopened."""
+    rows = spark.read.schema(StructType([*RAW_SCHEMA, StructField(INGEST_DAY, DateType())])).parquet(raw_path)
+    if since is not None:
+        rows = rows.where((F.col(INGEST_DAY) >= F.to_date(as_of_column(since))) & (F.col("ingested_at") >= as_of_column(since)))
+    return rows.select(*RAW_SCHEMA.fieldNames())

@@ -186,6 +186,18 @@ def test_landing_loads_each_file_once(spark, tmp_path):
     assert [(r.line, r.file_name[-23:]) for r in rejected] == [("{bad", "batch_id=b1/part-0001.jsonl"[-23:])]
 
 
+def test_raw_opens_only_the_ingest_days_it_needs(spark, tmp_path):
+    root, raw, seen = (str(tmp_path / n) for n in ("stage", "raw", "seen"))
+    for n, at in enumerate(("2024-01-05 10:00:00", "2024-01-06 01:00:00", "2024-01-06 23:00:00")):
+        _write(tmp_path / "stage" / "source=api_a" / "x" / f"{n}.jsonl", json.dumps({"id": n}) + "\n")
+        land(spark, root, "api_a", raw, seen, at).awaitTermination()
+    late = read_raw(spark, raw, "2024-01-06 02:00:00")
+    assert [str(r.ingested_at) for r in late.collect()] == ["2024-01-06 23:00:00"]
+    assert late.columns == read_raw(spark, raw).columns and read_raw(spark, raw).count() == 3
+    plan = late._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ingest_day" in plan and "ingest_day#" in plan.split("PartitionFilters: ")[1].split("]")[0]
+
+
 def test_landing_can_refuse_bad_lines(spark, tmp_path):
     _write(tmp_path / "stage" / "source=api_a" / "x" / "a.jsonl", "{bad\n")
     query = land(spark, str(tmp_path / "stage"), "api_a", str(tmp_path / "raw"), str(tmp_path / "seen"), on_error="fail")
