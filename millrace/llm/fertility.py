@@ -22,7 +22,7 @@ from millrace.llm.chunks import CACHE_BYTES, CACHE_WORDS, pieces
 from millrace.llm.ship import shipped
 
 GRAM = 5
-# (least characters per token, most, most byte tokens per token, least entropy over the most possible)
+# (least characters per token, most, most byte tokens per token, least entropy over that of equally frequent tokens)
 DEFAULT_BAND = (1.2, 8.0, 0.25, 0.45)
 BANDS: dict[str, tuple[float, float, float, float]] = {
     "en": (1.3, 8.0, 0.10, 0.45),
@@ -32,6 +32,8 @@ BANDS: dict[str, tuple[float, float, float, float]] = {
 }
 # Texts with fewer tokens say too little about the language to be judged by a band.
 LEAST_TOKENS = 20
+# Entropy of prose levels off: the bound on it grows up to so many tokens and is the same for all longer texts.
+LEVEL_TOKENS = 4096
 
 FIELDS = [(n, pa.int64()) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_tokens", "n_byte_tokens")]
 STRUCT = pa.struct([*FIELDS, ("entropy", pa.float64())])
@@ -146,7 +148,7 @@ def _measured(text: Column, path: str) -> Column:
 def _verdict(m: Column, band: Column) -> Column:
     tokens = m["n_tokens"]
     chars = m["word_chars"] / F.greatest(tokens, F.lit(1))
-    most = F.log2(F.greatest(tokens, F.lit(1)).cast("double"))
+    most = F.log2(F.least(F.greatest(tokens, F.lit(1)), F.lit(LEVEL_TOKENS)).cast("double"))
     fits = chars.between(band["low"], band["high"]) & (m["n_byte_tokens"] <= band["bytes"] * tokens) & (m["entropy"] >= band["spread"] * most)
     return (tokens < LEAST_TOKENS) | fits
 

@@ -5,8 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from millrace.llm import chat, decontaminate, pii, repeats, wavelet
+from millrace.llm import chat, decontaminate, fertility, pii, repeats, wavelet
 from millrace.llm.components import connected
+from millrace.llm.queries import PIECES
 from tests.llm import brute
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -66,3 +67,15 @@ def test_pipeline(spark):
     dirty = {i for i, x in brute.contamination([(i, rows[i]) for i in heads], items).items() if x[-1]}
     out = corpus_pipeline.run(spark, SF_DIR).collect()
     assert {r.doc_id for r in out} == heads - dirty and len(out) == len(heads - dirty)
+
+
+@pytest.mark.parametrize("lang", ["en", "de", "fr", "es"])
+def test_long_clean_text_is_kept(spark, lang):
+    """A million tokens with the words of the table, as often as they stand there."""
+    clean = fertility.measured(spark.read.parquet(f"{SF_DIR}/documents.parquet"), PIECES).where(F.col("quality.kept") & (F.col("lang") == lang))
+    words = [w for r in clean.select("text").collect() for w in r.text.split()]
+    text = " ".join(np.random.default_rng(5).choice(words, 700_000))
+    (q,) = fertility.measured(spark.createDataFrame([(text, lang)], "text string, lang string"), PIECES).select("quality.*").collect()
+    assert q.n_tokens >= 1_000_000 and not q.base_failed and q.kept
+    same = " ".join(["alpha beta gamma delta"] * 250_000)
+    assert not fertility.measured(spark.createDataFrame([(same, lang)], "text string, lang string"), PIECES, most_repeat=100).first().quality.kept
