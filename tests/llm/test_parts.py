@@ -79,3 +79,27 @@ def test_long_clean_text_is_kept(spark, lang):
     assert q.n_tokens >= 1_000_000 and not q.base_failed and q.kept
     same = " ".join(["alpha beta gamma delta"] * 250_000)
     assert not fertility.measured(spark.createDataFrame([(same, lang)], "text string, lang string"), PIECES, most_repeat=100).first().quality.kept
+
+
+PASSAGES = {
+    "zh": "人人 生而自由 ， 在 尊严 和 权利 上 一律 平等 。 他们 赋有 理性 和 良心 ， 并 应 以 兄弟 关系 的 精神 相对待 。",
+    "ja": "すべての人間は、 生まれながらにして 自由であり、 かつ、 尊厳と 権利とについて 平等である。 今日は 天気が とても 良いので、 公園へ 行きました。",
+    "ko": "모든 인간은 태어날 때부터 자유로우며 그 존엄과 권리에 있어 동등하다. 인간은 천부적으로 이성과 양심을 부여받았으며 서로 형제애의 정신으로 행동하여야 한다.",
+    "ar": "يولد جميع الناس أحرارا متساوين في الكرامة والحقوق. وقد وهبوا عقلا وضميرا وعليهم أن يعامل بعضهم بعضا بروح الإخاء.",
+    "he": "כל בני האדם נולדו בני חורין ושווים בערכם ובזכויותיהם. כולם חוננו בתבונה ובמצפון, לפיכך חובה עליהם לנהוג איש ברעהו ברוח של אחווה.",
+    "hi": "सभी मनुष्यों को गौरव और अधिकारों के मामले में जन्मजात स्वतन्त्रता और समानता प्राप्त है। उन्हें बुद्धि और अन्तरात्मा की देन प्राप्त है।",
+    "el": "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα. Είναι προικισμένοι με λογική και συνείδηση.",
+    "ru": "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью.",
+    "vi": "Tất cả mọi người sinh ra đều được tự do và bình đẳng về nhân phẩm và quyền lợi. Mọi con người đều được tạo hóa ban cho lý trí.",
+    "am": "የሰው ልጅ ሁሉ ሲወለድ ነጻና በክብርና በመብትም እኩልነት ያለው ነው። የተፈጥሮ ማስተዋልና ሕሊና ስላለው አንዱ ሌላውን በወንድማማችነት መንፈስ መመልከት ይገባዋል።",
+}
+
+
+def test_other_scripts_are_kept(spark):
+    """By the band of their script, with and without a language name; broken texts of a script with a band are not."""
+    rows = [(k, lang, t) for k, t in PASSAGES.items() for lang in (k, None)]
+    broken = " ".join("".join(map(chr, w)) for w in np.random.default_rng(1).integers(0x4E00, 0x9FFF, (20, 6)))
+    rows += [("broken", None, broken), ("en", "en", PASSAGES["ar"])]
+    got = fertility.measured(spark.createDataFrame(rows, "k string, lang string, text string"), PIECES).select("k", "quality.*").collect()
+    assert not any(r.base_failed for r in got) and all(r.n_tokens >= fertility.LEAST_TOKENS for r in got)
+    assert {r.k for r in got if not r.kept} == {"broken", "en"}
