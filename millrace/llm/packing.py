@@ -1,10 +1,11 @@
 """Shards by vector bin packing.
 
-Groups of equal texts are measured in bytes, tokens and rows. Groups are dealt out over blocks of bounded size, each
-block has an equal share of every shard's capacity, and within a block each group, largest first, goes to the shard
-where the dot product of its vector and the residual capacity is highest. Blocks are packed side by side. A group
-above a small share of all bytes or rows is first split into pieces by document id, so that it can neither overfill a
-shard nor land in one task.
+Groups of equal texts are measured in bytes, tokens and rows. Each group, largest first, goes to the shard where the
+dot product of its vector and the residual capacity is highest. Large groups, of which there can only be so many, are
+placed first against the whole capacity. The others are dealt out over blocks of bounded size that share what is left
+of every shard, and blocks are packed side by side. A group stays in one shard unless it is above a quarter of a
+shard's share of all bytes, tokens or rows; it is then split into pieces by document id. Rows of large groups meet
+their shard by a broadcast, so that no group lands in one task.
 
 Defined cases: a null text has size 1, no tokens and groups with other nulls, not with empty texts. Repeated rows are
 rows of their own. Extra columns are ignored. Slots of a shard count its rows without gaps, in no set order.
@@ -22,8 +23,10 @@ from millrace.llm.ship import shipped
 from millrace.llm.words import stored
 
 SHARDS = 8
-# A group with more than one part in so many of all bytes or rows is split. At most twice as many groups can be.
-SPLIT = 2048
+# A group with more than one part in so many of a shard's share of all bytes, tokens or rows is split.
+SPLIT = 4
+# A group with more than one part in so many of all is placed before the others. At most three times as many can be.
+LARGE = 2048
 BLOCK_GROUPS = 20_000
 SLOT_ROWS = 20_000
 DIMS = ("bytes", "tokens", "rows")
@@ -42,22 +45,22 @@ def measured(docs: DataFrame) -> DataFrame:
     return row.select("doc_id", F.unhex("group").alias("group"), "size", "tokens", "text_crc32", F.xxhash64("doc_id").alias("spread"))
 
 
-def _pack(shards: int):
+def _pack(total: np.ndarray, left: np.ndarray, share: np.ndarray):
+    """Packer of a block: ``left`` is the capacity (shard, measure) for groups that sum up to ``share``, in parts of ``total``."""
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        v = pdf[list(DIMS)].to_numpy(float)
-        total = v.sum(0)
-        v = v / np.where(total > 0, total, 1)  # each measure counts alike
+        v = pdf[list(DIMS)].to_numpy(float) / np.where(total > 0, total, 1)  # each measure counts alike
         order = np.lexsort((pdf["group"].to_numpy(), pdf["piece"].to_numpy(), -v.sum(1), -v.max(1)))
-        left = np.full((shards, len(DIMS)), 1 / shards)
-        shard = np.empty(len(v), np.int32)
+        room = left * (v.sum(0) / np.where(share > 0, share, 1))
+        shards, shard = len(room), np.empty(len(v), np.int32)
         turn = int(pdf["block"].iloc[0])  # ties go round, so that blocks do not favour one shard
         for i in order:
-            score = left @ v[i]
+            score = room @ v[i]
             s = int(np.argmax(np.roll(score, -(turn % shards))) + turn) % shards
-            left[s] -= v[i]
+            room[s] -= v[i]
             shard[i] = s
             turn += 1
-        return pd.DataFrame({"group": pdf["group"], "piece": pdf["piece"], "shard": shard})
+        return pdf.assign(shard=shard)[["group", "piece", *DIMS, "shard"]]
 
     return run
 
@@ -65,19 +68,32 @@ def _pack(shards: int):
 def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """``doc_id, size, text_crc32, shard, slot`` of each row; shards are near equal in bytes, tokens and rows."""
     shipped(docs.sparkSession)
+    sums = (F.sum("size").alias("bytes"), F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("rows"))
+    schema = "group binary, piece int, bytes bigint, tokens bigint, rows bigint, shard int"
     rows = stored(measured(docs), "measured")
-    groups = stored(rows.groupBy("group").agg(F.sum("size").alias("bytes"), F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("rows")), "groups")
+    groups = stored(rows.groupBy("group").agg(*sums), "groups")
     total = groups.agg(*(F.coalesce(F.sum(d), F.lit(0)).alias(d) for d in DIMS), F.count(F.lit(1)).alias("groups")).first()
-    parts = F.greatest(*(F.ceil(F.col(d) * SPLIT / max(1, total[d])) for d in DIMS))
-    heavy = F.broadcast(groups.select("group", parts.cast("int").alias("parts")).where("parts > 1"))  # at most 3 * SPLIT groups
-    piece = F.coalesce(F.pmod("spread", "parts").cast("int"), F.lit(0))
-    rows = rows.join(heavy, "group", "left").withColumn("piece", piece).drop("parts")
+    whole = np.array([total[d] for d in DIMS], float)
+
+    parts = F.greatest(*(F.ceil(F.col(d) * SPLIT * shards / max(1, total[d])) for d in DIMS)).cast("int")
+    is_large = F.greatest(*(F.col(d) * LARGE / max(1, total[d]) for d in DIMS)) > 1
+    large = F.broadcast(stored(groups.where(is_large).select("group", parts.alias("parts")), "large"))
+    of_large = rows.join(large, "group").withColumn("piece", F.pmod("spread", "parts").cast("int")).drop("parts")
+    items = of_large.groupBy("group", "piece").agg(*sums).withColumn("block", F.lit(0))
+    capacity = np.full((shards, len(DIMS)), 1 / shards)
+    first = stored(items.groupBy("block").applyInPandas(_pack(whole, capacity, np.ones(len(DIMS))), schema), "placed")
+    for r in first.groupBy("shard").agg(*(F.sum(d).alias(d) for d in DIMS)).collect():  # one row a shard
+        capacity[r["shard"]] -= [r[d] / max(1, total[d]) for d in DIMS]
+
     blocks = max(1, -(-(total["groups"]) // BLOCK_GROUPS))
-    items = rows.groupBy("group", "piece").agg(F.sum("size").alias("bytes"), F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("rows"))
+    items = groups.join(large, "group", "left_anti").withColumn("piece", F.lit(0))
     items = items.withColumn("block", F.pmod(F.xxhash64("group", "piece"), F.lit(blocks)).cast("int"))
-    placed = stored(items.groupBy("block").applyInPandas(_pack(shards), "group binary, piece int, shard int"), "placed")
-    rows = rows.join(placed, ["group", "piece"]).select("doc_id", "size", "text_crc32", "spread", "shard")
-    return _slotted(rows, total["rows"])
+    others = stored(items.groupBy("block").applyInPandas(_pack(whole, capacity, capacity.sum(0)), schema), "placed")
+
+    of_large = of_large.join(F.broadcast(first.select("group", "piece", "shard")), ["group", "piece"])
+    of_others = rows.join(large, "group", "left_anti").join(others.select("group", "shard"), "group")
+    columns = ("doc_id", "size", "text_crc32", "spread", "shard")
+    return _slotted(of_large.select(*columns).unionByName(of_others.select(*columns)), total["rows"])
 
 
 def _slotted(rows: DataFrame, n: int) -> DataFrame:

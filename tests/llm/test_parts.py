@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from millrace.llm import chat, decontaminate, fertility, pii, repeats, wavelet
+from millrace.llm import chat, decontaminate, fertility, packing, pii, repeats, wavelet
 from millrace.llm.components import connected
 from millrace.llm.queries import PIECES
 from tests.llm import brute
@@ -103,3 +103,21 @@ def test_other_scripts_are_kept(spark):
     got = fertility.measured(spark.createDataFrame(rows, "k string, lang string, text string"), PIECES).select("k", "quality.*").collect()
     assert not any(r.base_failed for r in got) and all(r.n_tokens >= fertility.LEAST_TOKENS for r in got)
     assert {r.k for r in got if not r.kept} == {"broken", "en"}
+
+
+@pytest.mark.parametrize("block_groups", [20_000, 100])
+def test_copies_stay_in_one_shard(spark, monkeypatch, block_groups):
+    monkeypatch.setattr(packing, "BLOCK_GROUPS", block_groups)
+    copies = {"a": 2, "b": 8, "c": 40, "d": 80, "e": 100, "f": 110, "heavy": 1400}  # of 4000; a quarter of a shard is 125
+    texts = [f"{name} is a text with copies" for name, n in copies.items() for _ in range(n)]
+    texts += [f"text {i} stands once here" for i in range(4000 - len(texts))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = packing.shard(docs).collect()
+    assert len(got) == len(texts)
+    found = {}
+    for r in got:
+        found.setdefault(texts[r.doc_id].split()[0], set()).add(r.shard)
+    assert all(len(found[name]) == 1 for name in "abcdef") and len(found["heavy"]) == 8
+    for measure in (lambda r: 1, lambda r: r["size"]):
+        filled = [sum(measure(r) for r in got if r.shard == s) for s in range(8)]
+        assert max(filled) - min(filled) <= 0.02 * sum(filled)
