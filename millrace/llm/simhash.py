@@ -19,12 +19,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.llm.chunks import slices
 from millrace.llm.components import connected
 from millrace.llm.ship import shipped
-from millrace.llm.words import stored
+from millrace.llm.words import same, stored
 
 SHINGLE, SEED, BITS, BYTES = 4, 42, 4, 8
 HASHES = 1 << 16  # hashes whose bits are counted at once
@@ -44,16 +44,18 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
     return int(np.packbits(2 * votes > n, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """``doc_id, fingerprint`` (signed) of each row."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, keyed: bool = False) -> DataFrame:
+    """``doc_id, fingerprint`` (signed) of each row; with ``keyed`` also ``text_key`` after the id."""
     shipped(docs.sparkSession)
-    rows = docs.select("doc_id", "text")
+    rows = docs.select("doc_id", *([F.xxhash64("text").alias("text_key")] if keyed else []), "text")
+    names = rows.columns[:-1]
+    kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches):
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([fingerprint(t, shingle, seed) for t in texts], pa.int64())], ["doc_id", "fingerprint"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array([fingerprint(t, shingle, seed) for t in texts], pa.int64())], [*names, "fingerprint"])
 
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fingerprint bigint")
+    return rows.mapInArrow(run, f"{kinds}, fingerprint bigint")
 
 
 def _postings(prints: DataFrame, need: int) -> DataFrame:
@@ -105,8 +107,22 @@ def near_duplicates(docs: DataFrame, bits: int = BITS, shingle: int = SHINGLE, s
     return prints.join(ids, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """Rows of ``docs`` whose id names their component: one document of each group. Rows of one id stay or go together."""
-    groups = near_duplicates(docs, **options)
-    heads = groups.where("doc_id <=> component_id").select("doc_id").distinct()
-    return docs.join(heads, docs["doc_id"].eqNullSafe(heads["doc_id"]), "left_semi")
+def keep_one(docs: DataFrame, bits: int = BITS, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
+    """One row of ``docs`` of each component: the smallest id, null ids last, then one text, then one of repeated rows."""
+    prints = stored(fingerprints(docs, shingle, seed, keyed=True), "fingerprints")
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
+    classes = stored(prints.groupBy("fingerprint").agg(F.min(row).alias("first")), "classes")
+    roots = connected(near_pairs(classes.select("fingerprint"), bits)).select(F.col("node").alias("fingerprint"), "root")
+    heads = classes.join(roots, "fingerprint", "left").groupBy(F.coalesce("root", "fingerprint").alias("root")).agg(F.min("first").alias("head"))
+    repeated = prints.groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    heads = heads.select("head.doc_id", "head.text_key")
+    again = stored(repeated.join(heads, same(repeated, heads, "doc_id", "text_key"), "left_semi"), "again")
+    single = heads.join(again, same(heads, again, "doc_id", "text_key"), "left_anti")
+    kept = lambda some: docs["doc_id"].eqNullSafe(some["doc_id"]) & (F.xxhash64(docs["text"]) == some["text_key"])
+    once = docs.join(single, kept(single), "left_semi")
+    if not again.limit(1).count():
+        return once
+    # Only rows that stand more than once are dealt by their key, the first per task at most.
+    nth = F.row_number().over(Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.xxhash64(*docs.columns)))
+    more = docs.join(again, kept(again), "left_semi").withColumn("_nth", nth).where("_nth = 1").drop("_nth")
+    return once.unionByName(more)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from millrace.llm import chat, decontaminate, fertility, packing, pii, repeats, wavelet
+from millrace.llm import chat, decontaminate, fertility, packing, pii, repeats, simhash, wavelet
 from millrace.llm.components import connected
 from millrace.llm.queries import PIECES
 from tests.llm import brute
@@ -121,3 +121,12 @@ def test_copies_stay_in_one_shard(spark, monkeypatch, block_groups):
     for measure in (lambda r: 1, lambda r: r["size"]):
         filled = [sum(measure(r) for r in got if r.shard == s) for s in range(8)]
         assert max(filled) - min(filled) <= 0.02 * sum(filled)
+
+
+def test_one_row_of_each_group(spark):
+    """Also of rows without an id, of repeated rows, and of different texts with one id."""
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    rows = [(1, a), (1, a), (None, a), (2, a), (None, b), (None, b), (None, c), (3, c), (4, d), (4, b + " " + d)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = [tuple(r) for r in simhash.keep_one(docs).collect()]
+    assert sorted(got, key=str) == sorted([(1, a), (None, b), (3, c), (4, d), (4, b + " " + d)], key=str)
