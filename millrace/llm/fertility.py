@@ -32,7 +32,7 @@ BANDS: dict[str, tuple[float, float, float, float]] = {
     "fr": (1.2, 8.0, 0.10, 0.45),
     "es": (1.2, 8.0, 0.10, 0.45),
 }
-# By script: the blocks of its letters and the band. Low bounds are about three quarters of what ordinary passages reach,
+# By script: the blocks of its letters and the band. Low bounds are at most three quarters of what ordinary passages reach,
 # as the vocabulary cuts most of these into single letters.
 SCRIPTS: dict[str, tuple[tuple[tuple[int, int], ...], tuple[float, float, float, float]]] = {
     "latin": (((0x41, 0x24F), (0x1E00, 0x1EFF), (0x2C60, 0x2C7F), (0xA720, 0xA7FF), (0xFB00, 0xFB06), (0xFF21, 0xFF5A)), (0.7, 8.0, 0.25, 0.45)),
