@@ -57,3 +57,23 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(sum(text_chars + role_chars + length('<|im_start|>') + 1 + length('<|im_end|>') + 1) AS bigint) AS formatted_chars
 FROM e GROUP BY conv_id
 """
+
+ORACLE["op12_collocations"] = rf"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({ASCII_LOWER}, '[.,;:!?\x0A-\x0D]')) AS x FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(x, '[ \t]+'), lambda q: q <> '') AS w FROM t),
+g AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS p
+      FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w), (SELECT unnest(range(1, 5)) AS m) WHERE i + m - 1 <= len(w)),
+f AS (SELECT lang, m, p, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 30),
+c AS (SELECT lang, m, p, f AS a, string_split(p, ' ') AS w FROM f WHERE m >= 2),
+k AS (SELECT lang, m, p, a, w, unnest(range(1, m)) AS k FROM c),
+s AS (SELECT k.lang, k.p, k.a, k.k, x.f AS l, y.f AS r, CAST(2000000 * CAST(k.a AS hugeint) // (x.f + y.f) AS bigint) AS score
+      FROM k JOIN f x ON x.lang = k.lang AND x.p = array_to_string(k.w[1:k.k], ' ') JOIN f y ON y.lang = k.lang AND y.p = array_to_string(k.w[k.k + 1:], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+i AS (SELECT lang, array_to_string(w[i:i + size - 1], ' ') AS p, max(a) AS inside
+      FROM (SELECT lang, w, a, size, unnest(range(1, m - size + 2)) AS i FROM c, (SELECT unnest(range(2, 4)) AS size) WHERE size < m) GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(len(w)) AS bigint) AS n FROM w GROUP BY lang)
+SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, encode(b.p)) AS rank, b.p AS phrase, a, l, r, n, score
+FROM b JOIN n USING (lang) LEFT JOIN i ON i.lang = b.lang AND i.p = b.p
+WHERE inside IS NULL OR 100 * CAST(inside AS hugeint) < 80 * CAST(a AS hugeint)
+QUALIFY rank <= 2000
+"""

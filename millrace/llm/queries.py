@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from millrace.llm import bpe, chat, decontaminate, fertility, licenses, packing, pii, repeats, simhash, wavelet
+from millrace.llm import bpe, chat, decontaminate, fertility, licenses, packing, phrases, pii, repeats, simhash, wavelet
 from millrace.session import workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,3 +106,8 @@ def op9_simhash(spark, sf_dir):
 def op10_packing(spark, sf_dir):
     packed = packing.shard(table(spark, sf_dir, "documents"))
     return packed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op12_collocations(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"))
