@@ -55,10 +55,10 @@ class _Chunk:
         seed = zlib.crc32(lang.encode())
         self.hashes = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
 
-    def windows(self, may: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def windows(self, buckets: int, may: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Per order: the codes of that word of every window, -1 for padding, and the buckets of the beginnings.
 
-        Without ``may``, one bit a bucket, no window is padded before its piece ends.
+        ``buckets`` is a power of two. Without ``may``, one bit a bucket, no window is padded before its piece ends.
         """
         first = self.codes
         open_ = np.flatnonzero(first != self.ends)
@@ -70,15 +70,15 @@ class _Chunk:
             open_, mix = open_[inside], mix[inside]
             mix = (mix ^ self.hashes[first[open_ + order]]) * ODD
             mix ^= mix >> np.uint64(29)
-            buckets = (mix * ODD >> np.uint64(32)).astype(np.int64) & BUCKETS - 1
+            into = (mix * ODD >> np.uint64(32)).astype(np.int64) & buckets - 1
             if may is not None:
-                frequent = (may[buckets >> 3] >> (buckets & 7) & 1).astype(bool)
-                open_, mix, buckets = open_[frequent], mix[frequent], buckets[frequent]
-            yield open_, buckets
+                frequent = (may[into >> 3] >> (into & 7) & 1).astype(bool)
+                open_, mix, into = open_[frequent], mix[frequent], into[frequent]
+            yield open_, into
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[_Chunk]:
-    """Texts gathered by language until they reach ``CHUNK_BYTES``; a longer text is a chunk of its own."""
+def _chunks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[_Chunk]:
+    """Texts gathered by language until they reach ``most`` bytes; a longer text is a chunk of its own."""
     held: dict[str, list[bytes]] = {}
     size: dict[str, int] = {}
     for batch in batches:
@@ -87,7 +87,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[_Chunk]:
                 if text:
                     held.setdefault(lang, []).append(text)
                     size[lang] = size.get(lang, 0) + len(text)
-            while sum(size.values()) >= CHUNK_BYTES:
+            while sum(size.values()) >= most:
                 lang = max(size, key=size.__getitem__)
                 del size[lang]
                 yield _Chunk(lang, held.pop(lang))
@@ -100,17 +100,17 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
 
 
-def frequent_bits(docs: DataFrame, least: int) -> bytes:
+def frequent_bits(docs: DataFrame, least: int, buckets: int, chunk_bytes: int) -> bytes:
     """One bit a bucket: whether the window beginnings that fall into it may stand ``least`` times."""
-    top = min(least, 255)
+    top, block_size = min(least, 255), min(BLOCK, buckets)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counters = np.zeros(BUCKETS, np.uint8)
-        for chunk in _chunks(batches):
-            for _, buckets in chunk.windows(None):
-                found, n = np.unique(buckets, return_counts=True)
+        counters = np.zeros(buckets, np.uint8)
+        for chunk in _chunks(batches, chunk_bytes):
+            for _, into in chunk.windows(buckets):
+                found, n = np.unique(into, return_counts=True)
                 counters[found] = np.minimum(counters[found].astype(np.int64) + n, top)
-        for block, part in enumerate(counters.reshape(-1, BLOCK)):
+        for block, part in enumerate(counters.reshape(-1, block_size)):
             if part.any():
                 yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([zlib.compress(part, 1)], pa.binary())], ["block", "part"])
 
@@ -125,30 +125,30 @@ def frequent_bits(docs: DataFrame, least: int) -> bytes:
                 if block != now:
                     if now is not None:
                         yield bits()
-                    now, total = block, np.zeros(BLOCK, np.uint16)
+                    now, total = block, np.zeros(block_size, np.uint16)
                 total = np.minimum(total + np.frombuffer(zlib.decompress(part), np.uint8), top)
         if now is not None:
             yield bits()
 
     kind = "block int, part binary"
     parts = _rows(docs).mapInArrow(count, kind).repartition("block").sortWithinPartitions("block").mapInArrow(add, kind)
-    out = bytearray(BUCKETS // 8)
+    out = bytearray(buckets // 8)
     for row in parts.toLocalIterator():
-        out[row.block * BLOCK // 8 : (row.block + 1) * BLOCK // 8] = row.part
+        out[row.block * block_size // 8 : (row.block + 1) * block_size // 8] = row.part
     return bytes(out)
 
 
-def windows(docs: DataFrame, least: int = LEAST) -> DataFrame:
+def windows(docs: DataFrame, least: int = LEAST, buckets: int = BUCKETS, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """``lang, w0, w1, w2, w3, n``: the longest windows and how often they stand, padded with null."""
     rows = _rows(docs)
-    table = docs.sparkSession.sparkContext.broadcast(frequent_bits(docs, least))
+    table = docs.sparkSession.sparkContext.broadcast(frequent_bits(docs, least, buckets, chunk_bytes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         may = np.frombuffer(table.value, np.uint8)
-        for chunk in _chunks(batches):
+        for chunk in _chunks(batches, chunk_bytes):
             starts = np.flatnonzero(chunk.codes != chunk.ends)
             columns = []
-            for order, (open_, _) in enumerate(chunk.windows(may)):
+            for order, (open_, _) in enumerate(chunk.windows(buckets, may)):
                 column = np.full(len(starts), -1, np.int32)
                 column[np.searchsorted(starts, open_)] = chunk.codes[open_ + order]
                 columns.append(column)
@@ -162,9 +162,9 @@ def windows(docs: DataFrame, least: int = LEAST) -> DataFrame:
     return rows.mapInArrow(run, kind).groupBy("lang", *WORDS).agg(F.sum("n").alias("n"))
 
 
-def phrase_counts(docs: DataFrame, least: int = LEAST) -> DataFrame:
+def phrase_counts(docs: DataFrame, least: int = LEAST, **sizes: int) -> DataFrame:
     """``lang, words, f``: every phrase of up to four words that stands ``least`` times, and no words for a whole language."""
-    summed = windows(docs, least).rollup("lang", *WORDS).agg(F.sum("n").alias("f"), F.grouping_id().alias("rolled"))
+    summed = windows(docs, least, **sizes).rollup("lang", *WORDS).agg(F.sum("n").alias("f"), F.grouping_id().alias("rolled"))
     # Level of the rollup: how many of the words are left. Padded windows end above the level of their padding.
     kept = F.col("rolled") == (1 << LONGEST) - 1
     for order in range(1, LONGEST + 1):
@@ -176,13 +176,13 @@ def _wide(value: Column) -> Column:
     return value.cast("decimal(20,0)")
 
 
-def collocations(docs: DataFrame, least: int = LEAST, share: int = SHARE, top: int = TOP) -> DataFrame:
+def collocations(docs: DataFrame, least: int = LEAST, share: int = SHARE, top: int = TOP, **sizes: int) -> DataFrame:
     """The ``top`` phrases of each language: ``lang, rank, phrase, a, l, r, n, score``.
 
     ``score`` is that of the weakest cut of the phrase in two, and ``l`` and ``r`` are its parts' counts. Phrases that
-    stand ``share`` per cent of the time inside one longer phrase are left out.
+    stand ``share`` per cent of the time inside one longer phrase are left out. ``sizes`` are those of ``windows``.
     """
-    counts = stored(phrase_counts(docs, least), "phrases")
+    counts = stored(phrase_counts(docs, least, **sizes), "phrases")
     named = counts.select("lang", "words", F.array_join("words", " ").alias("phrase"), F.size("words").alias("m"), "f")
     candidates = named.where("m >= 2")
     texts = named.where("m >= 1").select("lang", "phrase", "f")

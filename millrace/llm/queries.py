@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from millrace.llm import bpe, chat, decontaminate, fertility, licenses, packing, phrases, pii, repeats, simhash, wavelet
+from millrace.llm import bpe, chat, decontaminate, fertility, licenses, packing, phrases, pii, repeats, simhash, token_counts, wavelet
 from millrace.session import workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,6 +15,7 @@ QUERIES: dict[str, Query] = {}
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def query(f: Query) -> Query:
@@ -111,3 +112,8 @@ def op10_packing(spark, sf_dir):
 @query
 def op12_collocations(spark, sf_dir):
     return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_token_counts(spark, sf_dir):
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), BYTE_BPE)
