@@ -58,6 +58,40 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id
 """
 
+ORACLE["op11_turn_trie"] = r"""
+WITH tab AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, j: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS crc),
+own AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+h AS (
+  SELECT conv_id, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS varchar), ''), lambda c: CAST(ord(c) AS bigint))),
+         lambda c, b: xor(tab.crc[(xor(c, b) & 255) + 1], c >> 8))) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM own), tab
+),
+turns AS (
+  SELECT conv_id, 1 AS part, pos, role, text FROM own JOIN h USING (conv_id) WHERE pos >= h
+  UNION ALL SELECT h.conv_id, 0, pos, role, text FROM h JOIN own ON own.conv_id = h.conv_id - h.conv_id % 5 WHERE pos < h
+),
+seq AS (
+  SELECT h.conv_id, coalesce(list(md5(CAST(length(role) AS varchar) || ':' || role || text) ORDER BY part, pos) FILTER (text IS NOT NULL), []) AS ids,
+         coalesce(list(strlen(text) ORDER BY part, pos) FILTER (text IS NOT NULL), []) AS sizes
+  FROM h LEFT JOIN turns USING (conv_id) GROUP BY h.conv_id
+),
+pre AS (SELECT conv_id, ids, sizes, unnest(range(0, len(ids) + 1)) AS d FROM seq),
+node AS (
+  SELECT d AS depth, ids[1:d] AS p, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce(any_value(sizes[d]), 0) AS size,
+         sha256(coalesce(string_agg(CAST(conv_id AS varchar), ',' ORDER BY conv_id) FILTER (len(ids) = d), '')) AS ends_sha256
+  FROM pre GROUP BY ALL
+),
+kids AS (SELECT depth - 1 AS depth, p[1:depth - 1] AS p, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY ALL),
+full_ AS (SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN kids USING (depth, p)),
+up AS (SELECT p, n_convs, size, n_children, unnest(range(0, depth + 1)) AS a FROM full_),
+sub AS (SELECT a AS depth, p[1:a] AS p, CAST(count(*) FILTER (n_children = 0) AS bigint) AS n_leaves, CAST(sum((n_convs - 1) * size) AS bigint) AS saved_tokens FROM up GROUP BY ALL)
+SELECT f.conv_id, f.depth, parent.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens, f.ends_sha256
+FROM full_ f JOIN sub USING (depth, p) LEFT JOIN node parent ON parent.depth = f.depth - 1 AND parent.p = f.p[1:f.depth - 1]
+"""
+
 ORACLE["op12_collocations"] = rf"""
 WITH t AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({ASCII_LOWER}, '[.,;:!?\x0A-\x0D]')) AS x FROM documents),
 w AS (SELECT lang, list_filter(regexp_split_to_array(x, '[ \t]+'), lambda q: q <> '') AS w FROM t),

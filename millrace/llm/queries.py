@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from millrace.llm import bpe, chat, decontaminate, fertility, licenses, packing, phrases, pii, repeats, simhash, token_counts, wavelet
+from millrace.llm import bpe, chat, decontaminate, fertility, licenses, packing, phrases, pii, repeats, simhash, token_counts, turn_trie, wavelet
 from millrace.session import workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,6 +109,11 @@ def op10_packing(spark, sf_dir):
     return packed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query
+def op11_turn_trie(spark, sf_dir):
+    return turn_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 @query
 def op12_collocations(spark, sf_dir):
     return phrases.collocations(table(spark, sf_dir, "documents"))

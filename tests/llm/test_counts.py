@@ -1,7 +1,6 @@
 """Phrases, token counts and conversation tries against plain Python and the library."""
 
 import hashlib
-import itertools
 import random
 import re
 import zlib
@@ -10,7 +9,8 @@ from collections import Counter, defaultdict
 import pytest
 from tokenizers import Tokenizer
 
-from millrace.llm import phrases, token_counts
+from millrace.llm import phrases, token_counts, turn_trie
+from millrace.llm.radix import RadixTree
 from millrace.llm.queries import BYTE_BPE
 from tests.llm import brute
 from tests.llm.test_contracts import edge_dir, result, rows_of, sf_dir  # noqa: F401
@@ -115,3 +115,84 @@ def test_scores_beyond_64_bits(spark, monkeypatch):
     monkeypatch.setattr(phrases, "phrase_counts", lambda docs, least: made)
     (row,) = phrases.collocations(made).collect()
     assert tuple(row) == ("en", 1, "a b", big, 2 * big, big + 7, 4 * big, 2_000_000 * big // (3 * big + 7))
+
+
+def rebuilt(rows):
+    own = defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            own[c].append((turn is not None, turn or 0, role or "", text or ""))
+    own = {c: [x[2:] for x in sorted(r)] for c, r in own.items()}
+    out = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        donor = c - (c % 5 if c >= 0 else -(-c % 5))
+        out[c] = own.get(donor, [])[:h] + turns[h:]
+    return out
+
+
+def trie_of(convs):
+    """Nodes by definition, from sequences by conversation."""
+    members = defaultdict(list)
+    for c, turns in convs.items():
+        at = ()
+        members[at].append((c, len(turns) == 0))
+        for d, t in enumerate(turns):
+            below = (*at, t)
+            members[below].append((c, d + 1 == len(turns)))
+            at = below
+    kids = defaultdict(set)
+    for p in members:
+        if p:
+            kids[p[:-1]].add(p)
+    leaves, saved = {}, {}
+    for p in sorted(members, key=len, reverse=True):
+        leaves[p] = sum(leaves[k] for k in kids[p]) or 1
+        saved[p] = sum(saved[k] for k in kids[p]) + ((len(members[p]) - 1) * len(p[-1][1].encode()) if p else 0)
+    least = {p: min(c for c, _ in m) for p, m in members.items()}
+    rows = []
+    for p, m in members.items():
+        ends = ",".join(str(c) for c, end in sorted(m) if end)
+        rows.append((least[p], len(p), least[p[:-1]] if p else None, len(m), len(kids[p]), leaves[p], saved[p], hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(rows, key=str)
+
+
+def test_turn_trie(spark, sf_dir):  # noqa: F811
+    rows = rows_of(spark, sf_dir, "conv_id", "turn", "role", "text", name="conversations")
+    assert sorted((tuple(r) for r in result(spark, sf_dir, "op11_turn_trie")), key=str) == trie_of(rebuilt(rows))
+
+
+@pytest.mark.parametrize("segment", [1, 2, 5, 1000])
+def test_trie_cut_anywhere(spark, segment):
+    """Few different turns, so that paths are shared, end inside others, and are cut by stretches at every depth."""
+    draw = random.Random(segment)
+    turns = [("user", "a"), ("user", "ab"), ("assistant", "é" * 7), ("", ""), ("usera", "b")]
+    rows = [(c, t, *draw.choice(turns)) for c in range(-30, 300) for t in range(draw.choice([1, 2, 3, 4, 9, 20]))]
+    rows += [(c, t, *turns[t % 2]) for c in range(1000, 1400, 3) for t in range(12)]
+    rows += [(None, 1, "user", "lost"), (7, None, None, None), (7, None, None, None), (2**40 + 5, 0, "user", "far")]
+    docs = spark.createDataFrame([(*r, 1, "x") for r in rows], "conv_id bigint, turn int, role string, text string, depth int, key string")
+    found = turn_trie.trie(turn_trie.rebuilt(docs.repartition(5)), segment)
+    assert sorted(map(tuple, found.collect()), key=str) == trie_of(rebuilt(rows))
+
+
+def test_large_group_of_equal_conversations(spark, monkeypatch):
+    """Ids of one sequence come in blocks and are hashed in ascending order."""
+    monkeypatch.setattr(turn_trie, "BLOCK", 7)
+    convs = spark.range(-50, 450).selectExpr("id * 3 as conv_id", "unhex(repeat('ab', 40)) as key")
+    found = {r.depth: r for r in turn_trie.trie(convs).collect()}
+    ids = ",".join(str(3 * i) for i in range(-50, 450))
+    assert found[2].n_convs == 500 and found[2].ends_sha256 == hashlib.sha256(ids.encode()).hexdigest()
+    assert (found[0].n_children, found[0].n_leaves, found[1].n_children, found[2].n_children) == (1, 1, 1, 0)
+
+
+@pytest.mark.parametrize("n", [1, 4, 5, 16, 17, 48, 49, 256])
+def test_radix_layouts(n):
+    draw = random.Random(n)
+    keys = {bytes([b, *draw.choices(range(3), k=draw.randrange(6))]) for b in range(n)} | {b"", b"\x00\x00\x00"}
+    tree = RadixTree()
+    order = draw.sample(sorted(keys), len(keys))
+    for key in order:
+        tree.insert(key, sorted(keys).index(key))
+    seen = [node.value for done, node, *_ in tree.walk() if not done and node.value >= 0]
+    assert seen == list(range(len(keys)))
+    assert tree.root.room == next(r for r in (4, 16, 48, 256) if n <= r)
