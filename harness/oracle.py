@@ -409,3 +409,13 @@ ORACLE["stream_upsert"] = merged(NULLS_A, "updated_at", NOW, NOW).replace(f"crea
 ORACLE["hourly_rerun"] = f"""WITH a AS ({TRANSFORMED_A}), b AS ({transformed_b('o_orderdate AS version')})
     SELECT 'api_a' AS part, count(*) AS row_count, count(*) AS ids FROM a UNION ALL SELECT 'api_b', count(*), count(*) FROM b
     UNION ALL VALUES ('checks r1', 8, 8), ('checks r2', 8, 8), ('metrics r1', 1, 1), ('metrics r2', 1, 1)"""
+
+# Tables after two upserts, their summary and checks by a scan of all rows.
+UPSERTED_A = f"({merged(NULLS_A, 'updated_at', AT_A, NOW)})"
+UPSERTED_B = f"({merged(raw_b('o_custkey'), 'modified_at', AT_B, NOW)})"
+ORACLE["summary_by_buckets"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS source, CAST(created_at AS DATE) AS event_date, count(*) AS event_count,"
+    f" count(DISTINCT id) AS unique_records, {NOW} AS refreshed_at FROM {rel} GROUP BY CAST(created_at AS DATE)"
+    for name, rel in (("api_a", UPSERTED_A), ("api_b", UPSERTED_B))
+)
+ORACLE["checks_by_buckets"] = f"WITH a AS {UPSERTED_A}, b AS {UPSERTED_B} {checks('a', 'b', NOW)}"

@@ -13,7 +13,7 @@ from millrace.functions.text import trim_ws
 from millrace.operators import clean, dedupe as dd, flatten, governance, merge, normalize, validate
 from millrace.plans import analytics, metrics, quality, runs, transform
 from millrace.session import spread, workspace
-from millrace.sinks import stage as stage_sink, tables
+from millrace.sinks import buckets, stage as stage_sink, tables
 from millrace.sources import extract, jsonl, pages, stage as stage_source
 from millrace.specs import API_A, API_B, LINEAGE, SOURCES
 from millrace.streaming import landing, upsert as upsert_stream
@@ -363,8 +363,29 @@ def merge_b(spark, sf_dir):
 
 @query
 def merge_a_measured(spark, sf_dir):
-    """The same upsert through the job that writes the slice, measures it and picks the join."""
-    return plain(tables.merge_slice(*_old_and_new(spark, sf_dir, API_A), API_A, workspace(spark, "slice")))
+    """The same upsert into a table of key buckets: the old rows as the first load, the new ones as the second."""
+    return plain(buckets.read_buckets(spark, _two_loads(spark, sf_dir), API_A))
+
+
+def _two_loads(spark, sf_dir, spec=API_A) -> str:
+    path = workspace(spark, "buckets")
+    for load_id, rows in enumerate(_old_and_new(spark, sf_dir, spec)):
+        buckets.upsert_buckets(rows, path, spec, load_id, 16)
+    return path
+
+
+@query
+def summary_by_buckets(spark, sf_dir):
+    """The daily summary from bucket states that two upserts have kept."""
+    days = [buckets.day_states(spark, _two_loads(spark, sf_dir, spec)) for spec in (API_A, API_B)]
+    return analytics.summary_of_days(*days, AS_OF).withColumnRenamed("_refreshed_at", "refreshed_at")
+
+
+@query
+def checks_by_buckets(spark, sf_dir):
+    """The quality checks from bucket states that two upserts have kept."""
+    states = {spec: buckets.fact_states(spark, _two_loads(spark, sf_dir, spec)) for spec in (API_A, API_B)}
+    return plain(quality.check_tables_by_states(states, AS_OF, "run-1").drop("check_id"))
 
 
 @query
@@ -385,7 +406,7 @@ def stream_upsert(spark, sf_dir):
         rows.select(*D.RAW_COLUMNS[:-1]).write.parquet(f"{raw}/load_id={load_id}")
         upsert_stream.stream_upsert(spark, raw, out, seen, API_A, AS_OF, order).awaitTermination()
     upsert_stream.stream_upsert(spark, raw, out, seen, API_A, AS_OF, order).awaitTermination()
-    return plain(tables.read_table(spark, out, API_A.clean_schema))
+    return plain(buckets.read_buckets(spark, out, API_A))
 
 
 # Record transforms
@@ -840,7 +861,7 @@ def hourly_rerun(spark, sf_dir):
         runs.run_hourly(spark, layout, outcome, batch, AS_OF)
     counts = []
     for source, spec in SOURCES.items():
-        t = tables.read_table(spark, layout.clean(source), spec.clean_schema)
+        t = buckets.read_buckets(spark, layout.clean(source), spec)
         counts.append(t.agg(F.lit(source).alias("part"), F.count(F.lit(1)).alias("row_count"), F.count_distinct(spec.key).alias("ids")))
     for name, path in (("checks", layout.checks), ("metrics", layout.metrics)):
         rows = spark.read.parquet(path).groupBy("batch_id")

@@ -46,6 +46,16 @@ def daily_summary(a: DataFrame, b: DataFrame, as_of=None, ids_unique: bool = Fal
     return daily_event_counts(a, b, ids_unique, ordered=False).withColumn("_refreshed_at", as_of_column(as_of))
 
 
+def summary_of_days(days_a: DataFrame, days_b: DataFrame, as_of=None) -> DataFrame:
+    """The same table from the states of the clean tables' buckets (`sinks.buckets.day_states`)."""
+
+    def per_source(days: DataFrame, _spec: SourceSpec) -> DataFrame:
+        return days.groupBy("event_date").agg(F.sum("event_count").alias("event_count"), F.sum("unique_records").alias("unique_records"))
+
+    out = _tagged(days_a, days_b, per_source).select("source", "event_date", "event_count", "unique_records")
+    return out.withColumn("_refreshed_at", as_of_column(as_of))
+
+
 def freshness_status(latest: Column, now: Column) -> Column:
     """HEALTHY also when there is no data: an unknown age is not above a limit."""
     age = boundary_diff("HOUR", latest, now)

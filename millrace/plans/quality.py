@@ -50,16 +50,39 @@ def check_table(df: DataFrame, table_name: str, as_of=None, key: str = "id", bat
     Rows are counted per key, combined in each task before the shuffle, so a hot key stays small; the
     table's row count, NULL keys, newest row and repeated keys all follow from those counts.
     """
-    now = as_of_column(as_of)
     per_key = df.groupBy(F.col(key).alias("k")).agg(F.count(F.lit(1)).alias("n"), F.max("ingested_at").alias("latest"))
     facts = per_key.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
         F.coalesce(F.sum(F.when(F.col("k").isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
         F.count_if(F.col("n") > 1).alias("repeated"),
         F.max("latest").alias("latest"),
-    ).withColumn("age", boundary_diff("HOUR", F.col("latest"), now))
+    )
+    return _checks_of(facts, table_name, as_of, batch_id)
+
+
+def check_states(states: DataFrame, table_name: str, as_of=None, batch_id: str | None = None) -> DataFrame:
+    """The same checks from the states of a table's buckets (`sinks.buckets.fact_states`); no row of it is read.
+
+    Equal keys share a bucket, so numbers of repeated keys add up. Rows without a key lie in several buckets and are
+    one key.
+    """
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    facts = states.agg(
+        total("n_rows").alias("n_rows"),
+        total("nulls").alias("nulls"),
+        (total("repeated") + F.when(total("nulls") > 1, 1).otherwise(0)).alias("repeated"),
+        F.max("latest").alias("latest"),
+    )
+    return _checks_of(facts, table_name, as_of, batch_id)
+
+
+def _checks_of(facts: DataFrame, table_name: str, as_of, batch_id: str | None) -> DataFrame:
+    """A row per check from one row of facts."""
+    now = as_of_column(as_of)
+    facts = facts.withColumn("age", boundary_diff("HOUR", F.col("latest"), now))
     rows, nulls, repeated, age = (F.col(c) for c in ("n_rows", "nulls", "repeated", "age"))
     old = F.concat(F.lit("Data is "), age.cast("string"), F.lit(f" hours old (threshold: {FRESH_HOURS} hours)"))
+    # Names, types, limits and messages of the checks.
     checks = F.array(
         _check(
             "row_count_check", "completeness", rows, 1, rows > 0,
@@ -105,6 +128,14 @@ def check_tables(tables: dict[SourceSpec, DataFrame], as_of=None, batch_id: str
     return out
 
 
+def check_tables_by_states(states: dict[SourceSpec, DataFrame], as_of=None, batch_id: str | None = None) -> DataFrame:
+    out = None
+    for spec, df in states.items():
+        part = check_states(df, spec.qualified_table, as_of, batch_id)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def recent(results: DataFrame, as_of=None, hours: int = 0, minutes: int = 0, batch_id: str | None = None) -> DataFrame:
     """Results of a time window ending now, or of one run when ``batch_id`` is given."""
     if batch_id is not None:

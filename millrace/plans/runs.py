@@ -15,6 +15,7 @@ from millrace.plans import analytics, quality
 from millrace.plans.metrics import run_metrics, run_summary
 from millrace.plans.transform import transform_source
 from millrace.sinks.stage import stage
+from millrace.sinks.buckets import day_states, fact_states, read_buckets
 from millrace.sinks.tables import read_table, replace_batches, replace_table
 from millrace.sources.extract import changed_since
 from millrace.specs import SOURCES
@@ -128,17 +129,16 @@ def run_hourly(
     another, loses no row and counts none twice; its checks and metrics replace those of the first
     attempt. The metrics are written before the gate may raise.
     """
-    clean = {}
     for source, spec in SOURCES.items():
         query = land(spark, layout.staging, source, layout.raw(source), layout.checkpoint(source), as_of)
         query.awaitTermination()
         merge = stream_upsert(spark, layout.raw(source), layout.clean(source), layout.clean_checkpoint(source), spec, as_of, tie_break)
         merge.awaitTermination()
-        clean[spec] = read_table(spark, layout.clean(source), spec.clean_schema)
-    a, b = (clean[spec] for spec in SOURCES.values())
-    # The upsert leaves each non-NULL id once, so ids need no distinct count.
-    replace_table(analytics.daily_summary(a, b, as_of, ids_unique=True), layout.summary)
-    replace_batches(quality.check_tables(clean, as_of, batch_id), layout.checks)
+    # Summary and checks come from the states of the buckets, of which the upsert renewed those it touched.
+    days = [day_states(spark, layout.clean(source)) for source in SOURCES]
+    replace_table(analytics.summary_of_days(*days, as_of), layout.summary)
+    facts = {spec: fact_states(spark, layout.clean(source)) for source, spec in SOURCES.items()}
+    replace_batches(quality.check_tables_by_states(facts, as_of, batch_id), layout.checks)
     results = spark.read.parquet(layout.checks).where(F.col("batch_id") == batch_id)
     metrics = run_metrics(run_summary(ingested), results)
     replace_batches(metrics, layout.metrics)
@@ -149,7 +149,7 @@ def run_hourly(
 
 def dashboard(spark: SparkSession, layout: Layout, as_of=None) -> DataFrame:
     """The dashboard from the refreshed summary and one pass over the clean tables."""
-    a, b = (read_table(spark, layout.clean(s), spec.clean_schema) for s, spec in SOURCES.items())
+    a, b = (read_buckets(spark, layout.clean(s), spec) for s, spec in SOURCES.items())
     return analytics.dashboard_of(
         analytics.data_freshness(a, b, as_of), read_table(spark, layout.summary, SUMMARY_SCHEMA), as_of
     )

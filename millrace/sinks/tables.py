@@ -30,6 +30,18 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     fs.delete(folder, True)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none when it does not exist."""
+    folder, fs = _files(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()] if fs.exists(folder) else []
+
+
+def finished(spark: SparkSession, path: str) -> bool:
+    """Whether a write to this folder has ended."""
+    marker, fs = _files(spark, f"{path}/_SUCCESS")
+    return fs.exists(marker)
+
+
 def purge_expired(spark: SparkSession, stage_root: str, as_of=None, days: int | None = None) -> int:
     """Drop the day folders of a staging area that are past retention; gives their number.
 
@@ -43,12 +55,8 @@ def purge_expired(spark: SparkSession, stage_root: str, as_of=None, days: int |
 
 def versions(spark: SparkSession, path: str) -> list[int]:
     """Finished versions, oldest first."""
-    folder, fs = _files(spark, path)
-    if not fs.exists(folder):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()]
-    numbers = sorted(int(n.split("=")[1]) for n in names if n.startswith("version="))
-    return [n for n in numbers if fs.exists(_files(spark, f"{path}/version={n}/_SUCCESS")[0])]
+    numbers = sorted(int(n.split("=")[1]) for n in folder_names(spark, path) if n.startswith("version="))
+    return [n for n in numbers if finished(spark, f"{path}/version={n}")]
 
 
 def read_version(spark: SparkSession, path: str, version: int, schema: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.operators.clean import clean_full
-from millrace.sinks.tables import read_version, replace_by_upsert, versions
+from millrace.sinks.buckets import BUCKETS, upsert_buckets
 from millrace.specs import RAW_SCHEMA, SourceSpec
 
 
@@ -20,12 +20,13 @@ def stream_upsert(
     on_error: str = "fail",
     max_files: int | None = None,
     every: str | None = None,
+    buckets: int = BUCKETS,
 ):
-    """Upsert RAW rows as they land and return the query.
+    """Upsert RAW rows as they land into a table of key buckets and return the query.
 
     Which rows are new is the checkpoint's knowledge, so late-committed rows are not lost as with a
-    clock. Micro-batch N turns version N into version N+1: one that is replayed finds its version
-    finished and does nothing. The stream must be the table's only writer.
+    clock. Micro-batch N is load N of the table: it rewrites the buckets its keys fall into, and one that is
+    replayed finds its load finished and does nothing. The stream must be the table's only writer.
     """
     reader = spark.readStream.schema(RAW_SCHEMA)
     if max_files:
@@ -33,16 +34,7 @@ def stream_upsert(
     rows = reader.option("recursiveFileLookup", "true").parquet(raw_path)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        done = versions(session, clean_path)
-        if batch_id + 1 in done:
-            return
-        schema = spec.clean_schema
-        target = read_version(session, clean_path, batch_id, schema) if batch_id in done else session.createDataFrame([], schema)
-        if done and batch_id not in done:
-            raise RuntimeError(f"version {batch_id} of {clean_path} is missing; was its checkpoint replaced?")
-        new = clean_full(batch, spec, as_of, on_error, tie_break)
-        replace_by_upsert(target, new, clean_path, spec, version=batch_id + 1)
+        upsert_buckets(clean_full(batch, spec, as_of, on_error, tie_break), clean_path, spec, batch_id, buckets)
 
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return rows.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(**trigger).start()

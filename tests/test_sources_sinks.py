@@ -15,6 +15,7 @@ from millrace.sinks import stage as sink, tables
 from millrace.sources import extract, jsonl, pages, stage
 from millrace.specs import API_A
 from millrace.streaming.landing import land, read_raw
+from millrace.sinks.buckets import read_buckets
 from millrace.streaming.upsert import stream_upsert
 
 
@@ -217,7 +218,7 @@ def test_stream_upsert_survives_a_replay(spark, payloads, tmp_path):
 
     def run():
         stream_upsert(spark, raw, out, seen, API_A, "2024-01-09").awaitTermination()
-        return sorted((r.id or "", r.name) for r in tables.read_table(spark, out, API_A.clean_schema).collect())
+        return sorted((r.id or "", r.name) for r in read_buckets(spark, out, API_A).collect())
 
     load(1, {"id": "1", "updated_at": "2024-01-02", "name": "new"}, {"id": None, "name": "x"})
     assert run() == [("", "x"), ("1", "new")]
