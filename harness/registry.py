@@ -602,7 +602,8 @@ def transform_b(spark, sf_dir):
 @query
 def transform_records(spark, sf_dir):
     """Flatten, normalise, validate and dedupe; valid and rejected rows counted per event type."""
-    valid, rejected = transform.transform_source(D.messy_records(spark, sf_dir), "api_a", flatten=True)
+    work = workspace(spark, "normalized")
+    valid, rejected = transform.transform_source(D.messy_records(spark, sf_dir), "api_a", flatten=True, work=work)
     names = ["event_type", "meta_data_category_name"]
 
     def counted(df: DataFrame, outcome: str) -> DataFrame:

@@ -56,14 +56,18 @@ TYPE_WORD = re.compile(r"`(?:[^`]|``)*`|\bOBJECT(?=<)|\bVOID\b(?!\s*:)")
 TYPE_NAMES = {"OBJECT": "STRUCT", "VOID": "VARIANT"}
 
 
+def struct_ddl(schema: str | None) -> str:
+    """The type text of a merged schema; a field with mixed types stays VARIANT."""
+    return TYPE_WORD.sub(lambda m: TYPE_NAMES.get(m[0], m[0]), schema) if schema else "STRUCT<>"
+
+
 def struct_type_of(df: DataFrame, column: str) -> str:
     """The struct type that covers every payload of a VARIANT column, found in one aggregation pass.
 
     The pass is a map-side merge of schemas; only the merged text comes to the driver. A field with
     mixed types stays VARIANT.
     """
-    text = df.agg(F.schema_of_variant_agg(column).alias("s")).first()["s"]
-    return TYPE_WORD.sub(lambda m: TYPE_NAMES.get(m[0], m[0]), text) if text else "STRUCT<>"
+    return struct_ddl(df.agg(F.schema_of_variant_agg(column).alias("s")).first()["s"])
 
 
 def type_payload(df: DataFrame, column: str, struct_ddl: str | None = None) -> DataFrame:

@@ -14,6 +14,40 @@ from millrace.functions.text import snake_key, snake_name, snake_sql, trim_sql
 TOO_DEEP = "payload is nested deeper than max_depth; raise max_depth"
 
 
+def container_sql(
+    value: str, depth: int, timestamps: Sequence[str] = (), normalize_keys: bool = True, split_acronyms: bool = False, to_utc: bool = False
+) -> str:
+    """SQL text of a normalised object or list; the elements of a list carry a NULL key."""
+    c, p = f"c{depth}", f"p{depth}"
+    renamed = snake_sql("e.key", split_acronyms) if normalize_keys else "e.key"
+    listed = f"transform({V.items_sql(value)}, x -> struct(CAST(NULL AS STRING) AS key, x AS value))"
+    children = (
+        f"transform(coalesce({V.entries_sql(value)}, {listed}), e -> struct("
+        f"e.key AS key, {renamed} AS name, e.value AS value, schema_of_variant(e.value) AS kind))"
+    )
+    deeper = f"CAST(raise_error({literal(TOO_DEEP)}) AS VARIANT)"
+    if depth > 1:
+        deeper = container_sql(f"{c}.value", depth - 1, timestamps, normalize_keys, split_acronyms, to_utc)
+    stamp = ""
+    if timestamps:
+        stamped = timefn.normalize_ts_variant(f"{c}.value", f"{c}.kind", to_utc=to_utc)
+        is_stamp = f"{any_of(f'{c}.key', timestamps)} OR {any_of(f'{c}.name', timestamps)}"
+        stamp = f"WHEN {is_stamp} THEN CAST({stamped} AS VARIANT)"
+    text = trim_sql(f"try_variant_get({c}.value, '$', 'string')")
+    named = f"{c}.key IS NOT NULL"
+    done = (
+        f"CASE {stamp} WHEN {named} AND {V.is_text(f'{c}.kind')} THEN CAST({text} AS VARIANT)"
+        f" WHEN {V.is_object(f'{c}.kind')} OR ({named} AND {V.is_array(f'{c}.kind')}) THEN {deeper}"
+        f" ELSE {c}.value END"
+    )
+    finished = f"transform({children}, {c} -> struct({c}.name AS key, {done} AS value))"
+    # An empty list has no element to tell it from an object by.
+    is_list = f"get({p}, 0).key IS NULL AND {V.items_sql(value)} IS NOT NULL"
+    as_list = f"to_variant_object(transform({p}, x -> x.value))"
+    as_object = f"to_variant_object(map_from_entries(filter({p}, x -> x.key != '')))"
+    return let(p, finished, f"IF({is_list}, {as_list}, {as_object})")
+
+
 def normalize_variant(
     column: str,
     timestamps: Sequence[str] = (),
@@ -28,46 +62,17 @@ def normalize_variant(
     payload deeper than ``max_depth`` raises rather than passing half done. A key left empty by the
     clean-up is dropped, and of colliding keys the last in key order wins.
     """
-
-    def container(value: str, depth: int) -> str:
-        """``value`` is an object or a list; list elements carry a NULL key."""
-        c, p = f"c{depth}", f"p{depth}"
-        renamed = snake_sql("e.key", split_acronyms) if normalize_keys else "e.key"
-        listed = f"transform({V.items_sql(value)}, x -> struct(CAST(NULL AS STRING) AS key, x AS value))"
-        children = (
-            f"transform(coalesce({V.entries_sql(value)}, {listed}), e -> struct("
-            f"e.key AS key, {renamed} AS name, e.value AS value, schema_of_variant(e.value) AS kind))"
-        )
-        deeper = container(f"{c}.value", depth - 1) if depth > 1 else f"CAST(raise_error({literal(TOO_DEEP)}) AS VARIANT)"
-        stamp = ""
-        if timestamps:
-            stamped = timefn.normalize_ts_variant(f"{c}.value", f"{c}.kind", to_utc=to_utc)
-            is_stamp = f"{any_of(f'{c}.key', timestamps)} OR {any_of(f'{c}.name', timestamps)}"
-            stamp = f"WHEN {is_stamp} THEN CAST({stamped} AS VARIANT)"
-        text = trim_sql(f"try_variant_get({c}.value, '$', 'string')")
-        named = f"{c}.key IS NOT NULL"
-        done = (
-            f"CASE {stamp} WHEN {named} AND {V.is_text(f'{c}.kind')} THEN CAST({text} AS VARIANT)"
-            f" WHEN {V.is_object(f'{c}.kind')} OR ({named} AND {V.is_array(f'{c}.kind')}) THEN {deeper}"
-            f" ELSE {c}.value END"
-        )
-        finished = f"transform({children}, {c} -> struct({c}.name AS key, {done} AS value))"
-        # An empty list has no element to tell it from an object by.
-        is_list = f"get({p}, 0).key IS NULL AND {V.items_sql(value)} IS NOT NULL"
-        as_list = f"to_variant_object(transform({p}, x -> x.value))"
-        as_object = f"to_variant_object(map_from_entries(filter({p}, x -> x.key != '')))"
-        return let(p, finished, f"IF({is_list}, {as_list}, {as_object})")
-
     source = name(column)
     is_object = V.is_object(f"schema_of_variant({source})")
-    return F.expr(f"IF({is_object}, {container(source, max_depth)}, NULL)")
+    done = container_sql(source, max_depth, timestamps, normalize_keys, split_acronyms, to_utc)
+    return F.expr(f"IF({is_object}, {done}, NULL)")
 
 
-def variant_depth(df: DataFrame, column: str) -> int:
-    """Levels of objects and lists in the deepest payload of a VARIANT column."""
+def depth_of(column: str) -> Column:
+    """Levels of objects and lists in a VARIANT value."""
     bare = F.regexp_replace(F.to_json(column), r'"(?:[^"\\]++|\\.)*+"', "")
     brackets = F.split(F.translate(F.regexp_replace(bare, r"[^\[\]{}]", ""), "[]{}", "<><>"), "")
-    level = F.aggregate(
+    return F.aggregate(
         brackets,
         F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")),
         lambda a, b: F.struct(
@@ -76,7 +81,11 @@ def variant_depth(df: DataFrame, column: str) -> int:
         ),
         lambda a: a["most"],
     )
-    return df.agg(F.max(level).alias("most")).first()["most"] or 0
+
+
+def variant_depth(df: DataFrame, column: str) -> int:
+    """Levels of objects and lists in the deepest payload of a VARIANT column."""
+    return df.agg(F.max(depth_of(column)).alias("most")).first()["most"] or 0
 
 
 def key_report(df: DataFrame, column: str = "payload", split_acronyms: bool = False) -> DataFrame:

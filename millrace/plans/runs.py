@@ -14,9 +14,10 @@ from millrace.operators.clean import STABLE_ORDER
 from millrace.plans import analytics, quality
 from millrace.plans.metrics import run_metrics, run_summary
 from millrace.plans.transform import transform_source
+from millrace.session import workspace
 from millrace.sinks.stage import stage
 from millrace.sinks.buckets import day_states, fact_states, read_buckets
-from millrace.sinks.tables import read_table, replace_batches, replace_table
+from millrace.sinks.tables import drop_folder, read_table, replace_batches, replace_table
 from millrace.sources.extract import changed_since
 from millrace.specs import SOURCES
 from millrace.streaming.landing import land
@@ -81,15 +82,21 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
 def ingest_source(records: DataFrame, source: str, layout: Layout, batch_id: str, at=None, ordinal: str = "ordinal") -> dict:
     """Transform a source's ``(ordinal, payload)`` records, stage the valid and set the others aside.
 
-    Both outputs replace those of an earlier attempt at the same batch.
+    The source is read once: its records are put in a work folder, and so are the normalised ones, from which both
+    outputs are taken. Outputs replace those of an earlier attempt at the same batch.
     """
-    counted, fetched = _counted(records)
-    valid, _ = transform_source(counted, source, ordinal)
-    report = stage(valid.select("payload"), layout.staging, source, batch_id, at, payload="payload")
-    _, rejected = transform_source(records, source, ordinal)
-    rejected, set_aside = _counted(rejected.withColumn("_batch_id", F.lit(batch_id)))
-    out = rejected.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_batch_id")
-    out.parquet(layout.quarantine(source))
+    spark, work = records.sparkSession, workspace(records.sparkSession, f"ingest-{source}")
+    try:
+        counted, fetched = _counted(records)
+        counted.write.parquet(f"{work}/records")
+        kept = spark.read.schema(records.schema).parquet(f"{work}/records")
+        valid, rejected = transform_source(kept, source, ordinal, work=f"{work}/normalized")
+        report = stage(valid.select("payload"), layout.staging, source, batch_id, at, payload="payload")
+        rejected, set_aside = _counted(rejected.withColumn("_batch_id", F.lit(batch_id)))
+        out = rejected.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_batch_id")
+        out.parquet(layout.quarantine(source))
+    finally:
+        drop_folder(spark, work)
     return {**report, "records_fetched": fetched.get["n"], "records_rejected": set_aside.get["n"]}
 
 

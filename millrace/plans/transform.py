@@ -1,18 +1,19 @@
-"""Flatten, normalise, validate, dedupe: one lazy plan with two outputs."""
+"""Flatten, normalise, validate, dedupe: two outputs of one normalisation."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions import variants as V
 from millrace.operators.dedupe import dedupe
 from millrace.operators.flatten import flatten_records
 from millrace.operators.once import computed_once
 from millrace.operators.normalize import normalize_variant, variant_depth
-from millrace.operators.validate import split_valid
+from millrace.operators.shape import Shape, normalize_known, shape_of
+from millrace.operators.validate import ERRORS, INDEX, with_validation_errors
 from millrace.specs import API_A, API_B, SourceSpec
 
 
@@ -25,8 +26,10 @@ class TransformSpec:
     flatten: bool = False
     normalize_keys: bool = True
     split_acronyms: bool = False
-    # None: as deep as the records are, found in one pass over them.
+    # Set, records go through the general expressions for unknown fields, down to this depth.
     max_depth: int | None = None
+    # What `shape_of` gave for exactly these records; None finds it in one pass over them.
+    shape: Shape | None = None
     flatten_depth: int = 10
 
 
@@ -37,8 +40,21 @@ def spec_for(source: SourceSpec) -> TransformSpec:
 PRESETS = {s.name: spec_for(s) for s in (API_A, API_B)}
 
 
+def _not_object(payload: str) -> Column:
+    message = F.concat(F.lit("record is not an object: "), F.to_json(payload))
+    return F.raise_error(message).cast("variant")
+
+
 def normalized(df: DataFrame, spec: TransformSpec, payload: str = "payload") -> DataFrame:
-    """Records with normalised payloads; one that is not an object stays as it is, for validation to reject."""
+    """Records with normalised payloads; one that is not an object stays as it is, for validation to reject.
+
+    Where `spec.shape` is not given, this runs one aggregation over the records to find it.
+    """
+    shape = spec.shape or (None if spec.max_depth else shape_of(df, payload, spec.flatten))
+    if shape and not (spec.flatten and shape.mixed_objects):
+        done = normalize_known(payload, shape, spec.timestamps, spec.normalize_keys, spec.split_acronyms, flatten_depth=spec.flatten_depth if spec.flatten else None)
+        other = F.when(F.col(payload).isNotNull(), _not_object(payload)) if spec.flatten else F.col(payload)
+        return computed_once(df, payload, F.coalesce(done, other))
     depth = spec.max_depth or max(1, variant_depth(df, payload))
     if spec.flatten:
         df = flatten_records(df, payload, max_depth=spec.flatten_depth)
@@ -66,20 +82,27 @@ def dedupe_payload(
 
 
 def transform(
-    df: DataFrame, spec: TransformSpec, ordinal: str = "ordinal", payload: str = "payload"
+    df: DataFrame, spec: TransformSpec, ordinal: str = "ordinal", payload: str = "payload", work: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(valid, rejected) records of ``(ordinal, payload)`` rows, other columns carried along.
 
     Valid rows are one per key; rejected ones keep their errors and position. The only shuffle is the
-    dedupe, and it moves one row per key and task.
+    dedupe, and it moves one row per key and task. With ``work``, a new folder that all executors reach, the
+    normalised records are written there once and both outputs read them; else each output works them out anew.
     """
-    records = normalized(df, spec, payload)
-    valid, rejected = split_valid(records, spec.required, payload, index=ordinal)
+    checked = with_validation_errors(normalized(df, spec, payload), spec.required, payload)
+    if work:
+        checked.write.parquet(work)
+        checked = df.sparkSession.read.schema(checked.schema).parquet(work)
+    valid = checked.where(F.size(ERRORS) == 0).drop(ERRORS)
+    rejected = checked.where(F.size(ERRORS) > 0).withColumn(INDEX, F.col(ordinal))
     if spec.keys:
         valid = dedupe_payload(valid, spec.keys, spec.sort, ordinal=ordinal, payload=payload)
     return valid, rejected
 
 
-def transform_source(df: DataFrame, source: str, ordinal: str = "ordinal", flatten: bool = False) -> tuple[DataFrame, DataFrame]:
+def transform_source(
+    df: DataFrame, source: str, ordinal: str = "ordinal", flatten: bool = False, work: str | None = None
+) -> tuple[DataFrame, DataFrame]:
     """`transform` with the source's own settings."""
-    return transform(df, replace(PRESETS[source], flatten=flatten), ordinal)
+    return transform(df, replace(PRESETS[source], flatten=flatten), ordinal, work=work)

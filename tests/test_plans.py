@@ -13,7 +13,7 @@ from millrace.specs import API_A, API_B, RAW_SCHEMA
 SMALL = "/root/testdata/sf0.001"
 
 # Queries that run jobs of their own before they return.
-JOBS = {"hourly_run", "land_raw_a", "land_raw_b", "land_refresh", "stream_upsert", "daily_summary", "dq_results", "merge_a_measured", "hourly_rerun", "summary_by_buckets", "checks_by_buckets"}
+JOBS = {"hourly_run", "land_raw_a", "land_raw_b", "land_refresh", "stream_upsert", "daily_summary", "dq_results", "merge_a_measured", "hourly_rerun", "summary_by_buckets", "checks_by_buckets", "transform_records"}
 
 
 def plan_of(df):
@@ -89,6 +89,26 @@ def test_small_merge_does_not_shuffle_the_target(stored):
     assert "FullOuter" in plan_of(merge_newer(a, a, "id", "updated_at"))
 
 
+def test_an_ingest_reads_its_source_once(spark, payloads, tmp_path):
+    """Whatever the outputs need, every record is taken from the source one time."""
+    from millrace.plans import runs
+
+    taken = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            taken.add(batch.num_rows)
+            yield batch
+
+    rows = payloads(*[{"id": str(i % 7), "updatedAt": "2024-01-01", "Deep": {"A b": " x "}} for i in range(60)], {"id": None})
+    plain = rows.select("ordinal", F.to_json("payload").alias("text")).mapInArrow(count, "ordinal bigint, text string")
+    records = plain.select("ordinal", F.parse_json("text").alias("payload"))
+    layout = runs.Layout(str(tmp_path))
+    report = runs.ingest_source(records, "api_a", layout, "b1", "2024-01-02 00:00:00")
+    assert taken.value == 61
+    assert (report["records_fetched"], report["record_count"], report["records_rejected"]) == (61, 7, 1)
+
+
 def test_step_logs_are_counted_by_hash(spark):
     plan = plan_of(QUERIES["step_log_rollup"](spark, SMALL))
     assert "SortAggregate" not in plan and "HashAggregate" in plan
