@@ -6,10 +6,11 @@ the beginning of one window, so ROLLUP over the window columns sums the counts o
 and of all words of a language; n-grams of the lower orders are never made.
 
 Most windows of a large text stand a few times and hold no phrase of ``least`` occurrences. A first pass counts
-hashed window beginnings in a table of fixed size, ``BUCKETS`` counters that stop at ``least``. A phrase never stands
-more often than its counter says, so a window may be padded from the first beginning whose counter is below ``least``:
-no phrase of ``least`` occurrences is touched, whatever collides, and all other counts are exact. The table costs each
-task a fixed amount of memory and is sent out as one bit a counter.
+hashed window beginnings in a table of fixed size, ``BUCKETS`` counters that stop at ``least``, each beginning at two
+places. A phrase never stands more often than its counters say, so a window may be padded from the first beginning
+with a counter below ``least``: no phrase of ``least`` occurrences is touched, whatever collides, and its counts are
+exact. The table costs each task a fixed amount of memory and is sent out as one bit a counter. Where a corpus fills
+all counters, nothing is padded early and the windows are counted as they are.
 
 Defined cases: a null or empty text has no words; null ``lang`` is ``und`` and joins rows that say ``und``. Repeated
 rows count as often as they stand. Only ``lang`` and ``text`` are read, so other columns cannot clash. Phrases that tie
@@ -36,10 +37,12 @@ SHARE = 80  # per cent of a phrase's occurrences inside one longer phrase that r
 WORDS = [f"w{i}" for i in range(LONGEST)]
 # Characters that end a piece become line breaks, and blanks inside a piece spaces.
 FORMS = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n\n\n\n\n\n\n\n\n ")
-CHUNK_BYTES = 8 << 20
+# Text counted at once in a task; Spark adds up what such stretches have in common.
+CHUNK_BYTES = 2 << 20
 # Counters of the first pass, a power of two, and how many of them travel as one row.
-BUCKETS, BLOCK = 1 << 25, 1 << 16
-ODD = np.uint64(0x9E3779B97F4A7C15)
+BUCKETS, BLOCK = 1 << 26, 1 << 16
+# Odd multipliers that mix hashes and give a beginning its two places.
+ODD, OTHER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 class _Chunk:
@@ -56,7 +59,7 @@ class _Chunk:
         self.hashes = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
 
     def windows(self, buckets: int, may: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Per order: the codes of that word of every window, -1 for padding, and the buckets of the beginnings.
+        """Per order: the codes of that word of every window, -1 for padding, and the two buckets of the beginnings.
 
         ``buckets`` is a power of two. Without ``may``, one bit a bucket, no window is padded before its piece ends.
         """
@@ -70,13 +73,27 @@ class _Chunk:
             open_, mix = open_[inside], mix[inside]
             mix = (mix ^ self.hashes[first[open_ + order]]) * ODD
             mix ^= mix >> np.uint64(29)
-            into = (mix * ODD >> np.uint64(32)).astype(np.int64) & buckets - 1
+            into = np.stack([mix * m >> np.uint64(32) for m in (ODD, OTHER)]).astype(np.int64) & buckets - 1
             if may is not None:
-                frequent = (may[into >> 3] >> (into & 7) & 1).astype(bool)
-                open_, mix, into = open_[frequent], mix[frequent], into[frequent]
+                frequent = (may[into >> 3] >> (into & 7) & 1).all(0)
+                open_, mix, into = open_[frequent], mix[frequent], into[:, frequent]
             yield open_, into
 
 
+    def counted(self, buckets: int, may: np.ndarray) -> pa.Table:
+        """The windows and how often they stand."""
+        starts = np.flatnonzero(self.codes != self.ends)
+        columns = []
+        for order, (open_, _) in enumerate(self.windows(buckets, may)):
+            column = np.full(len(starts), -1, np.int32)
+            column[np.searchsorted(starts, open_)] = self.codes[open_ + order]
+            columns.append(column)
+        counts = pa.table(columns, WORDS).group_by(WORDS, use_threads=False).aggregate([([], "count_all")])
+        texts = self.words.cast(pa.string())
+        named = [texts.take(pa.array(c := counts[w].to_numpy(), mask=c < 0)) for w in WORDS]
+        return pa.table([pa.array([self.lang] * len(counts), pa.string()), *named, counts["count_all"]], ["lang", *WORDS, "n"])
+
+
 def _chunks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[_Chunk]:
     """Texts gathered by language until they reach ``most`` bytes; a longer text is a chunk of its own."""
     held: dict[str, list[bytes]] = {}
@@ -101,7 +118,7 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 
 def frequent_bits(docs: DataFrame, least: int, buckets: int, chunk_bytes: int) -> bytes:
-    """One bit a bucket: whether the window beginnings that fall into it may stand ``least`` times."""
+    """One bit a bucket: whether a window beginning that falls into it may stand ``least`` times."""
     top, block_size = min(least, 255), min(BLOCK, buckets)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,17 +163,7 @@ def windows(docs: DataFrame, least: int = LEAST, buckets: int = BUCKETS, chunk_b
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         may = np.frombuffer(table.value, np.uint8)
         for chunk in _chunks(batches, chunk_bytes):
-            starts = np.flatnonzero(chunk.codes != chunk.ends)
-            columns = []
-            for order, (open_, _) in enumerate(chunk.windows(buckets, may)):
-                column = np.full(len(starts), -1, np.int32)
-                column[np.searchsorted(starts, open_)] = chunk.codes[open_ + order]
-                columns.append(column)
-            counted = pa.table(columns, WORDS).group_by(WORDS, use_threads=False).aggregate([([], "count_all")])
-            texts = chunk.words.cast(pa.string())
-            named = [texts.take(pa.array(c := counted[w].to_numpy(), mask=c < 0)) for w in WORDS]
-            whole = pa.table([pa.array([chunk.lang] * len(counted)), *named, counted["count_all"]], ["lang", *WORDS, "n"])
-            yield from whole.to_batches(max_chunksize=20_000)
+            yield from chunk.counted(buckets, may).to_batches(max_chunksize=20_000)
 
     kind = ", ".join(f"{c} string" for c in ("lang", *WORDS)) + ", n bigint"
     return rows.mapInArrow(run, kind).groupBy("lang", *WORDS).agg(F.sum("n").alias("n"))

@@ -1,15 +1,14 @@
 """Token counts without token ids, for byte-level BPE vocabularies.
 
 Such a vocabulary parts a text into pre-tokens and merges inside each of them only, so a text has as many tokens as its
-pre-tokens have together. Each document becomes its distinct pre-tokens and how often they stand in it; every pre-token
-of the whole table is put to the tokenizers library once, which gives its number of pieces; the counts are joined to
-the frequencies and summed. No ids of documents are made.
+pre-tokens have together. A first pass gathers the distinct pre-tokens of the whole table; each is put to the tokenizers
+library once, which gives its number of pieces. A second pass makes the pre-token frequencies of each document, joins
+the sizes to them and sums. No ids of documents are made.
 
-Pre-tokens follow Zipf's law: " the" stands in a third of all documents. A pre-token that makes up more than one in
-``HOT`` of all (document, pre-token) rows is hot; there are fewer than ``HOT`` of them, so they can be sent to all tasks
-if they are short, and their rows do not move. No other pre-token has more than that share, so the rest are joined by a
-shuffle without a large group. Pre-tokens of ``LONG`` bytes or more are named by
-their SHA-512 in joins.
+Pre-tokens follow Zipf's law: " the" is in most documents. A pre-token that makes up more than one in ``HOT`` of all
+occurrences is hot. There are fewer than ``HOT`` of them, of at most ``LONG`` bytes each, so their sizes are sent to all
+tasks and joined where the document is read. No other pre-token has more than that share, so the frequencies of the
+rest are joined by a shuffle that has no large group. Pre-tokens of ``LONG`` bytes or more are named by their SHA-512.
 
 Defined cases: a null or empty text has no bytes and no tokens. Rows are counted one by one, so repeated rows and null
 ids keep their row each. Strings of special tokens inside a text are one token each, as the library has it by default.
@@ -34,9 +33,9 @@ from millrace.llm.ship import shipped
 from millrace.llm.words import stored
 
 LIMIT = 512
-HOT = 50_000
-# Bytes from which a pre-token is named by a digest of as many bytes, and bytes of hot pre-tokens that may be sent to all tasks.
-LONG, HOT_BYTES = 64, 16 << 20
+HOT = 400_000
+# Bytes from which a pre-token is named by a digest of as many bytes.
+LONG = 64
 
 # White space, letters and numbers below U+0250, as the vocabulary's rule parts them.
 SPACE = "\t-\r \x85\xa0"
@@ -87,75 +86,78 @@ def _vocabulary(path: str) -> ByteLevel:
     return ByteLevel(path)
 
 
-def frequencies(docs: DataFrame, path: str) -> DataFrame:
-    """``row, doc_id, n_bytes, n_special, pieces, longs`` of each document row.
+class _Parted:
+    """Distinct pre-tokens of some texts with their names in joins, and where they stand."""
 
-    ``pieces`` holds ``key`` and ``n`` of each distinct pre-token, ``longs`` the text of keys that are digests.
-    """
+    def __init__(self, known: ByteLevel, texts: list[bytes]):
+        parted = [known.pre_tokens(t.decode()) for t in texts]
+        coded = pa.array([t for tokens, _ in parted for t in tokens], pa.string()).dictionary_encode()
+        self.words = coded.dictionary.cast(pa.binary()).to_pylist()
+        self.keys = [hashlib.sha512(w).digest() if len(w) >= LONG else w for w in self.words]
+        self.codes = coded.indices.to_numpy()
+        self.of = np.repeat(np.arange(len(texts)), [len(tokens) for tokens, _ in parted])
+        self.special = np.array([n for _, n in parted], np.int64)
+
+
+def _rows(docs: DataFrame) -> DataFrame:
     shipped(docs.sparkSession)
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    return docs.select("doc_id", F.col("text").cast("string").alias("text"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _vocabulary(path)
-        for batch, texts in slices(batches):
-            parted = [known.pre_tokens(t.decode()) for t in texts]
-            flat = [t for tokens, _ in parted for t in tokens]
-            coded = pa.array(flat, pa.string()).dictionary_encode()
-            words = coded.dictionary.cast(pa.binary()).to_pylist()
-            keys = pa.array([hashlib.sha512(w).digest() if len(w) >= LONG else w for w in words], pa.binary())
-            codes = coded.indices.to_numpy().astype(np.int64)
-            of = np.repeat(np.arange(len(texts)), [len(tokens) for tokens, _ in parted])
-            pairs, n = np.unique(of * max(1, len(words)) + codes, return_counts=True)
-            which = pairs % max(1, len(words))
-            ends = np.searchsorted(pairs // max(1, len(words)), np.arange(len(texts) + 1)).astype(np.int32)
-            items = pa.StructArray.from_arrays([keys.take(pa.array(which)), pa.array(n, pa.int64())], ["key", "n"])
-            long = np.fromiter((len(w) >= LONG for w in words), bool, len(words))
-            longs: list[list[dict]] = [[] for _ in texts]
-            for i in np.flatnonzero(long[which]).tolist():
-                longs[int(pairs[i]) // len(words)].append({"key": keys[which[i]].as_py(), "text": words[which[i]].decode()})
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(list(map(len, texts)), pa.int64()), pa.array([k for _, k in parted], pa.int64()), pa.ListArray.from_arrays(pa.array(ends), items), pa.array(longs, pa.list_(pa.struct([("key", pa.binary()), ("text", pa.string())])))],
-                ["doc_id", "n_bytes", "n_special", "pieces", "longs"],
-            )
-
-    kind = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_bytes bigint, n_special bigint, pieces array<struct<key:binary,n:bigint>>, longs array<struct<key:binary,text:string>>"
-    return rows.mapInArrow(run, kind).withColumn("row", F.monotonically_increasing_id())
 
+def pre_token_sizes(docs: DataFrame, path: str) -> DataFrame:
+    """``key, n, n_tokens``: every distinct pre-token, how often it stands, and its number of tokens."""
 
-def piece_sizes(found: DataFrame, path: str) -> DataFrame:
-    """``key, rows, n_tokens``: every distinct pre-token, in how many documents it stands, and its number of tokens."""
-    keys = found.select(F.explode("pieces.key").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("rows"))
-    longs = found.select(F.inline("longs")).groupBy("key").agg(F.first("text").alias("text"))
-    digest = F.octet_length("key") == LONG
-    short = keys.where(~digest).select("key", "rows", F.col("key").cast("string").alias("text"))
-    both = short.unionByName(keys.where(digest).join(longs, "key"))
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, texts in slices(batches):
+            found = _Parted(_vocabulary(path), texts)
+            long = [w.decode() if len(w) >= LONG else None for w in found.words]
+            n = np.bincount(found.codes, minlength=len(found.words))
+            yield pa.RecordBatch.from_arrays([pa.array(found.keys, pa.binary()), pa.array(long, pa.string()), pa.array(n, pa.int64())], ["key", "long", "n"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches):
             n = _vocabulary(path).sizes([t.decode() for t in texts])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64())], ["key", "rows", "n_tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64())], ["key", "n", "n_tokens"])
+
+    found = _rows(docs).select("text").mapInArrow(gather, "key binary, long string, n bigint").groupBy("key", "long").agg(F.sum("n").alias("n"))
+    return found.select("key", "n", F.coalesce("long", F.col("key").cast("string")).alias("text")).mapInArrow(count, "key binary, n bigint, n_tokens bigint")
 
-    return both.mapInArrow(run, "key binary, rows bigint, n_tokens bigint")
+
+def frequencies(docs: DataFrame, path: str, hot: dict[bytes, int]) -> DataFrame:
+    """``doc_id, n_bytes, tokens, pieces`` of each document row.
+
+    ``tokens`` is the number of tokens of pre-tokens in ``hot`` and of special strings; ``pieces`` holds ``key`` and
+    ``n`` of the document's other pre-tokens.
+    """
+    rows, sent = _rows(docs), docs.sparkSession.sparkContext.broadcast(hot)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, sizes = _vocabulary(path), sent.value
+        for batch, texts in slices(batches):
+            found = _Parted(known, texts)
+            size = np.fromiter((sizes.get(k, -1) for k in found.keys), np.int64, len(found.keys))
+            here = size[found.codes]
+            tokens = found.special + np.bincount(found.of, np.maximum(here, 0), len(texts)).astype(np.int64)
+            rest, width = here < 0, max(1, len(found.words))
+            pairs, n = np.unique(found.of[rest] * width + found.codes[rest], return_counts=True)
+            ends = np.searchsorted(pairs, np.arange(len(texts) + 1) * width).astype(np.int32)
+            keys = pa.array(found.keys, pa.binary()).take(pa.array(pairs % width))
+            pieces = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([keys, pa.array(n, pa.int64())], ["key", "n"]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(map(len, texts)), pa.int64()), pa.array(tokens), pieces], ["doc_id", "n_bytes", "tokens", "pieces"])
+
+    kind = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_bytes bigint, tokens bigint, pieces array<struct<key:binary,n:bigint>>"
+    return rows.mapInArrow(run, kind).withColumn("row", F.monotonically_increasing_id())
 
 
-def token_counts(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
+def token_counts(docs: DataFrame, path: str, limit: int = LIMIT, hot: int = HOT) -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit`` of each document row. ``path`` names the vocabulary on the executors."""
-    found = stored(frequencies(docs, path), "pieces")
-    sizes = stored(piece_sizes(found, path), "sizes")
-    entries = sizes.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
-    hot = sizes.where(F.col("rows") * HOT > entries).select("key", "n_tokens")
-    spread = found.select("row", F.inline("pieces"))
-    tokens = lambda n: F.sum(F.col("n") * F.col(n)).alias("tokens")
-    if (hot.agg(F.sum(F.octet_length("key"))).first()[0] or 0) <= HOT_BYTES:
-        met = spread.join(F.broadcast(hot.withColumnRenamed("n_tokens", "hot")), "key", "left")
-        near = met.where("hot is not null").groupBy("row").agg(tokens("hot"))
-        cold = sizes.where(F.col("rows") * HOT <= entries).select("key", "n_tokens")
-        far = met.where("hot is null").select("row", "key", "n").join(cold, "key").groupBy("row").agg(tokens("n_tokens"))
-        summed = near.unionByName(far)
-    else:
-        summed = spread.join(sizes, "key").groupBy("row").agg(tokens("n_tokens"))
-    own = found.select("row", "doc_id", "n_bytes", F.col("n_special").alias("tokens"), F.lit(True).alias("own"))
-    none = [F.lit(None).cast(own.schema[c].dataType).alias(c) for c in ("doc_id", "n_bytes")]
-    both = own.unionByName(summed.select("row", *none, "tokens", F.lit(False).alias("own")))
-    total = both.groupBy("row").agg(F.first(F.when(F.col("own"), F.col("doc_id")), ignorenulls=True).alias("doc_id"), F.max("n_bytes").alias("n_bytes"), F.sum("tokens").alias("n_tokens"))
-    return total.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    sizes = stored(pre_token_sizes(docs, path), "sizes", compression="zstd")
+    total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    # Fewer than ``hot`` rows, as each makes up more than one in ``hot`` of the total.
+    often = {bytes(r.key): r.n_tokens for r in sizes.where(F.col("n") * hot > total).select("key", "n_tokens").toLocalIterator()}
+    found = stored(frequencies(docs, path, often), "pieces", compression="zstd")
+    rare = sizes.where(F.col("n") * hot <= total).select("key", "n_tokens")
+    far = found.select("row", F.inline("pieces")).join(rare, "key").groupBy("row").agg(F.sum(F.col("n") * F.col("n_tokens")).alias("far"))
+    both = found.select("row", "doc_id", "n_bytes", "tokens").join(far, "row", "left")
+    counted = both.select("doc_id", "n_bytes", (F.col("tokens") + F.coalesce("far", F.lit(0))).alias("n_tokens"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > limit)
