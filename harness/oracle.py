@@ -218,15 +218,6 @@ ORACLE: dict[str, str] = {
     "land_raw_b": f"""SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderdate AS modified_at, 'api_b' AS source,
         strftime(o_orderdate, '%Y%m') AS batch_id, 'source=api_b/dt=' || strftime(o_orderdate, '%Y-%m') ||
         '/hour=00/batch_id=' || strftime(o_orderdate, '%Y%m') AS folder FROM orders WHERE {GOOD_ORDER}""",
-    "load_history": """SELECT batch_id, CAST(sum(good + bad) AS BIGINT) AS row_parsed, CAST(sum(good) AS BIGINT) AS row_count,
-        CAST(sum(bad) AS BIGINT) AS error_count, CASE WHEN sum(bad) > 0 THEN 'not a JSON value' END AS first_error_message,
-        CASE WHEN sum(bad) = 0 THEN 'Loaded' WHEN sum(good) > 0 THEN 'Partially loaded' ELSE 'Load failed' END AS status
-        FROM (SELECT strftime(o_orderdate, '%Y%m') AS batch_id,
-            CASE WHEN o_orderkey % 50 = 0 THEN 1 ELSE 0 END AS bad,
-            CASE WHEN o_orderkey % 50 <> 0 AND o_orderkey % 60 <> 1 THEN 1 ELSE 0 END AS good FROM orders) GROUP BY batch_id""",
-    "load_errors": """SELECT strftime(o_orderdate, '%Y%m') AS batch_id, '{"id": ' || o_orderkey AS line,
-        'not a JSON value' AS error FROM orders WHERE o_orderkey % 50 = 0""",
-    "failed_loads": "SELECT DISTINCT strftime(o_orderdate, '%Y%m') AS batch_id FROM orders WHERE o_orderkey % 50 = 0",
     "stage_partition_scan": f"""SELECT ts AS updated_at, 'api_a' AS source, strftime(ts, '%Y-%m-%d') AS dt, '00' AS hour,
         strftime(ts, '%Y%m%d') AS batch_id FROM events WHERE ts >= {AT_A}""",
     "list_stage": f"""SELECT DISTINCT {folder('api_a', "date_trunc('day', ts)", "strftime(ts, '%Y%m%d')")} AS folder,
@@ -419,3 +410,17 @@ ORACLE["summary_by_buckets"] = " UNION ALL ".join(
     for name, rel in (("api_a", UPSERTED_A), ("api_b", UPSERTED_B))
 )
 ORACLE["checks_by_buckets"] = f"WITH a AS {UPSERTED_A}, b AS {UPSERTED_B} {checks('a', 'b', NOW)}"
+
+# Files of orders by month, with the place of every line.
+ORDER_FILES = """SELECT strftime(o_orderdate, '%Y%m') AS batch_id, o_orderkey,
+    o_orderkey % 50 = 0 AS bad, o_orderkey % 50 <> 0 AND o_orderkey % 60 <> 1 AS good,
+    row_number() OVER (PARTITION BY strftime(o_orderdate, '%Y%m') ORDER BY o_orderkey) AS line FROM orders"""
+ORDER_LOADS = f"""SELECT batch_id, CASE WHEN count(*) FILTER (bad) = 0 THEN 'Loaded' WHEN count(*) FILTER (good) > 0 THEN 'Partially loaded' ELSE 'Load failed' END AS status,
+    count(*) FILTER (good OR bad) AS row_parsed, count(*) FILTER (good) AS row_count, count(*) FILTER (bad) AS error_count,
+    CASE WHEN count(*) FILTER (bad) > 0 THEN 'not a JSON value' END AS first_error_message,
+    min(line) FILTER (bad) AS first_error_line_number, {NOW} AS last_load_time FROM ({ORDER_FILES}) GROUP BY batch_id"""
+ORACLE["load_history"] = ORDER_LOADS
+ORACLE["staged_history"] = f"SELECT * EXCLUDE (first_error_message, last_load_time) FROM ({ORDER_LOADS})"
+ORACLE["load_errors"] = f"""SELECT batch_id, '{{"id": ' || o_orderkey AS line, 'not a JSON value' AS error, {NOW} AS rejected_at
+    FROM ({ORDER_FILES}) WHERE bad"""
+ORACLE["failed_loads"] = f"SELECT batch_id, status, first_error_line_number FROM ({ORDER_LOADS}) WHERE status <> 'Loaded'"

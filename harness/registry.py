@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
 from harness import adapters as D
 from harness.adapters import AS_OF, table
 from millrace.functions import timefn, variants as V
 from millrace.functions.text import trim_ws
+from millrace.operators.days import INGEST_DAY
 from millrace.operators import clean, dedupe as dd, flatten, governance, merge, normalize, validate
 from millrace.plans import analytics, metrics, quality, runs, transform
 from millrace.session import spread, workspace
@@ -112,19 +114,21 @@ def land_refresh(spark, sf_dir):
 
 
 def _order_lines(spark, sf_dir) -> str:
-    """Orders staged as JSON lines per month; every 50th line is cut short and every 60th is blank."""
+    """Orders staged as JSON lines, one file per month in their order; every 50th is cut short and every 60th is blank."""
     n = F.col("o_orderkey")
     good = D.json_text(id=n.cast("string"), modified_at=D.stamp("o_orderdate"), state=F.col("o_orderstatus"))
     line = F.when(n % 50 == 0, F.concat(F.lit('{"id": '), n.cast("string"))).when(n % 60 == 1, F.lit("")).otherwise(good)
     root = workspace(spark, "stage")
     lines = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
         line.alias("value"),
         F.lit("api_b").alias("source"),
         F.date_format("o_orderdate", "yyyy-MM").alias("dt"),
         F.lit("00").alias("hour"),
         F.date_format("o_orderdate", "yyyyMM").alias("batch_id"),
     )
-    lines.hint("rebalance", *stage_source.LAYOUT).write.partitionBy(*stage_source.LAYOUT).text(root)
+    files = lines.repartition(*stage_source.LAYOUT).sortWithinPartitions(*stage_source.LAYOUT, "o_orderkey").drop("o_orderkey")
+    files.write.partitionBy(*stage_source.LAYOUT).text(root)
     return root
 
 
@@ -136,30 +140,38 @@ def land_raw_b(spark, sf_dir):
     return _raw_view(landing.read_raw(spark, raw), "modified_at")
 
 
+def _landed_orders(spark, sf_dir) -> str:
+    raw = workspace(spark, "raw")
+    landing.land(spark, _order_lines(spark, sf_dir), "api_b", raw, workspace(spark, "offsets"), AS_OF, max_files=50).awaitTermination()
+    return raw
+
+
 @query
 def load_history(spark, sf_dir):
-    """Load history per file, added up per batch since the number of files is the writer's choice."""
-    history = jsonl.load_history(jsonl.text_lines(spark, _order_lines(spark, sf_dir)))
-    per_batch = history.groupBy(jsonl.batch_of(F.col("file_name")).alias("batch_id")).agg(
-        F.sum("row_parsed").alias("row_parsed"), F.sum("row_count").alias("row_count"), F.sum("error_count").alias("error_count"),
-    )
-    state = jsonl.load_state(F.col("row_count"), F.col("error_count"))
-    message = F.when(F.col("error_count") > 0, F.lit(jsonl.BAD_JSON))
-    return per_batch.withColumns({"status": state, "first_error_message": message})
+    """What landing recorded of each file, one per batch, with the line of its first error and the time of the load."""
+    history = landing.read_history(spark, _landed_orders(spark, sf_dir))
+    return history.select(jsonl.batch_of(F.col("file_name")).alias("batch_id"), *[c for c in history.columns if c not in ("file_name", "load_id")])
 
 
 @query
 def load_errors(spark, sf_dir):
-    bad = jsonl.load_errors(jsonl.text_lines(spark, _order_lines(spark, sf_dir)))
-    return bad.select(jsonl.batch_of(F.col("file_name")).alias("batch_id"), "line", "error")
+    bad = landing.read_rejected(spark, _landed_orders(spark, sf_dir))
+    return bad.select(jsonl.batch_of(F.col("file_name")).alias("batch_id"), "line", "error", "rejected_at")
 
 
 @query
 def failed_loads(spark, sf_dir):
-    """Batches with a file that was not fully loaded in the last day."""
+    """Files that were not fully loaded in the last day, and from which line on."""
+    history = landing.read_history(spark, _landed_orders(spark, sf_dir))
+    rows = jsonl.failed_loads(history, timefn.minus(timefn.as_of_column(AS_OF), hours=24))
+    return rows.select(jsonl.batch_of(F.col("file_name")).alias("batch_id"), "status", "first_error_line_number")
+
+
+@query
+def staged_history(spark, sf_dir):
+    """The same counters for files that are staged only, from a parse of their lines."""
     history = jsonl.load_history(jsonl.text_lines(spark, _order_lines(spark, sf_dir)))
-    rows = jsonl.failed_loads(history, timefn.minus(timefn.as_of_column(), hours=24))
-    return rows.select(jsonl.batch_of(F.col("file_name")).alias("batch_id")).distinct()
+    return history.select(jsonl.batch_of(F.col("file_name")).alias("batch_id"), "status", "row_parsed", "row_count", "error_count", "first_error_line_number")
 
 
 @query
@@ -256,9 +268,16 @@ def write_report(spark, sf_dir):
     return row.select("batch_id", "schema_version", "record_count", (F.col("file_size_bytes") > 0).alias("has_content"))
 
 
+def _by_day(spark, raw: DataFrame) -> DataFrame:
+    """RAW rows as a table in folders by ingest day, with that column."""
+    path = workspace(spark, "raw")
+    raw.withColumn(INGEST_DAY, F.to_date("ingested_at")).write.partitionBy(INGEST_DAY).parquet(path)
+    return spark.read.schema(StructType([*raw.schema, StructField(INGEST_DAY, DateType())])).parquet(path)
+
+
 @query
 def retention_raw(spark, sf_dir):
-    kept = governance.retained(D.raw_a(spark, sf_dir), "raw", "2024-04-20 00:00:00")
+    kept = governance.retained(_by_day(spark, D.raw_a(spark, sf_dir)), "raw", "2024-04-20 00:00:00")
     return kept.select("ordinal", "ingested_at", "batch_id")
 
 
@@ -390,7 +409,7 @@ def checks_by_buckets(spark, sf_dir):
 
 @query
 def incremental_slice(spark, sf_dir):
-    raw = D.raw_a(spark, sf_dir)
+    raw = _by_day(spark, D.raw_a(spark, sf_dir))
     old, _new = D.split_raw(raw, "created_at", D.SPLIT_A)
     loaded = clean.clean_full(old, API_A, D.SPLIT_A, tie_break=["ordinal"])
     return plain(clean.incremental_slice(raw, loaded, API_A, AS_OF, tie_break=["ordinal"]))
@@ -715,7 +734,7 @@ def volume_trend_7d(spark, sf_dir):
 @query
 def schema_drift(spark, sf_dir):
     raw = D.raw_a(spark, sf_dir, new_field=F.col("event_id"), ID=F.lit(1))
-    return governance.schema_drift(raw, D.clean_a(spark, sf_dir), AS_OF)
+    return governance.schema_drift(_by_day(spark, raw), D.clean_a(spark, sf_dir), AS_OF)
 
 
 @query

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions import variants as V
 from millrace.functions.timefn import NTZ, as_of_column
+from millrace.operators.days import ingested
 from millrace.operators.dedupe import latest_per_key
 from millrace.specs import LINEAGE, SourceSpec
 
@@ -64,7 +65,7 @@ def incremental_slice(
     """Newest row per key among the RAW rows ingested after the clean table's last load.
 
     The last load is a scalar subquery, so Spark works it out first and pushes the comparison into
-    the RAW scan.
+    the RAW scan, and into its day folders where RAW comes with them.
     """
     last_load = clean.agg(F.coalesce(F.max("_loaded_at"), F.lit(BEGINNING).cast(NTZ)).alias("t")).scalar()
-    return clean_full(raw.where(F.col("ingested_at") > last_load), spec, as_of, on_error, tie_break)
+    return clean_full(ingested(raw, last_load, strict=True), spec, as_of, on_error, tie_break)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from millrace.functions import variants as V
 from millrace.functions.text import mask_email
 from millrace.functions.timefn import as_of_column, minus
+from millrace.operators.days import ingested
 
 # Days that each layer is kept; None keeps for good.
 RETENTION_DAYS: Mapping[str, int | None] = {"staging": 30, "raw": 90, "clean": None, "analytics": None}
@@ -22,7 +23,7 @@ def masked(df: DataFrame, columns: Sequence[str], role: str, masked_roles: tuple
 def retained(df: DataFrame, layer: str, as_of=None, column: str = "ingested_at", days: int | None = None) -> DataFrame:
     """Rows still inside the layer's retention; the comparison reaches the scan."""
     keep = RETENTION_DAYS[layer] if days is None else days
-    return df if keep is None else df.where(F.col(column) >= minus(as_of_column(as_of), days=keep))
+    return df if keep is None else ingested(df, minus(as_of_column(as_of), days=keep), column=column)
 
 
 def expired_days(staged: DataFrame, as_of=None, days: int | None = None) -> DataFrame:
@@ -38,7 +39,7 @@ def schema_drift(raw: DataFrame, clean: DataFrame, as_of=None, days: int = 1) ->
     Each task reduces its rows to distinct keys before the shuffle. The known columns are a
     constant list of the table's own schema, not a relation that grows.
     """
-    recent = raw.where(F.col("ingested_at") > minus(as_of_column(as_of), days=days))
+    recent = ingested(raw, minus(as_of_column(as_of), days=days), strict=True)
     keys = recent.select(F.explode(F.map_keys(F.try_variant_get(F.col("payload"), "$", V.ENTRIES))).alias("raw_field"))
     spark = raw.sparkSession
     known = spark.createDataFrame([(c.upper(),) for c in clean.columns], "column_name string")

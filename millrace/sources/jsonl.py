@@ -57,7 +57,9 @@ def load_errors(lines: DataFrame) -> DataFrame:
 
 
 def load_history(lines: DataFrame) -> DataFrame:
-    """Per file: rows parsed and rejected, state, first error with its line number, load time.
+    """Per file: rows parsed and rejected, state, first error with its line number, time of the file.
+
+    For staged files that are not landed; landing keeps a history of its own (`streaming.landing.read_history`).
 
     Lines carry no number. Within a file split rows keep their order, so the position of the first
     bad line in its split plus the lines of all earlier splits gives its number; only one small row per
@@ -77,19 +79,25 @@ def load_history(lines: DataFrame) -> DataFrame:
         F.count_if(~F.col("blank")).alias("records"),
         F.count_if(bad).alias("errors"),
         (F.min(F.when(bad, F.col("pos"))) - F.min("pos") + 1).alias("bad_at"),
-        F.max("modified_at").alias("modified_at"),
+        F.max("modified_at").alias("loaded_at"),
     )
-    before = Window.partitionBy("file_path").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
+    named = per_split.select(staged_name(F.col("file_path")).alias("file_name"), *per_split.columns[1:])
+    return history_of_splits(named)
+
+
+def history_of_splits(per_split: DataFrame) -> DataFrame:
+    """Per file, from one row per split: lines, records, errors, place of the first bad line in it, load time."""
+    before = Window.partitionBy("file_name").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
     placed = per_split.withColumn("bad_at", F.col("bad_at") + F.coalesce(F.sum("lines").over(before), F.lit(0)))
-    per_file = placed.groupBy("file_path").agg(
+    per_file = placed.groupBy("file_name").agg(
         F.sum("records").alias("row_parsed"),
         F.sum("errors").alias("error_count"),
         F.min("bad_at").alias("first_error_line_number"),
-        F.max("modified_at").cast("timestamp_ntz").alias("last_load_time"),
+        F.max("loaded_at").cast("timestamp_ntz").alias("last_load_time"),
     )
     loaded = F.col("row_parsed") - F.col("error_count")
     return per_file.select(
-        staged_name(F.col("file_path")).alias("file_name"),
+        "file_name",
         load_state(loaded, F.col("error_count")).alias("status"),
         "row_parsed",
         loaded.alias("row_count"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.operators.clean import clean_full
 from millrace.sinks.buckets import BUCKETS, upsert_buckets
@@ -34,7 +34,9 @@ def stream_upsert(
     rows = reader.option("recursiveFileLookup", "true").parquet(raw_path)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        upsert_buckets(clean_full(batch, spec, as_of, on_error, tie_break), clean_path, spec, batch_id, buckets)
+        # Landing keeps the places of bad and blank lines in RAW too; these have no payload.
+        rows = batch.where(F.col("payload").isNotNull())
+        upsert_buckets(clean_full(rows, spec, as_of, on_error, tie_break), clean_path, spec, batch_id, buckets)
 
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return rows.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(**trigger).start()

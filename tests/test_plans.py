@@ -13,7 +13,7 @@ from millrace.specs import API_A, API_B, RAW_SCHEMA
 SMALL = "/root/testdata/sf0.001"
 
 # Queries that run jobs of their own before they return.
-JOBS = {"hourly_run", "land_raw_a", "land_raw_b", "land_refresh", "stream_upsert", "daily_summary", "dq_results", "merge_a_measured", "hourly_rerun", "summary_by_buckets", "checks_by_buckets", "transform_records"}
+JOBS = {"hourly_run", "land_raw_a", "land_raw_b", "land_refresh", "stream_upsert", "daily_summary", "dq_results", "merge_a_measured", "hourly_rerun", "summary_by_buckets", "checks_by_buckets", "transform_records", "load_history", "load_errors", "failed_loads", "retention_raw", "incremental_slice", "schema_drift"}
 
 
 def plan_of(df):
@@ -59,6 +59,30 @@ def test_incremental_slice_prunes_at_the_scan(stored):
     assert "ingested_at" in plan.split("DataFilters")[1] and "Subquery" in plan
 
 
+def test_time_bounds_reach_the_day_folders(spark, tmp_path):
+    """Known bounds and those of a scalar subquery alike; files of older days are not opened."""
+    from harness import adapters as D
+    from harness.registry import _by_day
+    from millrace.operators import governance
+
+    raw = _by_day(spark, D.raw_a(spark, SMALL))
+    whole = len(raw.inputFiles())
+    loaded = clean.clean_full(raw.where(F.col("ingested_at") < "2024-01-25"), API_A, "2024-01-25 00:00:00")
+    made = {
+        "slice": clean.incremental_slice(raw, loaded, API_A),
+        "kept": governance.retained(raw, "raw", "2024-04-20 00:00:00"),
+        "drift": governance.schema_drift(raw, loaded, "2024-01-31"),
+    }
+    for name, df in made.items():
+        plan = plan_of(df)
+        filters = [x.split("PushedFilters")[0] for x in plan.split("PartitionFilters: ")[1:]]
+        assert any("ingest_day" in f for f in filters), name
+        assert name != "slice" or any("ingest_day" in f and "Subquery" in f for f in filters)
+    made["slice"].collect()
+    scan = made["kept"]._jdf.queryExecution().executedPlan().toString()
+    assert made["kept"].count() < raw.count() and "ingest_day" in scan and whole > 25
+
+
 def test_views_read_few_columns(stored):
     _, a, b = stored
     plan = plan_of(analytics.status_distribution(a))
