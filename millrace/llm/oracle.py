@@ -29,16 +29,25 @@ LEFT JOIN hit ON dw.doc_id IS NOT DISTINCT FROM hit.doc_id AND dw.text IS NOT DI
 LEFT JOIN items ON dw.doc_id IS NOT DISTINCT FROM items.doc_id AND dw.text IS NOT DISTINCT FROM items.text
 """
 
-ORACLE["op3_line_repeats"] = r"""
-WITH l AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
-u AS (
-  SELECT doc_id, lines[i] AS line, CAST(i - 1 + coalesce(list_sum(list_transform(lines[1:i - 1], lambda x: length(x))), 0) AS bigint) AS start
-  FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM l)
+ORACLE["op3_line_repeats"] = rf"""
+WITH d AS (SELECT doc_id, text, regexp_extract_all(coalesce(text, ''), '[^\n.!?。！？]*[\n.!?。！？]+[ \t\r\n\f\v]*|[^\n.!?。！？]+') AS parts FROM documents),
+p AS (
+  SELECT doc_id, parts[i] AS part, i, CAST(coalesce(list_sum(list_transform(parts[1:i - 1], lambda x: length(x))), 0) AS bigint) AS start
+  FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS i FROM d)
 ),
-n AS (SELECT doc_id, start, start + length(line) AS stop, regexp_replace(trim(lower(line)), '\s+', ' ', 'g') AS x FROM u),
-k AS (SELECT x, min({'d': doc_id, 's': start}) AS kept FROM n WHERE len(string_split(x, ' ')) >= 10 GROUP BY x HAVING count(*) > 1)
-SELECT doc_id, start, stop, kept.d AS kept_doc_id, kept.s AS kept_start
-FROM n JOIN k USING (x) WHERE NOT (doc_id = kept.d AND start = kept.s)
+w AS (SELECT doc_id, start, start + length(part) AS stop, i,
+             list_filter(regexp_split_to_array({ASCII_LOWER.replace("coalesce(text, '')", "part")}, '[ \t\r\n\f\v]+'), lambda q: q <> '') AS w FROM p),
+u AS (SELECT doc_id, start, stop, len(w) AS words, array_to_string(w, ' ') AS x, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS nth FROM w WHERE len(w) > 0),
+k AS (SELECT x, min({{'d': doc_id, 's': start}}) AS kept FROM u GROUP BY x HAVING count(*) > 1),
+r AS (SELECT u.*, kept, nth - row_number() OVER (PARTITION BY doc_id ORDER BY nth) AS run FROM u JOIN k USING (x) WHERE NOT (doc_id = kept.d AND start = kept.s)),
+s AS (SELECT doc_id, min(start) AS start, max(stop) AS stop, arg_min(kept, start) AS kept FROM r GROUP BY doc_id, run HAVING sum(words) >= 20),
+c AS (SELECT doc_id, list({{'a': start, 'b': stop, 'k': kept}} ORDER BY start) AS c FROM s GROUP BY doc_id)
+SELECT doc_id, coalesce(len(c), 0) AS n_removed,
+       coalesce(array_to_string(list_transform(c, lambda x: x.a || ':' || x.b || ':' || x.k.d || ':' || x.k.s), ','), '') AS removed,
+       CASE WHEN c IS NULL THEN text ELSE array_to_string(list_transform(range(0, len(c) + 1), lambda j: substring(text,
+         CAST((CASE WHEN j = 0 THEN 0 ELSE c[j].b END) + 1 AS bigint),
+         CAST((CASE WHEN j = len(c) THEN length(text) ELSE c[j + 1].a END) - (CASE WHEN j = 0 THEN 0 ELSE c[j].b END) AS bigint))), '') END AS text
+FROM documents LEFT JOIN c USING (doc_id)
 """
 
 ORACLE["op8_chat"] = r"""

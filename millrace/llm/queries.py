@@ -46,7 +46,9 @@ def op2_fertility(spark, sf_dir):
 
 @query
 def op3_line_repeats(spark, sf_dir):
-    return repeats.repeated_units(table(spark, sf_dir, "documents"))
+    cut = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    span = F.transform("removed", lambda r: F.concat_ws(":", *(r[c].cast("string") for c in ("start", "stop", "kept_doc_id", "kept_start"))))
+    return cut.select("doc_id", "text", F.size("removed").cast("bigint").alias("n_removed"), F.array_join(span, ",").alias("removed"))
 
 
 @query
