@@ -39,7 +39,7 @@ def measured(docs: DataFrame) -> DataFrame:
         "doc_id",
         F.sha2(F.encode(F.concat(F.when(F.col("text").isNull(), "0").otherwise("1"), text), "UTF-8"), 256).alias("group"),
         (F.octet_length(text) + 1).cast("bigint").alias("size"),
-        F.size(F.split(F.trim(text), r"\s+")).cast("bigint").alias("tokens"),
+        F.size(F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), "")).cast("bigint").alias("tokens"),
         F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
     )
     return row.select("doc_id", F.unhex("group").alias("group"), "size", "tokens", "text_crc32", F.xxhash64("doc_id").alias("spread"))

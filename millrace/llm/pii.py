@@ -138,7 +138,8 @@ def _span_of(k: Kind) -> Callable[[Column], Column]:
 def with_spans(df: DataFrame, kinds: tuple[Kind, ...] = KINDS, text: str = "text", name: str = "spans") -> DataFrame:
     """``df`` with an array of ``kind, start, stop, score``, by kind as listed, then by start."""
     columns = [c for c in df.columns if c != name]
-    own = _candidates(df.withColumn("_text", F.coalesce(text, F.lit(""))), kinds)
+    # The caller's columns travel in one struct, so that none can meet a helper column.
+    own = _candidates(df.select(F.struct(*columns).alias("doc"), F.coalesce(text, F.lit("")).alias("_text")), kinds)
     steps = [F.zip_with(F.col("_gaps")[k.name], F.col("_hits")[k.name], lambda g, h: (F.length(g) + F.coalesce(F.length(h), F.lit(0))).cast("bigint")).alias(k.name) for k in kinds]
     own = computed_once(own, "_steps", F.struct(*steps))
     all_ = []
@@ -149,7 +150,8 @@ def with_spans(df: DataFrame, kinds: tuple[Kind, ...] = KINDS, text: str = "text
 
         all_.append(F.filter(F.transform(rows, _span_of(k)), lambda s: s["ok"]))
     spans = F.transform(F.concat(*all_), lambda s: s.dropFields("ok"))
-    return computed_once(own, name, spans).select(*columns, name)
+    own = computed_once(own, "_spans", spans)
+    return own.select(*(F.col("doc")[c].alias(c) for c in columns), F.col("_spans").alias(name))
 
 
 def redact(df: DataFrame, kinds: tuple[Kind, ...] = KINDS, text: str = "text") -> DataFrame:
@@ -157,7 +159,7 @@ def redact(df: DataFrame, kinds: tuple[Kind, ...] = KINDS, text: str = "text") -
 
     Spans of several kinds that overlap are replaced as one, named after the kind listed first.
     """
-    own = with_spans(df, kinds, text, "_spans")
+    own = with_spans(df.select(F.struct(*df.columns).alias("doc"), F.col(text).alias("_text")), kinds, "_text", "_spans")
     # Of spans in order of their start, each gives the stretch that no earlier one has covered.
     order = {k.name: n for n, k in enumerate(kinds)}
     rank = F.create_map(*(F.lit(x) for kv in order.items() for x in kv))
@@ -167,13 +169,13 @@ def redact(df: DataFrame, kinds: tuple[Kind, ...] = KINDS, text: str = "text") -
 
     def step(acc, s):
         fresh = s["start"] >= acc["at"]
-        kept = F.substring(F.col(text), (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
+        kept = F.substring("_text", (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
         out = F.when(fresh, F.concat(acc["out"], F.array(kept, F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))))).otherwise(acc["out"])
         return F.struct(F.greatest(acc["at"], s["stop"]).alias("at"), out.alias("out"))
 
-    rest = lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(F.col(text), (acc["at"] + 1).cast("int"), F.length(text)))
-    clean = F.when(F.size("_spans") > 0, F.aggregate("_spans", start, step, rest)).otherwise(F.col(text))
-    return own.withColumn(text, clean).select(*df.columns)
+    rest = lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring("_text", (acc["at"] + 1).cast("int"), F.length("_text")))
+    clean = F.when(F.size("_spans") > 0, F.aggregate("_spans", start, step, rest)).otherwise(F.col("_text"))
+    return own.select(*((clean if c == text else F.col("doc")[c]).alias(c) for c in df.columns))
 
 
 def span_text(spans: Column, base_only: bool = False) -> Column:

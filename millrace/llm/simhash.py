@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from millrace.llm.chunks import slices
 from millrace.llm.components import connected
 from millrace.llm.ship import shipped
-from millrace.llm.words import same, stored
+from millrace.llm.words import fresh, same, stored
 
 SHINGLE, SEED, BITS, BYTES = 4, 42, 4, 8
 HASHES = 1 << 16  # hashes whose bits are counted at once
@@ -124,5 +124,6 @@ def keep_one(docs: DataFrame, bits: int = BITS, shingle: int = SHINGLE, seed: in
         return once
     # Only rows that stand more than once are dealt by their key, the first per task at most.
     nth = F.row_number().over(Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.xxhash64(*docs.columns)))
-    more = docs.join(again, kept(again), "left_semi").withColumn("_nth", nth).where("_nth = 1").drop("_nth")
+    name = fresh(docs, "nth")
+    more = docs.join(again, kept(again), "left_semi").withColumn(name, nth).where(F.col(name) == 1).drop(name)
     return once.unionByName(more)

@@ -31,6 +31,14 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def stored(df: DataFrame, purpose: str, **options: str) -> DataFrame:
     """Write to the shared work folder and read back, which cuts lineage and outlives executors."""
     path = workspace(df.sparkSession, purpose)
