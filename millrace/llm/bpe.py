@@ -6,8 +6,8 @@ the two tokens alone, so all borders of a batch of words are checked together wi
 along the right edge of the left token and the left edge of the right one, no pair that lives at the same time may
 merge before one of them is used up. Words with a border that fails are merged exactly, one merge after another.
 
-Text is parted at ASCII white space, which the vocabulary's rules always drop. Every distinct piece is encoded once
-and kept in a bounded cache of the worker.
+Text is parted at ASCII white space, which the vocabulary's rules always drop. Every distinct piece is looked up once,
+every distinct word encoded once, and both are kept in bounded caches of the worker.
 
 Defined cases: a null or empty text has no tokens and decodes to the empty text. Repeated rows are encoded each.
 Only the id column given and the text are kept, so extra columns cannot clash.
@@ -17,19 +17,26 @@ from __future__ import annotations
 
 import functools
 import heapq
-import itertools
 import json
 import re
+import struct
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.llm.chunks import CACHE_BYTES, CACHE_WORDS, slices
+from millrace.llm.chunks import CACHE_BYTES, CACHE_WORDS, gathered, slices
 from millrace.llm.ship import shipped
 
 NEVER = int(np.iinfo(np.int64).max)
+# Bits of a token id inside packed numbers.
+BITS = 24
+LOW = (1 << BITS) - 1
+# Pieces kept in a worker's cache; a full cache starts anew.
+CACHE_PIECES = 400_000
+# A control character between pieces that are parted together, and how many are.
+MARK, TOGETHER = b"\x01", 512
 SHORT = 100  # symbols up to which a list is faster than a queue
 ASCII_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 
@@ -61,6 +68,12 @@ class WordBpe:
         library = Tokenizer.from_file(path)
         self.normalizer, self.pre_tokenizer = library.normalizer, library.pre_tokenizer
         self.special_pattern = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
+        special = b"|".join(re.escape(t.encode()) for t in self.special)
+        # Whether a piece is printable ASCII without special tokens.
+        self.plain = re.compile((b"(?!.*(?:" + special + b"))" if special else b"") + rb"[!-~]+").fullmatch
+        mark = self.split(MARK.decode())
+        self.mark = mark[0] if len(mark) == 1 and isinstance(mark[0], str) else None
+        self.words: dict[str, bytes] = {}
         self._load_merges([tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]], size)
 
     def _load_merges(self, merges: list[tuple[str, str]], size: int) -> None:
@@ -74,6 +87,7 @@ class WordBpe:
             self.speculates &= born[z] < 0 and (x, y) not in self.merges and born[x] < rank and born[y] < rank
             self.merges[x, y] = rank, z
             born[z], left[z], right[z] = rank, x, y
+        self.packed = {x << BITS | y: rank << BITS | z for (x, y), (rank, z) in self.merges.items()}
         self.born, self.left, self.right = born, left, right
         pairs = np.array(list(self.merges), np.int64).reshape(-1, 2)
         keys, ranks = pairs[:, 0] * size + pairs[:, 1], np.array([r for r, _ in self.merges.values()], np.int64)
@@ -84,16 +98,17 @@ class WordBpe:
         self.sound = born < 0
         for z, ok in sorted(zip(made.tolist(), holds.tolist(), strict=True), key=lambda x: born[x[0]]):
             self.sound[z] = ok and self.sound[left[z]] and self.sound[right[z]]
-        # Prefixes of tokens that encode to themselves, with the token if one ends there, else -1. A word's end is
-        # marked by a letter that no byte has.
-        self.prefixes: dict[str, int] = {}
+        # A trie of tokens that encode to themselves: a dict per prefix, with the token that ends there under "". A word's
+        # end is marked by a letter that no byte has.
+        self.trie: dict = {}
         for name, i in self.vocab.items():
             ends = bool(self.suffix) and name.endswith(self.suffix) and len(name) > len(self.suffix)
             name = name[: -len(self.suffix)] + "\0" if ends else name
             if self.sound[i]:
-                for j in range(1, len(name)):
-                    self.prefixes.setdefault(name[:j], -1)
-                self.prefixes[name] = i
+                node = self.trie
+                for c in name:
+                    node = node.setdefault(c, {})
+                node[""] = i
 
     def rank_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Merge ranks of pairs, ``NEVER`` for pairs that do not merge."""
@@ -125,13 +140,13 @@ class WordBpe:
 
     def greedy(self, word: str) -> list[int]:
         """Longest sound tokens from the left; ``word`` is in byte letters and ends in the end mark."""
-        out, i, n, prefixes = [], 0, len(word), self.prefixes.get
-        while i < n:
-            best, stop, j = -1, i, i + 1
-            while j <= n and (token := prefixes(word[i:j])) is not None:
-                if token >= 0 and j != n - 1:  # the end mark never stands alone
-                    best, stop = token, j
+        out, i, last, trie = [], 0, len(word) - 1, self.trie
+        while i <= last:
+            best, stop, j, node = -1, i, i, trie
+            while j <= last and (node := node.get(word[j])) is not None:
                 j += 1
+                if j != last and (token := node.get("", -1)) >= 0:  # the end mark never stands alone
+                    best, stop = token, j
             if best < 0:
                 raise ValueError(f"no token starts {word[i:]!r}")
             out.append(best)
@@ -147,19 +162,17 @@ class WordBpe:
         return self._merge_short(ids) if len(ids) <= SHORT else self._merge_long(ids)
 
     def _merge_short(self, ids: list[int]) -> list[int]:
-        find, none = self.merges.get, (NEVER, -1)
-        found = [find(p, none) for p in zip(ids, ids[1:])]
-        while found:
-            best = min(found)
-            if best is none:
-                break
+        # Pairs and their merges as whole numbers, the merge with its rank in front, so that the least one comes first.
+        find = self.packed.get
+        found = [find(a << BITS | b, NEVER) for a, b in zip(ids, ids[1:])]
+        while found and (best := min(found)) != NEVER:
             i = found.index(best)
-            ids[i : i + 2] = [best[1]]
+            ids[i : i + 2] = [best & LOW]
             del found[i]
             if i:
-                found[i - 1] = find((ids[i - 1], ids[i]), none)
+                found[i - 1] = find(ids[i - 1] << BITS | ids[i], NEVER)
             if i < len(found):
-                found[i] = find((ids[i], ids[i + 1]), none)
+                found[i] = find(ids[i] << BITS | ids[i + 1], NEVER)
         return ids
 
     def _merge_long(self, ids: list[int]) -> list[int]:
@@ -193,16 +206,8 @@ class WordBpe:
             cuts[i] = self.merge(words[i])
         return cuts
 
-    def split(self, piece: bytes) -> list[str | int]:
-        """Words of a piece of text in byte letters, and ids of special tokens in it."""
-        if piece.isascii():
-            text = piece.decode("ascii")
-            if not self.special_pattern or not self.special_pattern.search(text):
-                # Printable ASCII bytes stand for themselves.
-                return [w + "\0" for w in ASCII_WORD.findall(text.lower())] if text.isprintable() else self._split(text)
-        return self._split(piece.decode("utf-8"))
-
-    def _split(self, text: str) -> list[str | int]:
+    def split(self, text: str) -> list[str | int]:
+        """Words of a text in byte letters, and ids of special tokens in it."""
         out: list[str | int] = []
         for part in self.special_pattern.split(text) if self.special_pattern else [text]:
             if part in self.special:
@@ -211,13 +216,43 @@ class WordBpe:
                 out += [w + "\0" for w, _ in self.pre_tokenizer.pre_tokenize_str(self.normalizer.normalize_str(part))]
         return out
 
-    def encode_pieces(self, pieces: list[bytes]) -> list[list[int]]:
-        """Token ids of pieces of text."""
-        parts = [self.split(p) for p in pieces]
-        words = list({w for p in parts for w in p if isinstance(w, str)})
-        ids: dict[str | int, list[int]] = dict(zip(words, self.encode_words(words), strict=True))
-        ids.update((i, [i]) for i in self.special.values())
-        return [ids[p[0]] if len(p) == 1 else [t for w in p for t in ids[w]] for p in parts]
+    def split_all(self, pieces: list[bytes]) -> Iterator[tuple[bytes, list[str | int]]]:
+        """Pieces with their words. Many go through the library as one text, parted by a mark that is a word of its own."""
+        alone = [p for p in pieces if self.mark is None or MARK in p]
+        yield from ((p, self.split(p.decode())) for p in alone)
+        rest = [p for p in pieces if MARK not in p] if self.mark is not None else []
+        for i in range(0, len(rest), TOGETHER):
+            group, words = rest[i : i + TOGETHER], []
+            done = iter(group)
+            for w in self.split((b" " + MARK + b" ").join(group).decode()):
+                if w == self.mark:
+                    yield next(done), words
+                    words = []
+                else:
+                    words.append(w)
+            yield next(done), words
+
+    def fill(self, pieces: list[bytes], known: dict[bytes, bytes]) -> None:
+        """Put the ids of pieces into ``known``; words that several pieces have are encoded once."""
+        plain = [p for p in pieces if self.plain(p)]
+        # Printable ASCII bytes stand for themselves.
+        parts = {p: [w + "\0" for w in ASCII_WORD.findall(p.decode("ascii").lower())] for p in plain}
+        parts.update(self.split_all([p for p in pieces if p not in parts]))
+        words = {w for p in parts.values() for w in p if isinstance(w, str)}
+        new = [w for w in words if w not in self.words]
+        if len(self.words) + len(new) > CACHE_WORDS:
+            self.words.clear()
+            new = list(words)
+        made = self.encode_words(new)
+        self.words.update((w, struct.pack(f"<{len(ids)}I", *ids)) for w, ids in zip(new, made, strict=True))
+        get = lambda w: self.words[w] if isinstance(w, str) else struct.pack("<I", w)
+        known.update((p, get(ws[0]) if len(ws) == 1 else b"".join(map(get, ws))) for p, ws in parts.items())
+        for w in [w for w in new if len(w) > CACHE_BYTES]:
+            del self.words[w]
+
+    def failing(self, words: list[str]) -> int:
+        """How many of these words the greedy cut gets wrong."""
+        return sum(self.greedy(w) != ids for w, ids in zip(words, self.encode_words(words), strict=True))
 
     def decode(self, ids: Iterable[int]) -> str:
         """The text of ids. Such a vocabulary file names no decoder, so tokens are parted by spaces."""
@@ -234,22 +269,7 @@ _CACHES: dict[str, dict[bytes, bytes]] = {}
 
 def encode_texts(texts: list[bytes], path: str) -> list[bytes]:
     """Ids of each text as little-endian unsigned 32-bit integers."""
-    known = _CACHES.setdefault(path, {})
-    split = [t.split() for t in texts]
-    new = [p for p in set().union(*split) if p not in known]
-    if new and len(known) + len(new) > CACHE_WORDS:
-        known.clear()
-        new = list(set().union(*split))
-    if new:
-        made = vocabulary(path).encode_pieces(new)
-        data = np.fromiter(itertools.chain.from_iterable(made), "<u4").tobytes()
-        ends = list(itertools.accumulate(4 * len(i) for i in made))
-        known.update((p, data[a:b]) for p, a, b in zip(new, [0, *ends], ends))
-    out = [b"".join(map(known.__getitem__, s)) for s in split]
-    for piece in new:
-        if len(piece) > CACHE_BYTES:
-            del known[piece]
-    return out
+    return gathered(texts, _CACHES.setdefault(path, {}), vocabulary(path).fill, CACHE_PIECES)
 
 
 def encode(docs: DataFrame, path: str, id_column: str = "doc_id") -> DataFrame:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import gc
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,3 +33,45 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[
     for batch in batches:
         for start, texts in pieces(batch.column(column)):
             yield batch.slice(start, len(texts)), texts
+
+
+def _cut(column: pa.Array) -> list[bytes]:
+    """Values of a column of texts without nulls; much faster than ``to_pylist``."""
+    if not len(column):
+        return []
+    _, ends, data = column.buffers()
+    raw = data.to_pybytes() if data else b""
+    edges = np.frombuffer(ends, np.int32, column.offset + len(column) + 1)[column.offset :].tolist()
+    return [raw[a:b] for a, b in zip(edges, edges[1:])]
+
+
+def gathered(texts: list[bytes], known: dict[bytes, bytes], fill: Callable[[list[bytes], dict[bytes, bytes]], None], most: int) -> list[bytes]:
+    """Per text the 32-bit ids of its pieces between white space, joined.
+
+    Each distinct piece is looked up once. ``known`` is a cache of at most about ``most`` pieces, which starts anew when
+    it is full; ``fill`` puts the ids of new pieces there.
+    """
+    split = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).cast(pa.string()))
+    coded = split.flatten().dictionary_encode()
+    distinct = _cut(coded.dictionary)
+    known[b""] = b""  # before leading and after trailing white space
+    new = [p for p in distinct if p not in known]
+    if new and len(known) + len(new) > most:
+        known.clear()
+        known[b""] = b""
+        new = [p for p in distinct if p]
+    if new:
+        # Millions of small lists come and go and none of them is in a cycle.
+        gc.disable()
+        try:
+            fill(new, known)
+        finally:
+            gc.enable()
+    # Every piece takes its ids; Arrow puts them one behind the other, so a text is a stretch of that buffer.
+    taken = pa.array(list(map(known.__getitem__, distinct)), pa.large_binary()).take(coded.indices)
+    ends = np.frombuffer(taken.buffers()[1], np.int64, len(taken) + 1)
+    data, cuts = (taken.buffers()[2] or pa.py_buffer(b"")).to_pybytes(), ends[split.offsets.to_numpy()].tolist()
+    if max(map(len, new), default=0) > CACHE_BYTES:
+        for piece in [p for p in new if len(p) > CACHE_BYTES]:
+            del known[piece]
+    return [data[a:b] for a, b in zip(cuts, cuts[1:])]

@@ -21,11 +21,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from millrace.llm.chunks import CACHE_BYTES, slices
+from millrace.llm.chunks import gathered, slices
 from millrace.llm.ship import shipped
 from millrace.llm.words import bounded
 
@@ -48,7 +47,7 @@ class WaveletMatrix:
         now = ids.astype(np.uint16 if bits <= 16 else np.uint32)
         zeros, planes, counts = [], [], []
         for b in range(bits - 1, -1, -1):
-            ones = (now >> b & 1).astype(bool)
+            ones = (now & (1 << b)) != 0
             plane = np.packbits(ones, bitorder="little")
             planes.append(plane)
             counts.append(cls._counts(plane))
@@ -139,7 +138,7 @@ class WaveletMatrix:
         """All ids in order: the planes undone from the lowest up."""
         now = np.zeros(self.n, np.uint16 if len(self.planes) <= 16 else np.uint32)
         for b, (zeros, plane) in enumerate(zip(reversed(self.zeros), reversed(self.planes), strict=True)):
-            ones = np.unpackbits(plane, count=self.n, bitorder="little").astype(bool)
+            ones = np.unpackbits(plane, count=self.n, bitorder="little").view(bool)
             up = np.empty_like(now)
             up[~ones] = now[:zeros]
             up[ones] = now[zeros:] | 1 << b
@@ -153,6 +152,7 @@ CACHE_PIECES = 600_000
 MARK, TOGETHER = b"\x01", 512
 # Fixed value: how the vocabulary file parts lower-cased text into words. ASCII text can be parted likewise beforehand.
 WORD_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+AROUND = re.compile(rb"((?:[!-/:-@\[-`{-~]*[!-&(-/:-@\[-`{-~])?)([A-Za-z\x80-\xff]+)([!-/:-@\[-`{-~]*)")
 ASCII_WORD = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 
 
@@ -201,6 +201,12 @@ class _Library:
         parted = [ASCII_WORD.findall(p.lower()) for p in plain]
         known.update(self.words([w for w in set().union(*parted) if w not in known]))
         known.update((p, b"".join(map(known.__getitem__, ws))) for p, ws in zip(plain, parted, strict=True))
+        # Words that are all letters, in lower case too, with ASCII marks around them: the marks are words of their own, unless an apostrophe
+        # stands before a letter.
+        around = {p: m.groups() for p in pieces if p not in known and self.worded and (m := AROUND.fullmatch(p)) and m[2].decode().lower().isalpha()}
+        known.update(self.words([w for w in {x for lead, _, trail in around.values() for x in (lead, trail)} if w and w not in known]))
+        known.update(self.pieces([w for w in {core for _, core, _ in around.values()} if w not in known]))
+        known.update((p, b"".join(known[x] for x in parts if x)) for p, parts in around.items())
         known.update(self.pieces([p for p in pieces if p not in known]))
 
 
@@ -217,30 +223,7 @@ def library_ids(texts: list[bytes], path: str) -> list[bytes]:
 
     The library drops white space before it merges, so texts are parted there and each distinct piece is encoded once.
     """
-    known = _CACHES.setdefault(path, {})
-    split = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).cast(pa.string()))
-    coded = split.flatten().dictionary_encode()
-    distinct = coded.dictionary.cast(pa.binary()).to_pylist()
-    known[b""] = b""  # before leading and after trailing white space
-    new = [p for p in distinct if p not in known]
-    if new and len(known) + len(new) > CACHE_PIECES:
-        known.clear()
-        new = distinct
-    if new:
-        _library(path).encode(new, known)
-    found = list(map(known.__getitem__, distinct))
-    ids = np.frombuffer(b"".join(found), "<u4")
-    lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
-    codes = coded.indices.to_numpy()
-    # Every piece of the texts takes its stretch of ``ids``.
-    n = lengths[codes]
-    stops = np.concatenate((np.zeros(1, np.int64), np.cumsum(n)))
-    places = np.arange(stops[-1]) + np.repeat((np.cumsum(lengths) - lengths)[codes] - stops[:-1], n)
-    data, cuts = ids[places].tobytes(), (4 * stops[split.offsets.to_numpy()]).tolist()
-    if max(map(len, new), default=0) > CACHE_BYTES:
-        for piece in [p for p in known if len(p) > CACHE_BYTES]:
-            del known[piece]
-    return [data[a:b] for a, b in zip(cuts, cuts[1:])]
+    return gathered(texts, _CACHES.setdefault(path, {}), _library(path).encode, CACHE_PIECES)
 
 
 def encode_shards(docs: DataFrame, path: str, shard_tokens: int = SHARD_TOKENS, end_id: int = END_ID) -> DataFrame:
