@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.llm import bpe, decontaminate, fertility, pii, simhash
 from millrace.llm.queries import PIECES, WORD_BPE
-from millrace.llm.words import stored
+from millrace.llm.words import fresh, stored
 
 # SQL cannot express piece vocabularies or fingerprints; tests compare with plain Python.
 ORACLE_SQL = None
@@ -14,8 +14,9 @@ ORACLE_SQL = None
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
-    judged = fertility.measured(docs, PIECES, name="_quality")
-    return judged.where(F.col("_quality.kept")).select(*docs.columns)
+    name = fresh(docs, "quality")
+    judged = fertility.measured(docs, PIECES, name=name)
+    return judged.where(F.col(name)["kept"]).select(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
