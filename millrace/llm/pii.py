@@ -18,6 +18,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from millrace.llm.words import fresh
 from millrace.operators.once import computed_once
 
 LEAST_SCORE = 0.5
@@ -101,16 +102,16 @@ def running(x: Column) -> Column:
     return F.when(F.size(x) > 0, all_).otherwise(F.array().cast("array<bigint>"))
 
 
-def _candidates(df: DataFrame, kinds: tuple[Kind, ...]) -> DataFrame:
-    """``_hits`` and ``_gaps`` of the text in ``_text``: per kind what matches, and what stands between."""
+def _candidates(df: DataFrame, kinds: tuple[Kind, ...], text: str, hits: str, gaps: str) -> DataFrame:
+    """``hits`` and ``gaps`` of a text column: per kind what matches, and what stands between."""
     none = F.array().cast("array<string>")
-    hits = []
+    found = []
     for k in kinds:
-        found = F.regexp_extract_all("_text", F.lit(k.pattern), F.lit(0))
-        hits.append((F.when(F.contains(F.col("_text"), F.lit(k.needs)), found).otherwise(none) if k.needs else found).alias(k.name))
-    df = computed_once(df, "_hits", F.struct(*hits))
-    gaps = [F.when(F.size(F.col("_hits")[k.name]) > 0, F.split("_text", k.pattern, -1)).otherwise(none).alias(k.name) for k in kinds]
-    return computed_once(df, "_gaps", F.struct(*gaps))
+        all_ = F.regexp_extract_all(text, F.lit(k.pattern), F.lit(0))
+        found.append((F.when(F.contains(F.col(text), F.lit(k.needs)), all_).otherwise(none) if k.needs else all_).alias(k.name))
+    df = computed_once(df, hits, F.struct(*found))
+    between = [F.when(F.size(F.col(hits)[k.name]) > 0, F.split(text, k.pattern, -1)).otherwise(none).alias(k.name) for k in kinds]
+    return computed_once(df, gaps, F.struct(*between))
 
 
 def _scored(k: Kind, hit: Column, before: Column, after: Column) -> tuple[Column, Column]:
@@ -138,20 +139,20 @@ def _span_of(k: Kind) -> Callable[[Column], Column]:
 def with_spans(df: DataFrame, kinds: tuple[Kind, ...] = KINDS, text: str = "text", name: str = "spans") -> DataFrame:
     """``df`` with an array of ``kind, start, stop, score``, by kind as listed, then by start."""
     columns = [c for c in df.columns if c != name]
-    # The caller's columns travel in one struct, so that none can meet a helper column.
-    own = _candidates(df.select(F.struct(*columns).alias("doc"), F.coalesce(text, F.lit("")).alias("_text")), kinds)
-    steps = [F.zip_with(F.col("_gaps")[k.name], F.col("_hits")[k.name], lambda g, h: (F.length(g) + F.coalesce(F.length(h), F.lit(0))).cast("bigint")).alias(k.name) for k in kinds]
-    own = computed_once(own, "_steps", F.struct(*steps))
+    # Helper columns take names that the input does not have.
+    whole, hits, gaps, steps, found = (fresh(df, n) for n in ("_text", "_hits", "_gaps", "_steps", "_found"))
+    own = _candidates(df.select(*columns, F.coalesce(text, F.lit("")).alias(whole)), kinds, whole, hits, gaps)
+    lengths = [F.zip_with(F.col(gaps)[k.name], F.col(hits)[k.name], lambda g, h: (F.length(g) + F.coalesce(F.length(h), F.lit(0))).cast("bigint")).alias(k.name) for k in kinds]
+    own = computed_once(own, steps, F.struct(*lengths))
     all_ = []
     for k in kinds:
-        hits, gaps, steps_ = F.col("_hits")[k.name], F.col("_gaps")[k.name], F.col("_steps")[k.name]
-        rows = F.arrays_zip(hits.alias("h"), gaps.alias("g"), F.slice(gaps, F.lit(2), F.greatest(F.size(gaps), F.lit(0))).alias("n"), running(steps_).alias("s"))
+        hit, gap = F.col(hits)[k.name], F.col(gaps)[k.name]
+        rows = F.arrays_zip(hit.alias("h"), gap.alias("g"), F.slice(gap, F.lit(2), F.greatest(F.size(gap), F.lit(0))).alias("n"), running(F.col(steps)[k.name]).alias("s"))
         rows = F.filter(rows, lambda r: r["h"].isNotNull())
 
         all_.append(F.filter(F.transform(rows, _span_of(k)), lambda s: s["ok"]))
     spans = F.transform(F.concat(*all_), lambda s: s.dropFields("ok"))
-    own = computed_once(own, "_spans", spans)
-    return own.select(*(F.col("doc")[c].alias(c) for c in columns), F.col("_spans").alias(name))
+    return computed_once(own, found, spans).select(*columns, F.col(found).alias(name))
 
 
 def redact(df: DataFrame, kinds: tuple[Kind, ...] = KINDS, text: str = "text") -> DataFrame:
@@ -159,23 +160,24 @@ def redact(df: DataFrame, kinds: tuple[Kind, ...] = KINDS, text: str = "text") -
 
     Spans of several kinds that overlap are replaced as one, named after the kind listed first.
     """
-    own = with_spans(df.select(F.struct(*df.columns).alias("doc"), F.col(text).alias("_text")), kinds, "_text", "_spans")
+    spans = fresh(df, "_spans")
+    own = with_spans(df, kinds, text, spans)
     # Of spans in order of their start, each gives the stretch that no earlier one has covered.
     order = {k.name: n for n, k in enumerate(kinds)}
     rank = F.create_map(*(F.lit(x) for kv in order.items() for x in kv))
-    ordered = F.array_sort(F.transform("_spans", lambda s: F.struct(s["start"], rank[s["kind"]].alias("rank"), s["stop"], s["kind"])))
-    own = computed_once(own, "_spans", ordered)
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"], rank[s["kind"]].alias("rank"), s["stop"], s["kind"])))
+    own = computed_once(own, spans, ordered)
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out"))
 
     def step(acc, s):
         fresh = s["start"] >= acc["at"]
-        kept = F.substring("_text", (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
+        kept = F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
         out = F.when(fresh, F.concat(acc["out"], F.array(kept, F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))))).otherwise(acc["out"])
         return F.struct(F.greatest(acc["at"], s["stop"]).alias("at"), out.alias("out"))
 
-    rest = lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring("_text", (acc["at"] + 1).cast("int"), F.length("_text")))
-    clean = F.when(F.size("_spans") > 0, F.aggregate("_spans", start, step, rest)).otherwise(F.col("_text"))
-    return own.select(*((clean if c == text else F.col("doc")[c]).alias(c) for c in df.columns))
+    rest = lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, (acc["at"] + 1).cast("int"), F.length(text)))
+    clean = F.when(F.size(spans) > 0, F.aggregate(spans, start, step, rest)).otherwise(F.col(text))
+    return own.withColumn(text, clean).select(*df.columns)
 
 
 def span_text(spans: Column, base_only: bool = False) -> Column:

@@ -56,18 +56,30 @@ def base_quality(text):
     return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(inside), failed
 
 
-def repeated_lines(docs, least):
-    seen, out = defaultdict(set), set()
-    for doc_id, text in docs:
+def cut_repeats(docs, least):
+    """Text and removed (start, stop, kept id, kept start) per document, from sentences."""
+    units, first = defaultdict(list), {}
+    for doc_id, text in sorted(docs, key=lambda r: (r[0], r[1] or "")):
         start = 0
-        for line in (text or "").split("\n"):
-            w = line.lower().split()
-            if len(w) >= least:
-                seen[" ".join(w)].add((doc_id, start, start + len(line)))
-            start += len(line) + 1
-    for places in seen.values():
-        first = min(places)
-        out |= {(*p, first[0], first[1]) for p in places if p[:2] != first[:2]}
+        for piece in re.findall(r"[^\n.!?。！？]*[\n.!?。！？]+[ \t\r\n\f\v]*|[^\n.!?。！？]+", text or ""):
+            w = tuple(x for x in re.split(r"[ \t\r\n\f\v]+", piece.translate(ASCII_LOWER)) if x)
+            if w:
+                units[doc_id].append((start, start + len(piece), w))
+                first.setdefault(w, (doc_id, start))
+            start += len(piece)
+    out = {}
+    for doc_id, text in docs:
+        runs, run = [], []
+        for a, b, w in [*units[doc_id], (-1, -1, None)]:
+            if w is not None and first[w] != (doc_id, a):
+                run.append((a, b, w))
+            else:
+                if sum(len(x[2]) for x in run) >= least:
+                    runs.append((run[0][0], run[-1][1], *first[run[0][2]]))
+                run = []
+        edges = [0, *(x for r in runs for x in r[:2]), len(text or "")]
+        cut = "".join((text or "")[a:b] for a, b in zip(edges[::2], edges[1::2]))
+        out[doc_id] = (cut if runs else text, runs)
     return out
 
 

@@ -46,12 +46,12 @@ def test_proximity(spark):
 
 
 def test_redaction_and_removal(spark):
-    line = "one line that has more than ten words so that it counts as a unit"
+    line = "one line that has more than twenty words so that it counts as a passage of its own and is cut out where it stands again"
     docs = spark.createDataFrame([(1, f"a\n{line}\nb a.b@c.de +1 (275) 555-5927."), (2, f"{line}\nc"), (3, None)], "doc_id bigint, text string")
     clean = {r.doc_id: r.text for r in pii.redact(docs).collect()}
     assert clean == {1: f"a\n{line}\nb [EMAIL] [PHONE].", 2: f"{line}\nc", 3: None}
     cut = {r.doc_id: (r.text, [tuple(x) for x in r.removed]) for r in repeats.remove_repeats(docs).collect()}
-    assert cut[2] == ("\nc", [(0, len(line))]) and cut[1][1] == [] and cut[3] == (None, [])
+    assert cut[2] == ("c", [(0, len(line) + 1, 1, 2)]) and cut[1][1] == [] and cut[3] == (None, [])
 
 
 def test_pipeline(spark):
