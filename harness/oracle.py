@@ -206,8 +206,8 @@ RUNS = f"""SELECT batch_id, count(*) AS sources, CAST(sum(fetched) AS BIGINT) AS
     CAST(sum(staged) AS BIGINT) AS total_records_staged,
     CASE WHEN bool_or(broken) THEN 'partial_failure' ELSE 'success' END AS status FROM ({SOURCE_RESULTS}) GROUP BY batch_id"""
 CENTS = "CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE)"
-NESTED_PROFILE = """'{"age":' || event_id % 90 || ',"location":{"city":"' || event_type || '","country":"c' || event_id % 7 || '"}}'"""
-ITEMS = """'"items":[{"qty":' || event_id % 5 || ',"sku":"A1"}]'"""
+MOUNT = """'{"height":' || event_id % 90 || ',"rack":{"aisle":"' || event_type || '","level":"c' || event_id % 7 || '"}}'"""
+PARTS = """'"parts":[{"code":"x9","left":' || event_id % 5 || '},{"code":"w","left":0}]'"""
 
 ORACLE: dict[str, str] = {
     "read_jsonl": f"SELECT {ID_A} AS id, ts AS updated_at, {CATEGORY} AS category FROM events WHERE event_id % 50 <> 0",
@@ -259,14 +259,14 @@ ORACLE: dict[str, str] = {
     "validate_required": f"""SELECT event_id AS ordinal,
         concat_ws('; ', {ID_ERROR}, 'Missing required field: region') AS errors FROM events""",
     "quarantine": f"SELECT event_id AS record_index, {ID_ERROR} AS errors, event_type FROM events WHERE NOT ({VALID})",
-    "flatten_nested": f"""SELECT event_id AS id, '{{"id":' || event_id || ',' || {ITEMS} || ',"user_name":"' || user_id ||
-        '","user_profile_age":' || event_id % 90 || ',"user_profile_location_city":"' || event_type ||
-        '","user_profile_location_country":"c' || event_id % 7 || '"}}' AS flat FROM events""",
-    "flatten_two_levels": f"""SELECT event_id AS id, '{{"id":' || event_id || ',' || {ITEMS} || ',"user.name":"' || user_id ||
-        '","user.profile":' || {NESTED_PROFILE} || '}}' AS flat FROM events""",
-    "flatten_typed": """SELECT event_id AS id, CAST(user_id AS VARCHAR) AS user_name, event_id % 90 AS user_profile_age,
-        event_type AS user_profile_location_city, 'c' || event_id % 7 AS user_profile_location_country,
-        CAST(1 AS BIGINT) AS n_items FROM events""",
+    "flatten_nested": f"""SELECT event_id AS id, '{{"device_model":"' || user_id || '","device_mount_height":' || event_id % 90 ||
+        ',"device_mount_rack_aisle":"' || event_type || '","device_mount_rack_level":"c' || event_id % 7 || '","id":' || event_id ||
+        ',' || {PARTS} || '}}' AS flat FROM events""",
+    "flatten_two_levels": f"""SELECT event_id AS id, '{{"device.model":"' || user_id || '","device.mount":' || {MOUNT} ||
+        ',"id":' || event_id || ',' || {PARTS} || '}}' AS flat FROM events""",
+    "flatten_typed": """SELECT event_id AS id, CAST(user_id AS VARCHAR) AS device_model, event_id % 90 AS device_mount_height,
+        event_type AS device_mount_rack_aisle, 'c' || event_id % 7 AS device_mount_rack_level,
+        CAST(2 AS BIGINT) AS n_parts FROM events""",
     "normalize_keys": """SELECT event_id, '{"event_type":"' || event_type || '","hidden":null,"some_apikey":"x","total_amount":' ||
         event_id || ',"user_id":' || user_id || '}' AS record,
         '{"event_type":"' || event_type || '","hidden":null,"some_api_key":"x","total_amount":' ||

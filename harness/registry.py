@@ -452,14 +452,14 @@ def quarantine(spark, sf_dir):
 
 def _nested(spark, sf_dir) -> DataFrame:
     n, kind = F.col("event_id"), F.col("event_type")
-    location = F.struct(kind.alias("city"), F.concat(F.lit("c"), (n % 7).cast("string")).alias("country"))
-    person = F.struct(F.col("user_id").cast("string").alias("name"), F.struct((n % 90).alias("age"), location.alias("location")).alias("profile"))
-    items = F.array(F.struct(F.lit("A1").alias("sku"), (n % 5).alias("qty")))
-    return spread(table(spark, sf_dir, "events")).select(F.col("event_id").alias("id"), person.alias("user"), items.alias("items"))
+    rack = F.struct(kind.alias("aisle"), F.concat(F.lit("c"), (n % 7).cast("string")).alias("level"))
+    device = F.struct(F.col("user_id").cast("string").alias("model"), F.struct((n % 90).alias("height"), rack.alias("rack")).alias("mount"))
+    parts = F.array(F.struct(F.lit("x9").alias("code"), (n % 5).alias("left")), F.struct(F.lit("w").alias("code"), F.lit(0).alias("left")))
+    return spread(table(spark, sf_dir, "events")).select(F.col("event_id").alias("id"), device.alias("device"), parts.alias("parts"))
 
 
 def _nested_payload(spark, sf_dir) -> DataFrame:
-    text = F.concat(F.rtrim(D.json_text(id=F.col("id"), user=F.col("user"), items=F.col("items")), F.lit("}")), F.lit(', "empty": {}}'))
+    text = F.concat(F.rtrim(D.json_text(id=F.col("id"), device=F.col("device"), parts=F.col("parts")), F.lit("}")), F.lit(', "empty": {}}'))
     # The trailing brackets of the list keep the braces above apart from the record's own.
     return _nested(spark, sf_dir).select("id", F.parse_json(text).alias("payload"))
 
@@ -482,7 +482,7 @@ def flatten_typed(spark, sf_dir):
     """The schema is found in one pass, then flattening is a projection."""
     payload = _nested_payload(spark, sf_dir).select("payload")
     flat = flatten.flatten_struct(flatten.type_payload(payload, "payload"))
-    return flat.select("id", "user_name", "user_profile_age", "user_profile_location_city", "user_profile_location_country", F.size("items").cast("bigint").alias("n_items"))
+    return flat.select("id", "device_model", "device_mount_height", "device_mount_rack_aisle", "device_mount_rack_level", F.size("parts").cast("bigint").alias("n_parts"))
 
 
 def _odd_keys(spark, sf_dir) -> DataFrame:
