@@ -17,21 +17,21 @@ CACHE_WORDS = 250_000
 CACHE_BYTES = 64
 
 
-def pieces(column: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
-    """First row and texts, as UTF-8, of stretches of about ``SLICE_BYTES``; null is empty."""
+def pieces(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, list[bytes]]]:
+    """First row and texts, as UTF-8, of stretches of about ``size`` bytes; null is empty."""
     raw = column.cast(pa.binary())
     ends = np.cumsum(pc.binary_length(raw).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
     start = done = 0
     while start < len(raw):
-        stop = max(start + 1, int(np.searchsorted(ends, done + SLICE_BYTES, "right")))
+        stop = max(start + 1, int(np.searchsorted(ends, done + size, "right")))
         yield start, [t or b"" for t in raw.slice(start, stop - start).to_pylist()]
         start, done = stop, int(ends[stop - 1])
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+def slices(batches: Iterable[pa.RecordBatch], column: str = "text", size: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Batches cut like ``pieces``, with their texts."""
     for batch in batches:
-        for start, texts in pieces(batch.column(column)):
+        for start, texts in pieces(batch.column(column), size):
             yield batch.slice(start, len(texts)), texts
 
 

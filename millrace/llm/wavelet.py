@@ -147,7 +147,9 @@ class WaveletMatrix:
 
 
 # Pieces and words kept in a worker's cache; a full cache starts anew.
-CACHE_PIECES = 600_000
+CACHE_PIECES = 1_200_000
+# Bytes of text encoded at once.
+ENCODE_BYTES = 8 << 20
 # A control character between pieces that are encoded together, and how many are.
 MARK, TOGETHER = b"\x01", 512
 # Fixed value: how the vocabulary file parts lower-cased text into words. ASCII text can be parted likewise beforehand.
@@ -198,8 +200,11 @@ class _Library:
     def encode(self, pieces: list[bytes], known: dict[bytes, bytes]) -> None:
         """Put the ids of pieces into ``known``, with those of the words that plain ones consist of."""
         plain = [p for p in pieces if self.plain(p)] if self.worded else []
+        whole = [p for p in plain if p.isalpha()]
+        plain = [p for p in plain if not p.isalpha()]
         parted = [ASCII_WORD.findall(p.lower()) for p in plain]
-        known.update(self.words([w for w in set().union(*parted) if w not in known]))
+        known.update(self.words([w for w in set().union(map(bytes.lower, whole), *parted) if w not in known]))
+        known.update((p, known[p.lower()]) for p in whole)
         known.update((p, b"".join(map(known.__getitem__, ws))) for p, ws in zip(plain, parted, strict=True))
         # Words that are all letters, in lower case too, with ASCII marks around them: the marks are words of their own, unless an apostrophe
         # stands before a letter.
@@ -241,7 +246,7 @@ def encode_shards(docs: DataFrame, path: str, shard_tokens: int = SHARD_TOKENS,
             row = {"part": part, "seq": seq, "doc_ids": docs_, "lengths": [len(x) // 4 for x in ids], "n_tokens": size, "planes": data}
             return pa.RecordBatch.from_pylist([row], pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("n_tokens", pa.int64()), ("planes", pa.binary())]))
 
-        for batch, texts in slices(batches):
+        for batch, texts in slices(batches, size=ENCODE_BYTES):
             for doc, x in zip(batch.column(0).to_pylist(), library_ids(texts, path), strict=True):
                 if size and size + len(x) // 4 + 1 > shard_tokens:
                     yield shard()
