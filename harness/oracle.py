@@ -424,3 +424,8 @@ ORACLE["staged_history"] = f"SELECT * EXCLUDE (first_error_message, last_load_ti
 ORACLE["load_errors"] = f"""SELECT batch_id, '{{"id": ' || o_orderkey AS line, 'not a JSON value' AS error, {NOW} AS rejected_at
     FROM ({ORDER_FILES}) WHERE bad"""
 ORACLE["failed_loads"] = f"SELECT batch_id, status, first_error_line_number FROM ({ORDER_LOADS}) WHERE status <> 'Loaded'"
+
+ORACLE["compact_raw"] = f"""SELECT CASE WHEN CAST(ingested_at AS DATE) < CAST({NOW} AS DATE) THEN 'c0' ELSE CAST(ordinal % 3 AS VARCHAR) END AS load_id,
+    CAST(ingested_at AS DATE) AS ingest_day, count(*) AS row_count, count(DISTINCT ordinal) AS places FROM ({raw_a()}) GROUP BY 1, 2"""
+ORACLE["purge_raw"] = f"""SELECT id, ingested_at, CAST(ingested_at AS DATE) AS ingest_day FROM ({raw_a()})
+    WHERE CAST(ingested_at AS DATE) >= DATE '2024-04-20' - 90"""

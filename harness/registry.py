@@ -15,7 +15,7 @@ from millrace.operators.days import INGEST_DAY
 from millrace.operators import clean, dedupe as dd, flatten, governance, merge, normalize, validate
 from millrace.plans import analytics, metrics, quality, runs, transform
 from millrace.session import spread, workspace
-from millrace.sinks import buckets, stage as stage_sink, tables
+from millrace.sinks import buckets, raw as raw_sink, stage as stage_sink, tables
 from millrace.sources import extract, jsonl, pages, stage as stage_source
 from millrace.specs import API_A, API_B, LINEAGE, SOURCES
 from millrace.streaming import landing, upsert as upsert_stream
@@ -281,6 +281,37 @@ def retention_raw(spark, sf_dir):
     return kept.select("ordinal", "ingested_at", "batch_id")
 
 
+def _raw_loads(spark, sf_dir) -> str:
+    """RAW of source A as three loads have left it, each with rows of every day."""
+    path = workspace(spark, "raw")
+    rows = D.raw_a(spark, sf_dir).withColumns({
+        "line": F.lit(None).cast("string"), "block_start": F.lit(0).cast("bigint"), "pos": F.col("ordinal").cast("bigint"),
+        "load_id": (F.col("ordinal") % 3).cast("string"), "kind": F.lit("good"), INGEST_DAY: F.to_date("ingested_at"),
+    })
+    rows.drop("ordinal").write.partitionBy("load_id", "kind", INGEST_DAY).parquet(path)
+    return path
+
+
+@query
+def compact_raw(spark, sf_dir):
+    """Days before today packed into one load, today's left alone; a second call finds nothing to do."""
+    path = _raw_loads(spark, sf_dir)
+    for _ in range(2):
+        raw_sink.compact_raw(spark, path, AS_OF)
+    rows = spark.read.schema(StructType([*raw_sink.COLUMNS, *raw_sink.FOLDERS])).parquet(path)
+    return rows.groupBy("load_id", INGEST_DAY).agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct("pos").alias("places"))
+
+
+@query
+def purge_raw(spark, sf_dir):
+    """What is left of packed RAW once the days past retention are dropped."""
+    path = _raw_loads(spark, sf_dir)
+    raw_sink.compact_raw(spark, path, AS_OF)
+    raw_sink.purge_raw(spark, path, "2024-04-20 00:00:00")
+    rows = landing.read_raw(spark, path, days=True)
+    return rows.select(V.field(F.col("payload"), "id", "string").alias("id"), "ingested_at", INGEST_DAY)
+
+
 @query
 def expired_days(spark, sf_dir):
     return governance.expired_days(stage_source.staged_days(spark, _stage_events(spark, sf_dir)), "2024-02-14 00:00:00")

@@ -17,6 +17,7 @@ from millrace.plans.transform import transform_source
 from millrace.session import workspace
 from millrace.sinks.stage import stage
 from millrace.sinks.buckets import day_states, fact_states, read_buckets
+from millrace.sinks.raw import compact_raw, load_ids, purge_raw
 from millrace.sinks.tables import drop_folder, read_table, replace_batches, replace_table
 from millrace.sources.extract import changed_since
 from millrace.specs import SOURCES
@@ -31,6 +32,10 @@ RESULT_SCHEMA = (
 SUMMARY_SCHEMA = "source string, event_date date, event_count bigint, unique_records bigint, _refreshed_at timestamp_ntz"
 
 
+# Hourly loads of a day that are packed into one.
+PACK_LOADS = 12
+
+
 @dataclass(frozen=True)
 class Layout:
     """Where the layers of one installation live, below a shared root."""
@@ -139,8 +144,12 @@ def run_hourly(
     for source, spec in SOURCES.items():
         query = land(spark, layout.staging, source, layout.raw(source), layout.checkpoint(source), as_of)
         query.awaitTermination()
+        loads = load_ids(spark, layout.raw(source))
         merge = stream_upsert(spark, layout.raw(source), layout.clean(source), layout.clean_checkpoint(source), spec, as_of, tie_break)
         merge.awaitTermination()
+        # The upsert has taken these loads, so their finished days may be packed and old ones dropped.
+        compact_raw(spark, layout.raw(source), as_of, PACK_LOADS, loads)
+        purge_raw(spark, layout.raw(source), as_of)
     # Summary and checks come from the states of the buckets, of which the upsert renewed those it touched.
     days = [day_states(spark, layout.clean(source)) for source in SOURCES]
     replace_table(analytics.summary_of_days(*days, as_of), layout.summary)

@@ -30,6 +30,14 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     fs.delete(folder, True)
 
 
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Give a folder another name; the target must not exist."""
+    here, fs = _files(spark, source)
+    there, _ = _files(spark, target)
+    if fs.exists(there) or not fs.rename(here, there):
+        raise RuntimeError(f"{source} can not be moved to {target}")
+
+
 def folder_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders in a folder; none when it does not exist."""
     folder, fs = _files(spark, path)

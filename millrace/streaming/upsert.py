@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.operators.clean import clean_full
 from millrace.sinks.buckets import BUCKETS, upsert_buckets
+from millrace.sinks.raw import PACKED
 from millrace.specs import RAW_SCHEMA, SourceSpec
 
 
@@ -31,11 +32,13 @@ def stream_upsert(
     reader = spark.readStream.schema(RAW_SCHEMA)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    rows = reader.option("recursiveFileLookup", "true").parquet(raw_path)
+    rows = reader.option("recursiveFileLookup", "true").parquet(raw_path).withColumn("_path", F.col("_metadata.file_path"))
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         # Landing keeps the places of bad and blank lines in RAW too; these have no payload.
-        rows = batch.where(F.col("payload").isNotNull())
+        # Packed loads hold rows that were offered before.
+        packed = F.col("_path").contains(f"/load_id={PACKED}")
+        rows = batch.where(F.col("payload").isNotNull() & ~packed).drop("_path")
         upsert_buckets(clean_full(rows, spec, as_of, on_error, tie_break), clean_path, spec, batch_id, buckets)
 
     trigger = {"processingTime": every} if every else {"availableNow": True}
