@@ -429,3 +429,11 @@ ORACLE["compact_raw"] = f"""SELECT CASE WHEN CAST(ingested_at AS DATE) < CAST({N
     CAST(ingested_at AS DATE) AS ingest_day, count(*) AS row_count, count(DISTINCT ordinal) AS places FROM ({raw_a()}) GROUP BY 1, 2"""
 ORACLE["purge_raw"] = f"""SELECT id, ingested_at, CAST(ingested_at AS DATE) AS ingest_day FROM ({raw_a()})
     WHERE CAST(ingested_at AS DATE) >= DATE '2024-04-20' - 90"""
+
+ORACLE["unnest_pages_linked"] = PAGES + "CASE fetch_id % 4 WHEN 1 THEN page_no <= 12 WHEN 2 THEN page_no < 7 ELSE true END"
+ORACLE["linked_pages_report"] = """WITH p AS (SELECT DISTINCT event_id // 50 // 20 AS fetch_id, event_id // 50 % 20 AS page_no FROM events),
+    s AS (SELECT * FROM p WHERE NOT (fetch_id % 4 = 2 AND page_no = 7))
+    SELECT fetch_id, count(*) + count(*) FILTER (fetch_id % 4 = 3 AND page_no = 3) AS n_stored, count(*) AS n_pages,
+        count(*) FILTER (CASE fetch_id % 4 WHEN 1 THEN page_no <= 12 WHEN 2 THEN page_no < 7 ELSE true END) AS n_placed,
+        count(*) FILTER (CASE fetch_id % 4 WHEN 1 THEN page_no > 12 WHEN 2 THEN page_no > 7 ELSE false END) AS n_lost,
+        CASE fetch_id % 4 WHEN 1 THEN 'loop' WHEN 2 THEN 'gap' ELSE 'complete' END AS state FROM s GROUP BY fetch_id"""

@@ -16,7 +16,7 @@ from millrace.operators import clean, dedupe as dd, flatten, governance, merge,
 from millrace.plans import analytics, metrics, quality, runs, transform
 from millrace.session import spread, workspace
 from millrace.sinks import buckets, raw as raw_sink, stage as stage_sink, tables
-from millrace.sources import extract, jsonl, pages, stage as stage_source
+from millrace.sources import extract, jsonl, links, pages, stage as stage_source
 from millrace.specs import API_A, API_B, LINEAGE, SOURCES
 from millrace.streaming import landing, upsert as upsert_stream
 
@@ -232,6 +232,30 @@ def unnest_pages_offset(spark, sf_dir):
     return _page_records(pages.unnest_offset(rows))
 
 
+def _linked_pages(spark, sf_dir) -> DataFrame:
+    """Pages without numbers. Of four fetches one is whole, one loops back from page 12 to page 5, one lacks page 7, and
+    one has page 3 twice."""
+    kind, no = F.col("fetch_id") % 4, F.col("page_no")
+    named = lambda n: F.md5(F.concat_ws("-", F.col("fetch_id").cast("string"), n.cast("string")))
+    after = F.when(no == PAGES_PER_FETCH - 1, F.lit(None)).when((kind == 1) & (no == 12), named(F.lit(5))).otherwise(named(no + 1))
+    rows = _event_pages(spark, sf_dir).select(
+        "fetch_id", "page_no", F.when(no > 0, named(no)).alias("cursor"),
+        F.parse_json(D.json_text(data=F.col("records"), meta=F.struct(after.alias("next_cursor")))).alias("payload"),
+    ).where(~((kind == 2) & (no == 7)))
+    twice = rows.where((F.col("fetch_id") % 4 == 3) & (F.col("page_no") == 3))
+    return rows.unionByName(twice).drop("page_no").repartition(7, "cursor")
+
+
+@query
+def unnest_pages_linked(spark, sf_dir):
+    return _page_records(links.unnest_linked(_linked_pages(spark, sf_dir)))
+
+
+@query
+def linked_pages_report(spark, sf_dir):
+    return links.link_report(_linked_pages(spark, sf_dir))
+
+
 # Sinks
 
 
