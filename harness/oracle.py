@@ -437,3 +437,12 @@ ORACLE["linked_pages_report"] = """WITH p AS (SELECT DISTINCT event_id // 50 //
         count(*) FILTER (CASE fetch_id % 4 WHEN 1 THEN page_no <= 12 WHEN 2 THEN page_no < 7 ELSE true END) AS n_placed,
         count(*) FILTER (CASE fetch_id % 4 WHEN 1 THEN page_no > 12 WHEN 2 THEN page_no > 7 ELSE false END) AS n_lost,
         CASE fetch_id % 4 WHEN 1 THEN 'loop' WHEN 2 THEN 'gap' ELSE 'complete' END AS state FROM s GROUP BY fetch_id"""
+
+ORACLE["masked_view_sql"] = """SELECT role, c_custkey, CASE WHEN role = 'TRANSFORMER_ROLE' THEN c_name || '@example.com' ELSE '***@example.com' END AS email, c_name
+    FROM customer, (VALUES ('ANALYST_ROLE'), ('TRANSFORMER_ROLE'), (NULL)) AS r(role)"""
+ID_ROWS = f"""(SELECT 'api_a' AS source, id, created_at, batch_id FROM ({raw_a()})
+    UNION ALL SELECT 'api_b', id, created_at, batch_id FROM ({raw_b('o_custkey')}))"""
+ORACLE["day_id_counts"] = f"""SELECT source, CAST(created_at AS DATE) AS event_date, batch_id, count(*) AS row_count, count(DISTINCT id) AS unique_ids
+    FROM {ID_ROWS} GROUP BY ALL"""
+ORACLE["weekly_distinct_ids"] = f"""SELECT source, CAST(date_trunc('week', created_at) AS DATE) AS week, count(*) AS row_count, count(DISTINCT id) AS unique_ids,
+    true AS estimate_is_near FROM {ID_ROWS} GROUP BY ALL"""

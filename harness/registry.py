@@ -13,7 +13,7 @@ from millrace.functions import timefn, variants as V
 from millrace.functions.text import trim_ws
 from millrace.operators.days import INGEST_DAY
 from millrace.operators import clean, dedupe as dd, flatten, governance, merge, normalize, validate
-from millrace.plans import analytics, metrics, quality, runs, transform
+from millrace.plans import analytics, metrics, quality, roles, runs, sketches, transform
 from millrace.session import spread, workspace
 from millrace.sinks import buckets, raw as raw_sink, stage as stage_sink, tables
 from millrace.sources import extract, jsonl, links, pages, stage as stage_source
@@ -799,6 +799,53 @@ def masked_view(spark, sf_dir):
     return governance.masked(governance.masked(people, ["email"], "ANALYST_ROLE"), ["full_email"], "TRANSFORMER_ROLE")
 
 
+@query
+def masked_view_sql(spark, sf_dir):
+    """A view over stored customers, read in SQL by two roles and by a session without one."""
+    path = workspace(spark, "people")
+    address = F.concat("c_name", F.lit("@example.com")).alias("email")
+    table(spark, sf_dir, "customer").select("c_custkey", address, "c_name").write.parquet(path)
+    roles.register_masking(spark)
+    roles.masked_view(spark, "people", path, ["c_custkey", "email", "c_name"], ["email"])
+    seen = None
+    for role in ("ANALYST_ROLE", "TRANSFORMER_ROLE", None):
+        roles.set_role(spark, role)
+        rows = spark.sql("SELECT session.reader_role AS role, c_custkey, email, c_name FROM people")
+        out = workspace(spark, "seen")
+        rows.write.parquet(out)
+        part = spark.read.schema(rows.schema).parquet(out)
+        seen = part if seen is None else seen.unionByName(part)
+    return seen
+
+
+def _sketched(spark, sf_dir) -> DataFrame:
+    """Sketches of raw events and orders per day and batch, as a stored table."""
+    path = workspace(spark, "sketches")
+    a = clean.project(D.raw_a(spark, sf_dir), API_A, AS_OF)
+    b = clean.project(D.raw_b(spark, sf_dir, "o_custkey"), API_B, AS_OF)
+    for source, rows in (("api_a", a), ("api_b", b)):
+        tables.append_rows(sketches.day_sketches(rows, source), path)
+    return spark.read.schema(sketches.SCHEMA).parquet(path)
+
+
+@query
+def day_id_counts(spark, sf_dir):
+    return _sketched(spark, sf_dir).drop("ids")
+
+
+@query
+def weekly_distinct_ids(spark, sf_dir):
+    """Rows per source and week, and whether the estimate of distinct ids is within three standard errors of the count."""
+    weeks = sketches.weekly_ids(_sketched(spark, sf_dir))
+    parts = []
+    for source, rows in (("api_a", clean.project(D.raw_a(spark, sf_dir), API_A, AS_OF)), ("api_b", clean.project(D.raw_b(spark, sf_dir, "o_custkey"), API_B, AS_OF))):
+        week = F.to_date(F.date_trunc("week", "created_at")).alias("week")
+        parts.append(rows.groupBy(week).agg(F.count_distinct("id").alias("unique_ids")).withColumn("source", F.lit(source)))
+    both = weeks.join(parts[0].unionByName(parts[1]), ["source", "week"])
+    near = F.abs(F.col("unique_ids_estimate") - F.col("unique_ids")) <= F.greatest(F.lit(1), 0.025 * F.col("unique_ids"))
+    return both.select("source", "week", "row_count", "unique_ids", near.alias("estimate_is_near"))
+
+
 @query
 def raw_sample(spark, sf_dir):
     """Five RAW rows, the first in input order."""

@@ -13,7 +13,7 @@ from millrace.specs import API_A, API_B, RAW_SCHEMA
 SMALL = "/root/testdata/sf0.001"
 
 # Queries that run jobs of their own before they return.
-JOBS = {"hourly_run", "land_raw_a", "land_raw_b", "land_refresh", "stream_upsert", "daily_summary", "dq_results", "merge_a_measured", "hourly_rerun", "summary_by_buckets", "checks_by_buckets", "transform_records", "load_history", "load_errors", "failed_loads", "retention_raw", "incremental_slice", "schema_drift", "compact_raw", "purge_raw", "unnest_pages_linked", "linked_pages_report"}
+JOBS = {"hourly_run", "land_raw_a", "land_raw_b", "land_refresh", "stream_upsert", "daily_summary", "dq_results", "merge_a_measured", "hourly_rerun", "summary_by_buckets", "checks_by_buckets", "transform_records", "load_history", "load_errors", "failed_loads", "retention_raw", "incremental_slice", "schema_drift", "compact_raw", "purge_raw", "unnest_pages_linked", "linked_pages_report", "masked_view_sql", "day_id_counts", "weekly_distinct_ids"}
 
 
 def plan_of(df):
