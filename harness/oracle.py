@@ -446,3 +446,6 @@ ORACLE["day_id_counts"] = f"""SELECT source, CAST(created_at AS DATE) AS event_d
     FROM {ID_ROWS} GROUP BY ALL"""
 ORACLE["weekly_distinct_ids"] = f"""SELECT source, CAST(date_trunc('week', created_at) AS DATE) AS week, count(*) AS row_count, count(DISTINCT id) AS unique_ids,
     true AS estimate_is_near FROM {ID_ROWS} GROUP BY ALL"""
+
+ORACLE["normalize_source_order"] = """SELECT event_id AS ordinal, CASE WHEN event_id % 2 = 1 THEN user_id ELSE event_id END AS user_id,
+    CASE WHEN event_id % 2 = 1 THEN event_id ELSE user_id END AS tag_no FROM events"""

@@ -558,6 +558,21 @@ def normalize_keys(spark, sf_dir):
     )
 
 
+@query
+def normalize_source_order(spark, sf_dir):
+    """Fields that get one name, in two orders, at the top and inside: the last in the text stays."""
+    a, b = F.col("user_id").cast("string"), F.col("event_id").cast("string")
+    pair = lambda x, y, m, n: F.concat(F.lit(f'"{x}": '), m, F.lit(f', "{y}": '), n)
+    turned = F.col("event_id") % 2 == 1
+    top = F.when(turned, pair("userId", "user_id", b, a)).otherwise(pair("user_id", "userId", a, b))
+    inner = F.when(turned, pair("Tag-No", "tagNo", a, b)).otherwise(pair("tagNo", "Tag-No", b, a))
+    text = F.concat(F.lit("{"), top, F.lit(', "Meta": {'), inner, F.lit("}}"))
+    rows = spread(table(spark, sf_dir, "events")).select(F.col("event_id").alias("ordinal"), text.alias("text"), F.parse_json(text).alias("payload"))
+    valid, _ = transform.transform(rows, transform.TransformSpec(text="text"))
+    p = F.col("payload")
+    return valid.select("ordinal", V.field(p, "user_id", "bigint").alias("user_id"), V.field(p, ("meta", "tag_no"), "bigint").alias("tag_no"))
+
+
 @query
 def key_report(spark, sf_dir):
     """Keys that meet under one name: every event has userId, every fourth also user_id."""

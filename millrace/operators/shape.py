@@ -94,34 +94,75 @@ def _get(root: str, path: tuple[str, ...], dtype: str = "variant", on_error: str
     return f"{on_error}variant_get({root}, {literal(V.path(*path))}, '{dtype}')" if path else root
 
 
+@dataclass(frozen=True)
+class _Entry:
+    """A field of a normalised object: its old and new name, and as SQL whether it is there and its value."""
+
+    key: str
+    name: str
+    there: str
+    value: str
+    path: tuple[str, ...]
+
+
 class _Writer:
     """SQL text of normalised values, by their types."""
 
-    def __init__(self, shape: Shape, timestamps: Sequence[str], normalize_keys: bool, split_acronyms: bool, to_utc: bool):
-        self.timestamps, self.to_utc = timestamps, to_utc
+    def __init__(self, shape: Shape, timestamps: Sequence[str], normalize_keys: bool, split_acronyms: bool, to_utc: bool, text: str | None):
+        self.timestamps, self.to_utc, self.text = timestamps, to_utc, text
         self.rename: Callable[[str], str] = (lambda k: snake_name(k, split_acronyms)) if normalize_keys else (lambda k: k)
         self.depth = shape.depth
         self.general = {"timestamps": timestamps, "normalize_keys": normalize_keys, "split_acronyms": split_acronyms, "to_utc": to_utc}
         self.variables = 0
 
-    def object_(self, entries: list[tuple[str, str]]) -> str:
-        """An object of (key, entry) pairs in the order of keys, so that of equal new names the last one stays."""
-        ordered = [e for _, e in sorted(entries, key=lambda x: x[0].encode())]
-        listed = f"concat({', '.join(ordered)})" if ordered else NOTHING
+    def object_(self, entries: list[_Entry], in_list: bool = False) -> str:
+        """An object of these entries.
+
+        Of several with one new name the last one stays, in the order of keys or, where the JSON text is at hand, in its
+        order. Elements of lists have no path into the text.
+        """
+        ordered = sorted(entries, key=lambda e: e.key.encode())
+        pair = lambda name, value: f"array(struct({literal(name)} AS key, {value} AS value))"
+        groups: dict[str, list[_Entry]] = {}
+        for e in ordered:
+            groups.setdefault(e.name, []).append(e)
+        parts, done = [], set()
+        for e in ordered:
+            group = groups[e.name]
+            if len(group) == 1 or in_list or not self.text or not all(self.readable(x.path) for x in group):
+                parts.append(f"IF({e.there}, {pair(e.name, e.value)}, {NOTHING})")
+            elif e.name not in done:
+                done.add(e.name)
+                places = ", ".join(f"IF({x.there}, struct({self.place(x.path)} AS place, {i} AS nth), NULL)" for i, x in enumerate(group))
+                last = f"greatest({places}).nth"
+                cases = " ".join(f"WHEN {i} THEN {x.value}" for i, x in enumerate(group))
+                parts.append(f"IF({last} IS NULL, {NOTHING}, {pair(e.name, f'CASE {last} {cases} END')})")
+        listed = f"concat({', '.join(parts)})" if parts else NOTHING
         return f"to_variant_object(map_from_entries({listed}))"
 
-    def fields(self, root: str, path: tuple[str, ...], struct: T.StructType) -> list[tuple[str, str]]:
+    @staticmethod
+    def readable(path: tuple[str, ...]) -> bool:
+        """Whether `get_json_object` can follow a path."""
+        return not any(c in key for key in path[:-1] for c in "'?")
+
+    def place(self, path: tuple[str, ...]) -> str:
+        """Where a field stands in the text: the place of each key of its path among the keys beside it."""
+        spots = []
+        for n, key in enumerate(path):
+            above = "$" + "".join(f"['{k}']" for k in path[:n])
+            keys = f"json_object_keys({f'get_json_object({self.text}, {literal(above)})' if n else self.text})"
+            spots.append(f"coalesce(array_position({keys}, {literal(key)}), 0L)")
+        return f"array({', '.join(spots)})"
+
+    def fields(self, root: str, path: tuple[str, ...], struct: T.StructType) -> list[_Entry]:
         return [x for f in struct.fields for x in self.entry(root, (*path, f.name), f.name, f.dataType)]
 
-    def entry(self, root: str, path: tuple[str, ...], key: str, dtype: T.DataType) -> list[tuple[str, str]]:
-        """The field under its new name if it is there; a field whose name is left empty is dropped."""
+    def entry(self, root: str, path: tuple[str, ...], key: str, dtype: T.DataType) -> list[_Entry]:
+        """The field under its new name; a field whose name is left empty is dropped."""
         new = self.rename(key)
-        if not new:
-            return []
-        pair = f"array(struct({literal(new)} AS key, {self.value(root, path, key, new, dtype)} AS value))"
-        return [(key, f"IF({_get(root, path)} IS NULL, {NOTHING}, {pair})")]
+        return [_Entry(key, new, f"{_get(root, path)} IS NOT NULL", self.value(root, path, key, new, dtype), path)] if new else []
 
-    def flat(self, root: str, path: tuple[str, ...], prefix: str, struct: T.StructType, sep: str, depth: int) -> list[tuple[str, str]]:
+    def flat(self, root: str, path: tuple[str, ...], prefix: str, struct: T.StructType, sep: str, depth: int) -> list[_Entry]:
         """The entries of nested objects under joined names."""
         out = []
         for f in sorted(struct.fields, key=lambda f: f.name.encode()):
@@ -130,7 +171,7 @@ class _Writer:
                 out += self.flat(root, here, key, f.dataType, sep, depth - 1)
                 new, raw = self.rename(key), _get(root, here)
                 if new:
-                    out.append((key, f"IF(is_variant_null({raw}), array(struct({literal(new)} AS key, {raw} AS value)), {NOTHING})"))
+                    out.append(_Entry(key, new, f"is_variant_null({raw})", raw, here))
             else:
                 out += self.entry(root, here, key, f.dataType)
         return out
@@ -142,11 +183,11 @@ class _Writer:
         if isinstance(dtype, T.StringType):
             return f"CAST({trim_sql(_get(root, path, 'string', 'try_'))} AS VARIANT)"
         if isinstance(dtype, T.StructType):
-            return f"IF(is_variant_null({raw}), {raw}, {self.object_(self.fields(root, path, dtype))})"
+            return f"IF(is_variant_null({raw}), {raw}, {self.object_(self.fields(root, path, dtype), in_list=root.startswith("item"))})"
         if isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, T.StructType):
             self.variables += 1
             x = f"item{self.variables}"
-            each = f"IF(is_variant_null({x}), {x}, {self.object_(self.fields(x, (), dtype.elementType))})"
+            each = f"IF(is_variant_null({x}), {x}, {self.object_(self.fields(x, (), dtype.elementType), in_list=True)})"
             return f"to_variant_object(transform({_get(root, path, V.ITEMS, 'try_')}, {x} -> {each}))"
         if isinstance(dtype, T.VariantType) or isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, T.VariantType):
             return self.any_(raw)
@@ -180,14 +221,17 @@ def normalize_known(
     to_utc: bool = False,
     flatten_depth: int | None = None,
     sep: str = "_",
+    text: str | None = None,
 ):
     """`normalize_variant` for records of a known shape; with ``flatten_depth`` they are flattened first.
 
-    NULL for a record that is no object. Flattening needs a shape without objects among its mixed values.
+    NULL for a record that is no object. Flattening needs a shape without objects among its mixed values. ``text`` names
+    a column with the JSON text of the record: with it, of fields that get one name the last in that text stays. A
+    VARIANT keeps its keys sorted, so without it the last in key order does, as it does for objects in lists.
     """
     if flatten_depth and shape.mixed_objects:
         raise ValueError("a field that holds objects and other values can not be flattened by shape")
-    writer = _Writer(shape, timestamps, normalize_keys, split_acronyms, to_utc)
+    writer = _Writer(shape, timestamps, normalize_keys, split_acronyms, to_utc, text and f"`{text}`")
     root = f"`{column}`"
     entries = writer.fields(root, (), shape.struct) if flatten_depth is None else writer.flat(root, (), "", shape.struct, sep, flatten_depth)
     return F.expr(f"IF({root} IS NULL OR is_variant_null({root}), NULL, {writer.object_(entries)})")

@@ -30,6 +30,8 @@ class TransformSpec:
     max_depth: int | None = None
     # What `shape_of` gave for exactly these records; None finds it in one pass over them.
     shape: Shape | None = None
+    # Column with the JSON text of each record, for the order of fields that get one name.
+    text: str | None = None
     flatten_depth: int = 10
 
 
@@ -52,7 +54,7 @@ def normalized(df: DataFrame, spec: TransformSpec, payload: str = "payload") ->
     """
     shape = spec.shape or (None if spec.max_depth else shape_of(df, payload, spec.flatten))
     if shape and not (spec.flatten and shape.mixed_objects):
-        done = normalize_known(payload, shape, spec.timestamps, spec.normalize_keys, spec.split_acronyms, flatten_depth=spec.flatten_depth if spec.flatten else None)
+        done = normalize_known(payload, shape, spec.timestamps, spec.normalize_keys, spec.split_acronyms, flatten_depth=spec.flatten_depth if spec.flatten else None, text=spec.text)
         other = F.when(F.col(payload).isNotNull(), _not_object(payload)) if spec.flatten else F.col(payload)
         return computed_once(df, payload, F.coalesce(done, other))
     depth = spec.max_depth or max(1, variant_depth(df, payload))

@@ -107,3 +107,20 @@ def test_outputs_share_what_was_written_once(spark, payloads, tmp_path):
     for df in (valid, rejected):
         assert work in df._jdf.queryExecution().executedPlan().toString()
     assert [json.loads(x) for x in as_texts(valid)] == [{"id": "1", "v": "a"}] and rejected.first()._record_index == 1
+
+
+def test_the_last_in_the_text_stays(spark):
+    texts = ['{"user_id": 1, "userId": 2}', '{"userId": 2, "user_id": 1}', '{"userId": 3}', '{"user_id": null, "userId": null, "User ID": 5}', '{"x": {"a-b": 1, "aB": 2}, "x_": 0}', '{"x": {"aB": 2, "a-b": 1, "aB": 9}}', '{"x": null}', '{"l": [{"aB": 1, "a-b": 2}]}', None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "ordinal int, text string").withColumn("payload", F.parse_json("text"))
+    shape = shape_of(rows, "payload")
+    done = as_texts(rows.withColumn("payload", normalize_known("payload", shape, text="text")))
+    assert done == ['{"user_id":2}', '{"user_id":1}', '{"user_id":3}', '{"user_id":5}', '{"x":0}', '{"x":{"a_b":1}}', '{"x":null}', '{"l":[{"a_b":1}]}', None]
+    # Without the text the order of keys decides: "User ID" < "userId" < "user_id".
+    assert as_texts(rows.withColumn("payload", normalize_known("payload", shape)))[:3] == ['{"user_id":1}', '{"user_id":1}', '{"user_id":3}']
+
+
+def test_flattened_fields_keep_the_order_of_the_text(spark):
+    texts = ['{"a": {"b": 1}, "a_b": 2}', '{"a_b": 2, "a": {"b": 1}}', '{"A": {"c": 3, "C": 4}}', '{"A": {"C": 4, "c": 3}}']
+    rows = spark.createDataFrame(list(enumerate(texts)), "ordinal int, text string").withColumn("payload", F.parse_json("text"))
+    done = as_texts(rows.withColumn("payload", normalize_known("payload", shape_of(rows, "payload", True), text="text", flatten_depth=5)))
+    assert done == ['{"a_b":2}', '{"a_b":1}', '{"a_c":4}', '{"a_c":3}']
