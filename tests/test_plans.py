@@ -93,6 +93,14 @@ def test_views_read_few_columns(stored):
     assert plan.count("Exchange hashpartitioning") == 2
 
 
+def test_shares_take_their_total_from_the_groups(stored):
+    _, a, _ = stored
+    df = analytics.status_distribution(a)
+    rows = df.collect()
+    assert "ReusedExchange" in plan_of(df) or "ReusedSubquery" in plan_of(df) or "ReusedQueryStage" in plan_of(df)
+    assert abs(sum(r.percentage for r in rows) - 100) < 1
+
+
 def test_dashboard_is_one_scan_per_table_without_shuffled_rows(stored):
     _, a, b = stored
     plan = plan_of(analytics.executive_dashboard(a, b, "2024-01-31"))
