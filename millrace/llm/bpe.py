@@ -26,15 +26,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.llm.chunks import CACHE_BYTES, CACHE_WORDS, gathered, slices
+from millrace.llm.chunks import CACHE_BYTES, gathered, slices
 from millrace.llm.ship import shipped
 
 NEVER = int(np.iinfo(np.int64).max)
 # Bits of a token id inside packed numbers.
 BITS = 24
 LOW = (1 << BITS) - 1
-# Pieces kept in a worker's cache; a full cache starts anew.
-CACHE_PIECES = 400_000
+# Pieces and words kept in a worker's caches; a full cache starts anew. In a pipeline other stages' caches lie beside them.
+CACHE_PIECES, WORD_CACHE = 200_000, 120_000
 # A control character between pieces that are parted together, and how many are.
 MARK, TOGETHER = b"\x01", 512
 SHORT = 100  # symbols up to which a list is faster than a queue
@@ -77,20 +77,20 @@ class WordBpe:
         self._load_merges([tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]], size)
 
     def _load_merges(self, merges: list[tuple[str, str]], size: int) -> None:
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        # Merges of packed pairs as packed numbers, the rank in front of the token.
+        self.packed: dict[int, int] = {}
         born = np.full(size, -1, np.int64)
         left, right = np.full(size, -1, np.int64), np.full(size, -1, np.int64)
         # The walk needs each token to come from one merge, after the merges of its parts.
         self.speculates = True
         for rank, (a, b) in enumerate(merges):
             x, y, z = self.vocab[a], self.vocab[b], self.vocab[a + b]
-            self.speculates &= born[z] < 0 and (x, y) not in self.merges and born[x] < rank and born[y] < rank
-            self.merges[x, y] = rank, z
+            self.speculates &= born[z] < 0 and x << BITS | y not in self.packed and born[x] < rank and born[y] < rank
+            self.packed[x << BITS | y] = rank << BITS | z
             born[z], left[z], right[z] = rank, x, y
-        self.packed = {x << BITS | y: rank << BITS | z for (x, y), (rank, z) in self.merges.items()}
         self.born, self.left, self.right = born, left, right
-        pairs = np.array(list(self.merges), np.int64).reshape(-1, 2)
-        keys, ranks = pairs[:, 0] * size + pairs[:, 1], np.array([r for r, _ in self.merges.values()], np.int64)
+        pairs, made = (np.fromiter(x, np.int64, len(self.packed)) for x in (self.packed.keys(), self.packed.values()))
+        keys, ranks = (pairs >> BITS) * size + (pairs & LOW), made >> BITS
         order = np.argsort(keys)
         self.size, self.keys, self.ranks = size, keys[order], ranks[order]
         made = np.flatnonzero(born >= 0)
@@ -177,19 +177,19 @@ class WordBpe:
 
     def _merge_long(self, ids: list[int]) -> list[int]:
         after, before = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
-        queue = [(m[0], i, ids[i], ids[i + 1]) for i in range(len(ids) - 1) if (m := self.merges.get((ids[i], ids[i + 1])))]
+        queue = [(m >> BITS, i, ids[i], ids[i + 1]) for i in range(len(ids) - 1) if (m := self.packed.get(ids[i] << BITS | ids[i + 1])) is not None]
         heapq.heapify(queue)
         while queue:
             _, i, a, b = heapq.heappop(queue)
             j = after[i]
             if ids[i] != a or j >= len(ids) or ids[j] != b:
                 continue
-            ids[i], ids[j], after[i] = self.merges[a, b][1], -1, after[j]
+            ids[i], ids[j], after[i] = self.packed[a << BITS | b] & LOW, -1, after[j]
             if after[i] < len(ids):
                 before[after[i]] = i
             for k in (before[i], i):
-                if k >= 0 and after[k] < len(ids) and (m := self.merges.get((ids[k], ids[after[k]]))):
-                    heapq.heappush(queue, (m[0], k, ids[k], ids[after[k]]))
+                if k >= 0 and after[k] < len(ids) and (m := self.packed.get(ids[k] << BITS | ids[after[k]])) is not None:
+                    heapq.heappush(queue, (m >> BITS, k, ids[k], ids[after[k]]))
         return [t for t in ids if t >= 0]
 
     def encode_words(self, words: list[str]) -> list[list[int]]:
@@ -240,7 +240,7 @@ class WordBpe:
         parts.update(self.split_all([p for p in pieces if p not in parts]))
         words = {w for p in parts.values() for w in p if isinstance(w, str)}
         new = [w for w in words if w not in self.words]
-        if len(self.words) + len(new) > CACHE_WORDS:
+        if len(self.words) + len(new) > WORD_CACHE:
             self.words.clear()
             new = list(words)
         made = self.encode_words(new)
