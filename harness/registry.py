@@ -142,7 +142,7 @@ def land_raw_b(spark, sf_dir):
 
 def _landed_orders(spark, sf_dir) -> str:
     raw = workspace(spark, "raw")
-    landing.land(spark, _order_lines(spark, sf_dir), "api_b", raw, workspace(spark, "offsets"), AS_OF, max_files=50).awaitTermination()
+    landing.land(spark, _order_lines(spark, sf_dir), "api_b", raw, workspace(spark, "offsets"), AS_OF).awaitTermination()
     return raw
 
 
