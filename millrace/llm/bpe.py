@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.llm.chunks import CACHE_BYTES, gathered, slices
+from millrace.llm.chunks import CACHE_BYTES, gathered, holding, returned, slices
 from millrace.llm.ship import shipped
 
 NEVER = int(np.iinfo(np.int64).max)
@@ -48,6 +48,18 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
 
 
+@functools.lru_cache(maxsize=2)
+def token_names(path: str) -> list[str]:
+    """Tokens by id, all that decoding needs; ids without a token have an empty name."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    ids = {**spec["model"]["vocab"], **{t["content"]: t["id"] for t in spec["added_tokens"]}}
+    names = [""] * (max(ids.values()) + 1)
+    for name, i in ids.items():
+        names[i] = name
+    return names
+
+
 class WordBpe:
     """A vocabulary file with merges and word ends, and encoding with it."""
 
@@ -60,10 +72,8 @@ class WordBpe:
         self.suffix = model["end_of_word_suffix"] or ""
         self.vocab: dict[str, int] = model["vocab"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        size = max([*self.vocab.values(), *self.special.values()]) + 1
-        self.names = [""] * size
-        for name, i in (*self.vocab.items(), *self.special.items()):
-            self.names[i] = name
+        self.names = token_names(path)
+        size = len(self.names)
         self.letters = byte_letters()
         library = Tokenizer.from_file(path)
         self.normalizer, self.pre_tokenizer = library.normalizer, library.pre_tokenizer
@@ -267,8 +277,14 @@ def vocabulary(path: str) -> WordBpe:
 _CACHES: dict[str, dict[bytes, bytes]] = {}
 
 
+def _release() -> None:
+    _CACHES.clear()
+    vocabulary.cache_clear()
+
+
 def encode_texts(texts: list[bytes], path: str) -> list[bytes]:
     """Ids of each text as little-endian unsigned 32-bit integers."""
+    holding("bpe", _release)
     return gathered(texts, _CACHES.setdefault(path, {}), vocabulary(path).fill, CACHE_PIECES)
 
 
@@ -283,6 +299,10 @@ def encode(docs: DataFrame, path: str, id_column: str = "doc_id") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(encode_texts(texts, path), pa.binary())], [id_column, "ids"])
+        # The worker may wait for long or be given to another stage.
+        _CACHES.clear()
+        vocabulary(path).words.clear()
+        returned()
 
     return rows.mapInArrow(run, f"{rows.schema[id_column].name} {rows.schema[id_column].dataType.simpleString()}, ids binary")
 
@@ -293,7 +313,7 @@ def decode(tokens: DataFrame, path: str, id_column: str = "doc_id") -> DataFrame
     kind = tokens.schema[id_column].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = np.array(vocabulary(path).names, object)
+        names = np.array(token_names(path), object)
         for batch, ids in slices(batches, "ids"):
             texts = [" ".join(names[np.frombuffer(x, "<u4")].tolist()) for x in ids]
             null = batch.column(1).is_null().to_numpy(zero_copy_only=False)

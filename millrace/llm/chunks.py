@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 from collections.abc import Callable, Iterable, Iterator
 
@@ -17,6 +19,28 @@ CACHE_WORDS = 250_000
 CACHE_BYTES = 64
 
 
+_OWNER: list = [None, lambda: None]
+
+
+def holding(owner: str, release: Callable[[], None]) -> None:
+    """Say whose caches this worker holds from now on; those of another operator before are released.
+
+    Workers outlive the stages of a pipeline, and so would the caches of each.
+    """
+    if _OWNER[0] != owner:
+        _OWNER[1]()
+        returned()
+        _OWNER[:] = [owner, release]
+
+
+def returned() -> None:
+    """Give memory that is no longer used back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries do so by themselves
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def pieces(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, list[bytes]]]:
     """First row and texts, as UTF-8, of stretches of about ``size`` bytes; null is empty."""
     raw = column.cast(pa.binary())

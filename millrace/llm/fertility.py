@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.llm.chunks import CACHE_BYTES, CACHE_WORDS, pieces
+from millrace.llm.chunks import CACHE_BYTES, CACHE_WORDS, holding, pieces
 from millrace.llm.ship import shipped
 
 GRAM = 5
@@ -159,7 +159,13 @@ def _repeats(number: np.ndarray, doc: np.ndarray, n_docs: int) -> np.ndarray:
     return np.bincount(doc[inside], minlength=n_docs)
 
 
+def _release() -> None:
+    _CACHE.clear()
+    _pieces.cache_clear()
+
+
 def _measure(texts: list[bytes], path: str) -> dict[str, np.ndarray]:
+    holding("fertility", _release)
     words = _CACHE.setdefault(path, _Words(path))
     split = [t.split() for t in texts]
     counts = np.array([len(s) for s in split], np.int64)

@@ -21,7 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from millrace.llm.chunks import slices
+from millrace.llm.chunks import holding, slices
 from millrace.llm.components import connected
 from millrace.llm.ship import shipped
 from millrace.llm.words import fresh, same, stored
@@ -52,6 +52,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, keye
     kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        holding("simhash", lambda: None)
         for batch, texts in slices(batches):
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array([fingerprint(t, shingle, seed) for t in texts], pa.int64())], [*names, "fingerprint"])
 
