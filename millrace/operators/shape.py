@@ -9,9 +9,9 @@ value at run time.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from millrace.functions import timefn, variants as V
 from millrace.functions.sqltext import let, literal
@@ -29,11 +29,15 @@ NUMBERS = (T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.DoubleType, T.F
 
 @dataclass(frozen=True)
 class Shape:
-    """The fields that records have; how deep the values of no one type are nested, and whether objects may be among them."""
+    """The fields that records have; how deep the values of no one type are nested, and whether objects may be among them.
+
+    ``objects`` has the fields of the objects in lists of no one type, by the path of the list, as far as they are known.
+    """
 
     struct: T.StructType
     depth: int = 1
     mixed_objects: bool = False
+    objects: dict[tuple[str, ...], T.StructType] = field(default_factory=dict)
 
 
 def _fields(dtype: T.DataType) -> int:
@@ -67,25 +71,56 @@ def _mixed_values(root: str, path: tuple[str, ...], struct: T.StructType) -> lis
     return out
 
 
-def shape_of(df: DataFrame, column: str, flattened: bool = False) -> Shape | None:
+def _mixed_lists(path: tuple[str, ...], struct: T.StructType) -> list[tuple[str, ...]]:
+    """Paths of lists whose elements are of no one type, outside of lists."""
+    out = []
+    for f in struct.fields:
+        if isinstance(f.dataType, T.StructType):
+            out += _mixed_lists((*path, f.name), f.dataType)
+        elif isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.VariantType):
+            out.append((*path, f.name))
+    return out
+
+
+def _is_object(v: str) -> str:
+    return V.is_object(f"schema_of_variant({v})")
+
+
+def _objects_in(root: str, path: tuple[str, ...]) -> Column:
+    """Schema of the objects in a list."""
+    objects = f"filter({_get(root, path, V.ITEMS, 'try_')}, x -> {_is_object('x')})"
+    return F.schema_of_variant_agg(F.expr(f"to_variant_object({objects})"))
+
+
+def shape_of(df: DataFrame, column: str, flattened: bool = False, schema: str | None = None) -> Shape | None:
     """The shape of exactly these records; None where records are not all objects or have too many fields.
 
-    One aggregation pass, merged in each task first. Values of no one type take a second one if they may be deep, or
-    if records are to be ``flattened``, which has to know whether objects are among them.
+    One aggregation pass, merged in each task first; none where ``schema``, as `schema_of_variant_agg` gave it for these
+    records, is at hand. Values of no one type take a second one over them alone, and a third if they may be deep, or if
+    records are to be ``flattened``, which has to know whether objects are among them.
     """
-    # No value is nested deeper than its record has opening brackets.
-    brackets = F.length(F.regexp_replace(F.to_json(column), r"[^\[{]+", ""))
-    seen = df.agg(F.schema_of_variant_agg(column).alias("schema"), F.max(brackets).alias("brackets")).first()
-    struct = T.DataType.fromDDL(struct_ddl(seen["schema"]))
+    if schema is None:
+        schema = df.agg(F.schema_of_variant_agg(column)).first()[0]
+    struct = T.DataType.fromDDL(struct_ddl(schema))
     if not isinstance(struct, T.StructType) or _fields(struct) > MOST_FIELDS or not _addressable(struct):
         return None
     mixed = _mixed_values(column, (), struct)
     if not mixed:
         return Shape(struct)
-    if not flattened and (seen["brackets"] or 0) <= DEPTH_UNSEEN:
-        return Shape(struct, max(1, (seen["brackets"] or 0) - 1), mixed_objects=True)
-    values = df.select(F.expr(f"to_variant_object(array({', '.join(mixed)}))").alias(column))
+    if not flattened:
+        # No value is nested deeper than the list of them has opening brackets, that of the list aside.
+        lists = _mixed_lists((), struct)
+        values = df.select(F.expr(f"to_variant_object(array({', '.join(mixed)}))").alias("__values"), column)
+        text = F.to_json("__values")
+        brackets = F.max(F.length(text) - F.length(F.translate(text, "[{", "")))
+        most, *schemas = values.agg(brackets, *[_objects_in(f"`{column}`", p) for p in lists]).first()
+        if (most or 0) <= DEPTH_UNSEEN:
+            found = {p: T.DataType.fromDDL(struct_ddl(s)) for p, s in zip(lists, schemas)}
+            known = {p: d.elementType for p, d in found.items() if isinstance(d, T.ArrayType) and isinstance(d.elementType, T.StructType)}
+            known = {p: d for p, d in known.items() if _fields(struct) + _fields(d) <= MOST_FIELDS and _addressable(d)}
+            return Shape(struct, max(1, (most or 0) - 1), mixed_objects=True, objects=known)
     objects = F.exists(F.try_variant_get(column, "$", V.ITEMS), lambda v: F.schema_of_variant(v).like("OBJECT%"))
+    values = df.select(F.expr(f"to_variant_object(array({', '.join(mixed)}))").alias(column))
     found = values.agg(F.max(depth_of(column)).alias("depth"), F.bool_or(objects).alias("objects")).first()
     return Shape(struct, max(1, (found["depth"] or 1) - 1), bool(found["objects"]))
 
@@ -111,7 +146,7 @@ class _Writer:
     def __init__(self, shape: Shape, timestamps: Sequence[str], normalize_keys: bool, split_acronyms: bool, to_utc: bool, text: str | None):
         self.timestamps, self.to_utc, self.text = timestamps, to_utc, text
         self.rename: Callable[[str], str] = (lambda k: snake_name(k, split_acronyms)) if normalize_keys else (lambda k: k)
-        self.depth = shape.depth
+        self.depth, self.objects = shape.depth, shape.objects
         self.general = {"timestamps": timestamps, "normalize_keys": normalize_keys, "split_acronyms": split_acronyms, "to_utc": to_utc}
         self.variables = 0
 
@@ -189,6 +224,11 @@ class _Writer:
             x = f"item{self.variables}"
             each = f"IF(is_variant_null({x}), {x}, {self.object_(self.fields(x, (), dtype.elementType), in_list=True)})"
             return f"to_variant_object(transform({_get(root, path, V.ITEMS, 'try_')}, {x} -> {each}))"
+        if path in self.objects and not root.startswith("item"):
+            self.variables += 1
+            x = f"item{self.variables}"
+            each = f"IF({_is_object(x)}, {self.object_(self.fields(x, (), self.objects[path]), in_list=True)}, {x})"
+            return f"IF(is_variant_null({raw}), {raw}, to_variant_object(transform({_get(root, path, V.ITEMS, 'try_')}, {x} -> {each})))"
         if isinstance(dtype, T.VariantType) or isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, T.VariantType):
             return self.any_(raw)
         return raw

@@ -8,13 +8,13 @@ import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from millrace.operators.clean import STABLE_ORDER
 from millrace.plans import analytics, quality
 from millrace.plans.metrics import run_metrics, run_summary
 from millrace.plans.transform import transform_source
-from millrace.session import workspace
+from millrace.session import whole_payloads, workspace
 from millrace.sinks.stage import stage
 from millrace.sinks.buckets import day_states, fact_states, read_buckets
 from millrace.sinks.raw import compact_raw, load_ids, purge_raw
@@ -78,24 +78,25 @@ def new_run_id() -> str:
     return uuid.uuid4().hex[:12]
 
 
-def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
-    """The rows, and their number once they have been written: no pass of its own."""
+def _counted(df: DataFrame, *more: Column) -> tuple[DataFrame, Observation]:
+    """The rows, and their number (and other aggregates) once they have been written: no pass of its own."""
     seen = Observation()
-    return df.observe(seen, F.count(F.lit(1)).alias("n")), seen
+    return df.observe(seen, F.count(F.lit(1)).alias("n"), *more), seen
 
 
 def ingest_source(records: DataFrame, source: str, layout: Layout, batch_id: str, at=None, ordinal: str = "ordinal") -> dict:
     """Transform a source's ``(ordinal, payload)`` records, stage the valid and set the others aside.
 
-    The source is read once: its records are put in a work folder, and so are the normalised ones, from which both
-    outputs are taken. Outputs replace those of an earlier attempt at the same batch.
+    The source is read once: its records are put in a work folder, their schema being noted in passing, and so are the
+    normalised ones, from which both outputs are taken. Outputs replace those of an earlier attempt at the same batch.
     """
     spark, work = records.sparkSession, workspace(records.sparkSession, f"ingest-{source}")
     try:
-        counted, fetched = _counted(records)
-        counted.write.parquet(f"{work}/records")
+        counted, fetched = _counted(records, F.schema_of_variant_agg("payload").alias("schema"))
+        with whole_payloads(spark):
+            counted.write.parquet(f"{work}/records")
         kept = spark.read.schema(records.schema).parquet(f"{work}/records")
-        valid, rejected = transform_source(kept, source, ordinal, work=f"{work}/normalized")
+        valid, rejected = transform_source(kept, source, ordinal, work=f"{work}/normalized", schema=fetched.get["schema"])
         report = stage(valid.select("payload"), layout.staging, source, batch_id, at, payload="payload")
         rejected, set_aside = _counted(rejected.withColumn("_batch_id", F.lit(batch_id)))
         out = rejected.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_batch_id")

@@ -14,6 +14,7 @@ from millrace.operators.once import computed_once
 from millrace.operators.normalize import normalize_variant, variant_depth
 from millrace.operators.shape import Shape, normalize_known, shape_of
 from millrace.operators.validate import ERRORS, INDEX, with_validation_errors
+from millrace.session import whole_payloads
 from millrace.specs import API_A, API_B, SourceSpec
 
 
@@ -30,6 +31,8 @@ class TransformSpec:
     max_depth: int | None = None
     # What `shape_of` gave for exactly these records; None finds it in one pass over them.
     shape: Shape | None = None
+    # What `schema_of_variant_agg` gave for exactly these records; the pass over them is saved then.
+    schema: str | None = None
     # Column with the JSON text of each record, for the order of fields that get one name.
     text: str | None = None
     flatten_depth: int = 10
@@ -50,9 +53,9 @@ def _not_object(payload: str) -> Column:
 def normalized(df: DataFrame, spec: TransformSpec, payload: str = "payload") -> DataFrame:
     """Records with normalised payloads; one that is not an object stays as it is, for validation to reject.
 
-    Where `spec.shape` is not given, this runs one aggregation over the records to find it.
+    Where neither `spec.shape` nor `spec.schema` is given, this runs one aggregation over the records to find it.
     """
-    shape = spec.shape or (None if spec.max_depth else shape_of(df, payload, spec.flatten))
+    shape = spec.shape or (None if spec.max_depth else shape_of(df, payload, spec.flatten, spec.schema))
     if shape and not (spec.flatten and shape.mixed_objects):
         done = normalize_known(payload, shape, spec.timestamps, spec.normalize_keys, spec.split_acronyms, flatten_depth=spec.flatten_depth if spec.flatten else None, text=spec.text)
         other = F.when(F.col(payload).isNotNull(), _not_object(payload)) if spec.flatten else F.col(payload)
@@ -94,7 +97,8 @@ def transform(
     """
     checked = with_validation_errors(normalized(df, spec, payload), spec.required, payload)
     if work:
-        checked.write.parquet(work)
+        with whole_payloads(df.sparkSession):
+            checked.write.parquet(work)
         checked = df.sparkSession.read.schema(checked.schema).parquet(work)
     valid = checked.where(F.size(ERRORS) == 0).drop(ERRORS)
     rejected = checked.where(F.size(ERRORS) > 0).withColumn(INDEX, F.col(ordinal))
@@ -104,7 +108,7 @@ def transform(
 
 
 def transform_source(
-    df: DataFrame, source: str, ordinal: str = "ordinal", flatten: bool = False, work: str | None = None
+    df: DataFrame, source: str, ordinal: str = "ordinal", flatten: bool = False, work: str | None = None, schema: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """`transform` with the source's own settings."""
-    return transform(df, replace(PRESETS[source], flatten=flatten), ordinal, work=work)
+    return transform(df, replace(PRESETS[source], flatten=flatten, schema=schema), ordinal, work=work)

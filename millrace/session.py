@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,6 +67,18 @@ def adopt(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def whole_payloads(spark: SparkSession) -> Iterator[None]:
+    """Writes in here keep payloads whole: work folders are read back whole, where typed columns only cost."""
+    key = "spark.sql.variant.writeShredding.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Deal a small input out over all cores before costly per-row work.
 
