@@ -94,7 +94,8 @@ def near_pairs(prints: DataFrame, bits: int = BITS) -> DataFrame:
     upto = upto.bitwiseOR(F.shiftright(upto, 4))
     first = shared.cast("bigint").bitwiseAND(upto) == mask
     met = (a["list"] == b["list"]) & (F.col("a") < F.col("b")) & (F.bit_count(difference) <= bits)
-    return a.join(b, met & (F.bit_count(shared) >= need) & first).select("a", "b")
+    # Spark sizes the index like the fingerprints it was exploded from, 70 times too low, and would broadcast it.
+    return a.join(b.hint("merge"), met & (F.bit_count(shared) >= need) & first).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, bits: int = BITS, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
@@ -105,7 +106,7 @@ def near_duplicates(docs: DataFrame, bits: int = BITS, shingle: int = SHINGLE, s
     linked = classes.join(roots.select(F.col("node").alias("fingerprint"), "root"), "fingerprint").groupBy("root").agg(F.min("first").alias("least"))
     ids = roots.join(linked, "root").select(F.col("node").alias("fingerprint"), "least")
     ids = classes.join(ids, "fingerprint", "left").select("fingerprint", F.coalesce("least", "first").alias("component_id"))
-    return prints.join(ids, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    return prints.hint("merge").join(ids, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
 def keep_one(docs: DataFrame, bits: int = BITS, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:

@@ -159,3 +159,22 @@ def test_one_row_of_each_group(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     got = [tuple(r) for r in simhash.keep_one(docs).collect()]
     assert sorted(got, key=str) == sorted([(1, a), (None, b), (3, c), (4, d), (4, b + " " + d)], key=str)
+
+
+def joins_of_the_index(monkeypatch, run):
+    """The plans of the links that ``run`` asks for."""
+    plans, whole = [], simhash.connected
+    monkeypatch.setattr(simhash, "connected", lambda links: plans.append(links._jdf.queryExecution().executedPlan().toString()) or whole(links))
+    run()
+    return plans
+
+
+def test_fingerprint_index_is_not_broadcast(spark, monkeypatch):
+    """The index has 70 rows a fingerprint, and Spark would take it to be as small as these few fingerprints."""
+    text = " ".join(f"w{i}" for i in range(200))
+    docs = spark.createDataFrame([(1, text), (2, text + " end"), (3, "other words"), (4, None)], "doc_id bigint, text string")
+    rows = {r.doc_id: r for r in simhash.near_duplicates(docs).collect()}
+    least = brute.components([(i, r.fingerprint % 2**64) for i, r in rows.items()])
+    assert {i: r.component_id for i, r in rows.items()} == {i: least[i, r.fingerprint % 2**64] for i, r in rows.items()}
+    (plan,) = joins_of_the_index(monkeypatch, lambda: simhash.near_duplicates(docs))
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
