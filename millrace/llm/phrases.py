@@ -6,11 +6,12 @@ the beginning of one window, so ROLLUP over the window columns sums the counts o
 and of all words of a language; n-grams of the lower orders are never made.
 
 Most windows of a large text stand a few times and hold no phrase of ``least`` occurrences. A first pass counts
-hashed window beginnings in a table of fixed size, ``BUCKETS`` counters that stop at ``least``, each beginning at two
-places. A phrase never stands more often than its counters say, so a window may be padded from the first beginning
-with a counter below ``least``: no phrase of ``least`` occurrences is touched, whatever collides, and its counts are
-exact. The table costs each task a fixed amount of memory and is sent out as one bit a counter. Where a corpus fills
-all counters, nothing is padded early and the windows are counted as they are.
+window beginnings by hashed keys of 40 bits. They are dealt by the first bits of the key, so that no task holds more
+than its share of them, and travel as gaps between sorted keys, two to three bytes each. A beginning never stands more
+often than the count of its key says, so a window may be padded from the first beginning whose key stands less than
+``least`` times: no phrase of ``least`` occurrences is touched, whatever collides, and its counts are exact. The
+frequent keys go out as a table of bits, two to a key, that grows with their number up to ``BUCKETS`` bits; a fuller
+table only lets more windows through. The files of the first shuffle go before the windows are dealt.
 
 Defined cases: a null or empty text has no words; null ``lang`` is ``und`` and joins rows that say ``und``. Repeated
 rows count as often as they stand. Only ``lang`` and ``text`` are read, so other columns cannot clash. Phrases that tie
@@ -19,6 +20,7 @@ in score and count follow in UTF-8 byte order. A text that is null everywhere gi
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections.abc import Iterator
 
@@ -31,6 +33,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from millrace.llm.chunks import pieces
 from millrace.llm.ship import shipped
 from millrace.llm.words import bounded, stored
+from millrace.session import shuffles_dropped
 
 LEAST, LONGEST, TOP = 30, 4, 2000
 SHARE = 80  # per cent of a phrase's occurrences inside one longer phrase that remove it
@@ -39,8 +42,12 @@ WORDS = [f"w{i}" for i in range(LONGEST)]
 FORMS = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n\n\n\n\n\n\n\n\n ")
 # Text counted at once in a task; Spark adds up what such stretches have in common.
 CHUNK_BYTES = 2 << 20
-# Counters of the first pass, a power of two, and how many of them travel as one row.
-BUCKETS, BLOCK = 1 << 26, 1 << 16
+# Bits of the table of frequent beginnings at most, a power of two, and how many of them each beginning is to have.
+BUCKETS, ROOM = 1 << 29, 16
+# Keys are dealt by their first bits in up to this many blocks; inside its block a key has the other 28 bits.
+BLOCKS, REST = 1 << 12, 28
+# Keys gathered in a task before they are sorted and sent.
+HELD_KEYS = 6_000_000
 # Odd multipliers that mix hashes and give a beginning its two places.
 ODD, OTHER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -58,10 +65,10 @@ class _Chunk:
         seed = zlib.crc32(lang.encode())
         self.hashes = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
 
-    def windows(self, buckets: int, may: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Per order: the codes of that word of every window, -1 for padding, and the two buckets of the beginnings.
+    def windows(self, blocks: int, may: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Per order: the places of the first words of the windows that go on so far, and the keys of their beginnings.
 
-        ``buckets`` is a power of two. Without ``may``, one bit a bucket, no window is padded before its piece ends.
+        ``blocks`` is a power of two. Without ``may``, the table of frequent keys, no window is padded before its piece ends.
         """
         first = self.codes
         open_ = np.flatnonzero(first != self.ends)
@@ -73,25 +80,57 @@ class _Chunk:
             open_, mix = open_[inside], mix[inside]
             mix = (mix ^ self.hashes[first[open_ + order]]) * ODD
             mix ^= mix >> np.uint64(29)
-            into = np.stack([mix * m >> np.uint64(32) for m in (ODD, OTHER)]).astype(np.int64) & buckets - 1
+            keys = mix * ODD >> np.uint64(64 - REST - blocks.bit_length() + 1)
             if may is not None:
+                into = _places(keys, 8 * len(may) // blocks)
                 frequent = (may[into >> 3] >> (into & 7) & 1).all(0)
-                open_, mix, into = open_[frequent], mix[frequent], into[:, frequent]
-            yield open_, into
+                open_, mix, keys = open_[frequent], mix[frequent], keys[frequent]
+            yield open_, keys
 
-
-    def counted(self, buckets: int, may: np.ndarray) -> pa.Table:
-        """The windows and how often they stand."""
+    def counted(self, blocks: int, may: np.ndarray) -> pa.Table:
+        """The windows, as their words with spaces between, and how often they stand."""
         starts = np.flatnonzero(self.codes != self.ends)
         columns = []
-        for order, (open_, _) in enumerate(self.windows(buckets, may)):
+        for order, (open_, _) in enumerate(self.windows(blocks, may)):
             column = np.full(len(starts), -1, np.int32)
             column[np.searchsorted(starts, open_)] = self.codes[open_ + order]
             columns.append(column)
         counts = pa.table(columns, WORDS).group_by(WORDS, use_threads=False).aggregate([([], "count_all")])
         texts = self.words.cast(pa.string())
         named = [texts.take(pa.array(c := counts[w].to_numpy(), mask=c < 0)) for w in WORDS]
-        return pa.table([pa.array([self.lang] * len(counts), pa.string()), *named, counts["count_all"]], ["lang", *WORDS, "n"])
+        window = pc.ascii_rtrim(pc.binary_join_element_wise(*named, pa.scalar(" "), null_handling="replace", null_replacement=""), " ")
+        return pa.table([pa.array([self.lang] * len(counts), pa.string()), window, counts["count_all"]], ["lang", "window", "n"])
+
+
+def _places(keys: np.ndarray, area: int) -> np.ndarray:
+    """The two bits of each key in a table that has ``area`` of them, a power of two, for each block."""
+    rest = keys & np.uint64((1 << REST) - 1)
+    other = (rest * OTHER & np.uint64((1 << REST) - 1)) >> np.uint64(REST - area.bit_length() + 1)
+    return ((keys >> np.uint64(REST)) * np.uint64(area) + np.stack([rest & np.uint64(area - 1), other])).astype(np.int64)
+
+
+def _packed(keys: np.ndarray, blocks: int, top: int) -> Iterator[tuple[int, int, bytes]]:
+    """Blocks that hold keys, with the number of their distinct keys, the gaps between these and how often each stands, at most ``top``."""
+    keys.sort()
+    first = np.flatnonzero(np.diff(keys, prepend=~keys[:1]))
+    n = np.minimum(np.diff(first, append=len(keys)), top).astype(np.uint8)
+    keys = keys[first]
+    starts = np.arange(blocks + 1, dtype=np.uint64) << np.uint64(REST)
+    bounds = np.searchsorted(keys, starts)
+    gaps = np.diff(keys, prepend=np.uint64(0))
+    held = np.flatnonzero(np.diff(bounds))
+    gaps[bounds[held]] = keys[bounds[held]] - starts[held]
+    # The lower two bytes are as good as random; the others and the counts are small.
+    low, high = gaps.astype("<u2"), [(gaps >> np.uint64(s)).astype(np.uint8) for s in (16, 24)]
+    for block, start, stop in zip(held.tolist(), bounds[held].tolist(), bounds[held + 1].tolist()):
+        yield block, stop - start, low[start:stop].tobytes() + zlib.compress(b"".join(x[start:stop].tobytes() for x in (*high, n)), 1)
+
+
+def _unpacked(size: int, part: bytes) -> np.ndarray:
+    """Keys without their block, and in the lowest byte of each how often it stands."""
+    low = np.frombuffer(part, "<u2", size).astype(np.uint64)
+    high, most, n = np.frombuffer(zlib.decompress(memoryview(part)[2 * size :]), np.uint8).reshape(3, size).astype(np.uint64)
+    return np.cumsum(low | high << np.uint64(16) | most << np.uint64(24), dtype=np.uint64) << np.uint64(8) | n
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[_Chunk]:
@@ -117,56 +156,89 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
 
 
-def frequent_bits(docs: DataFrame, least: int, buckets: int, chunk_bytes: int) -> bytes:
-    """One bit a bucket: whether a window beginning that falls into it may stand ``least`` times."""
-    top, block_size = min(least, 255), min(BLOCK, buckets)
+def _blocks(buckets: int) -> int:
+    """Blocks of keys; each has one byte of the table at least."""
+    return min(BLOCKS, buckets // 8)
+
+
+def frequent_keys(docs: DataFrame, least: int, blocks: int, chunk_bytes: int) -> DataFrame:
+    """``block, size, part``: the keys of window beginnings that may stand ``least`` times, four bytes each."""
+    top, kind = min(least, 255), "block int, size int, part binary"
+    schema = pa.schema([("block", pa.int32()), ("size", pa.int32()), ("part", pa.binary())])
+
+    def sent(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counters = np.zeros(buckets, np.uint8)
+        def flushed() -> Iterator[pa.RecordBatch]:
+            keys = np.concatenate(held)
+            held.clear()
+            packed = _packed(keys, blocks, top)
+            del keys
+            while rows := list(itertools.islice(packed, 500)):
+                yield sent(rows)
+
+        held: list[np.ndarray] = []
         for chunk in _chunks(batches, chunk_bytes):
-            for _, into in chunk.windows(buckets):
-                found, n = np.unique(into, return_counts=True)
-                counters[found] = np.minimum(counters[found].astype(np.int64) + n, top)
-        for block, part in enumerate(counters.reshape(-1, block_size)):
-            if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([zlib.compress(part, 1)], pa.binary())], ["block", "part"])
+            for _, keys in chunk.windows(blocks):
+                held.append(keys)
+            if sum(map(len, held)) >= HELD_KEYS:
+                yield from flushed()
+        if sum(map(len, held)):
+            yield from flushed()
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, total = None, None
+        rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+        for block, parts in itertools.groupby(rows, lambda r: r[0]):
+            found = np.concatenate([_unpacked(size, part) for _, size, part in parts])
+            found.sort()
+            keys = found >> np.uint64(8)
+            first = np.flatnonzero(np.diff(keys, prepend=~keys[:1]))
+            frequent = keys[first][np.add.reduceat(found & np.uint64(255), first) >= top]
+            if len(frequent):
+                yield sent([(block, len(frequent), frequent.astype("<u4").tobytes())])
+
+    return _rows(docs).mapInArrow(count, kind).repartition("block").sortWithinPartitions("block").mapInArrow(add, kind)
 
-        def bits() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([np.packbits(total >= top, bitorder="little").tobytes()], pa.binary())], ["block", "part"])
 
+def frequent_bits(docs: DataFrame, least: int, buckets: int, chunk_bytes: int) -> bytes:
+    """A table of up to ``buckets`` bits with both bits of every key of ``frequent_keys`` set."""
+    blocks = _blocks(buckets)
+    with shuffles_dropped(docs.sparkSession):
+        found = stored(frequent_keys(docs, least, blocks, chunk_bytes), "beginnings")
+    total = found.agg(F.sum(F.col("size").cast("bigint"))).first()[0] or 0
+    area = max(8, min(buckets, 1 << (ROOM * total).bit_length()) // blocks)
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if block != now:
-                    if now is not None:
-                        yield bits()
-                    now, total = block, np.zeros(block_size, np.uint16)
-                total = np.minimum(total + np.frombuffer(zlib.decompress(part), np.uint8), top)
-        if now is not None:
-            yield bits()
-
-    kind = "block int, part binary"
-    parts = _rows(docs).mapInArrow(count, kind).repartition("block").sortWithinPartitions("block").mapInArrow(add, kind)
-    out = bytearray(buckets // 8)
-    for row in parts.toLocalIterator():
-        out[row.block * block_size // 8 : (row.block + 1) * block_size // 8] = row.part
+            bits = []
+            for part in batch.column("part").to_pylist():
+                own = np.zeros(area, np.uint8)
+                own[_places(np.frombuffer(part, "<u4").astype(np.uint64), area)] = 1
+                bits.append(np.packbits(own, bitorder="little").tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("block"), pa.array(bits, pa.binary())], ["block", "part"])
+
+    out = bytearray(blocks * area // 8)
+    # Few partitions, as each is fetched by a job of its own.
+    for row in found.coalesce(16).mapInArrow(mark, "block int, part binary").toLocalIterator():
+        out[row.block * area // 8 : (row.block + 1) * area // 8] = row.part
     return bytes(out)
 
 
 def windows(docs: DataFrame, least: int = LEAST, buckets: int = BUCKETS, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """``lang, w0, w1, w2, w3, n``: the longest windows and how often they stand, padded with null."""
-    rows = _rows(docs)
+    rows, blocks = _rows(docs), _blocks(buckets)
     table = docs.sparkSession.sparkContext.broadcast(frequent_bits(docs, least, buckets, chunk_bytes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         may = np.frombuffer(table.value, np.uint8)
         for chunk in _chunks(batches, chunk_bytes):
-            yield from chunk.counted(buckets, may).to_batches(max_chunksize=20_000)
+            yield from chunk.counted(blocks, may).to_batches(max_chunksize=20_000)
 
-    kind = ", ".join(f"{c} string" for c in ("lang", *WORDS)) + ", n bigint"
-    return rows.mapInArrow(run, kind).groupBy("lang", *WORDS).agg(F.sum("n").alias("n"))
+    counted = rows.mapInArrow(run, "lang string, window string, n bigint").groupBy("lang", "window").agg(F.sum("n").alias("n"))
+    # One text a window is shorter in the shuffle than its words; no word is empty or has a space.
+    word = F.split("window", " ")
+    return counted.select("lang", *(F.nullif(F.get(word, F.lit(i)), F.lit("")).alias(w) for i, w in enumerate(WORDS)), "n")
 
 
 def phrase_counts(docs: DataFrame, least: int = LEAST, **sizes: int) -> DataFrame:
@@ -189,7 +261,9 @@ def collocations(docs: DataFrame, least: int = LEAST, share: int = SHARE, top: i
     ``score`` is that of the weakest cut of the phrase in two, and ``l`` and ``r`` are its parts' counts. Phrases that
     stand ``share`` per cent of the time inside one longer phrase are left out. ``sizes`` are those of ``windows``.
     """
-    counts = stored(phrase_counts(docs, least, **sizes), "phrases")
+    made = phrase_counts(docs, least, **sizes)
+    with shuffles_dropped(docs.sparkSession):
+        counts = stored(made, "phrases")
     named = counts.select("lang", "words", F.array_join("words", " ").alias("phrase"), F.size("words").alias("m"), "f")
     candidates = named.where("m >= 2")
     texts = named.where("m >= 1").select("lang", "phrase", "f")

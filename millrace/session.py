@@ -79,6 +79,18 @@ def whole_payloads(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Writes in here drop their shuffle files when they end, not when the driver happens to collect its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Deal a small input out over all cores before costly per-row work.
 

@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
@@ -106,6 +107,31 @@ def test_collocations_whatever_collides(spark, buckets):
     assert sorted(map(tuple, some)) == best_phrases(texts, 5, 3)
 
 
+def test_many_rare_phrases_stay_out_of_the_windows(spark):
+    """Far more beginnings than the table has places, nearly all of them rare: windows still end at the rare ones."""
+    draw, least, buckets = random.Random(3), 12, 1 << 15
+    words = [f"w{i}" for i in range(300)]
+    texts = [("en", " ".join(draw.choice(words) for _ in range(1500)) + " so far so good" * (i % 3)) for i in range(40)]
+    docs = spark.createDataFrame(texts, "lang string, text string").repartition(3)
+    rows = [(tuple(x for x in r[1:-1] if x is not None), r.n) for r in phrases.windows(docs, least=least, buckets=buckets, chunk_bytes=20_000).collect()]
+    assert sum(n for _, n in rows) == sum(len(t.split()) for _, t in texts)
+    # With counters that fill, nothing was padded: 18 433 windows of four words.
+    assert len(rows) < 3000 and len({w for w, _ in rows}) == len(rows)
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    got = sorted(map(tuple, phrases.collocations(docs, least=least, buckets=buckets, chunk_bytes=20_000).collect()))
+    assert got == best_phrases(texts, least, 2000) and got and spark.conf.get(key) == before
+
+
+@pytest.mark.parametrize("blocks", [1, 1 << 12])
+def test_keys_come_back_from_their_gaps(blocks):
+    keys = np.random.default_rng(blocks).integers(0, blocks << phrases.REST, 5000, dtype=np.uint64)
+    keys = np.concatenate([keys, keys[:900], np.repeat(keys[:1], 400), np.array([0, (blocks << phrases.REST) - 1], np.uint64)])
+    want, n = np.unique(keys, return_counts=True)
+    found = [(rest + (block << phrases.REST), count) for block, size, part in phrases._packed(keys, blocks, 255) for rest, count in (divmod(x, 256) for x in phrases._unpacked(size, part).tolist())]
+    assert found == list(zip(want.tolist(), np.minimum(n, 255).tolist()))
+
+
 def test_scores_beyond_64_bits(spark, monkeypatch):
     big = 9_000_000_000_000_000
     rows = [("en", [], 4 * big), ("en", ["a"], 2 * big), ("en", ["b"], big + 7), ("en", ["a", "b"], big)]
