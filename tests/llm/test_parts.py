@@ -178,3 +178,14 @@ def test_fingerprint_index_is_not_broadcast(spark, monkeypatch):
     assert {i: r.component_id for i, r in rows.items()} == {i: least[i, r.fingerprint % 2**64] for i, r in rows.items()}
     (plan,) = joins_of_the_index(monkeypatch, lambda: simhash.near_duplicates(docs))
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_pipeline_does_not_broadcast_the_index(spark, monkeypatch):
+    text = " ".join(f"w{i}" for i in range(200))
+    docs = spark.createDataFrame([(1, text), (2, text + " end"), (3, "other words")], "doc_id bigint, text string")
+    kept = []
+    (plan,) = joins_of_the_index(monkeypatch, lambda: kept.append(corpus_pipeline.near_copies(spark, docs, SF_DIR)))
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    prints = [(r.doc_id, brute.fingerprint(r.text)) for r in docs.collect()]
+    least = brute.components(prints)
+    assert {r.doc_id for r in kept[0].collect()} == {i for i, p in prints if least[i, p] == i}
